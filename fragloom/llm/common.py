@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fragloom.functions.shipping import ship
+
 #: ASCII white space, as the contracts define words.
 WORD = r"[^\x20\x09-\x0D]++"
 
@@ -44,8 +46,9 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small unless the session has chosen a size itself."""
+def ready_for_python(spark: SparkSession) -> None:
+    """Send our sources to the workers, and keep Arrow batches small unless the session has chosen a size itself."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(ARROW_ROWS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fragloom.llm import chat, mixing, sharding
+from fragloom.llm import chat, mixing, neardup, sharding
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_mixing": mixing.query,
         "op2_chat": chat.query,
         "op3_sharding": sharding.query,
+        "op9_neardup": neardup.query,
     }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fragloom.llm import chat, mixing, neardup, sharding
+from fragloom.llm import chat, fingerprint, language, mixing, neardup, sharding, tokens, toxicity
 
 
 def queries():
@@ -10,6 +10,10 @@ def queries():
         "op1_mixing": mixing.query,
         "op2_chat": chat.query,
         "op3_sharding": sharding.query,
+        "op4_language": language.query,
+        "op5_fingerprint": fingerprint.query,
+        "op6_tokens": tokens.query,
+        "op7_toxicity": toxicity.query,
         "op9_neardup": neardup.query,
     }
 

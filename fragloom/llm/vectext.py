@@ -18,6 +18,9 @@ CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: Separators of plain words: ASCII bytes other than letters and digits.
+PLAIN = np.zeros(256, bool)
+PLAIN[:128] = [not chr(b).isalnum() for b in range(128)]
 _powers: list[np.ndarray] = []
 
 
@@ -58,8 +61,8 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), offsets
 
 
-def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of about CHUNK bytes that begin at a text or right after white space."""
+def _segments(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about CHUNK bytes that begin at a text or right after a separator."""
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         to = min(end, at + CHUNK)
@@ -70,7 +73,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]
             else:  # within one long text
                 stop = int(offsets[i + 1])
                 while to < stop:
-                    gap = np.flatnonzero(_SPACE[data[to : min(stop, to + CHUNK)]])
+                    gap = np.flatnonzero(gaps[data[to : min(stop, to + CHUNK)]])
                     if len(gap):
                         to += int(gap[0]) + 1
                         break
@@ -79,28 +82,38 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]
         at = to
 
 
-def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the n + 1 offsets of each text's words. lower: A-Z as a-z."""
+def tokens(texts: pa.Array, lower: bool = True, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of all words, and the n + 1 offsets of each text's words.
+
+    lower: A-Z as a-z. gaps: the bytes that separate words.
+    """
     data, offsets = buffers(texts)
-    table, hashes, begins = _BYTE_LOWER if lower else _BYTE, [], []
-    for a, b in _segments(data, offsets):
+    table, hashes, begins, ends_at = _BYTE_LOWER if lower else _BYTE, [], [], []
+    for a, b in _segments(data, offsets, gaps):
         part = data[a:b]
-        n, inside = b - a, ~_SPACE[part]
+        n, inside = b - a, ~gaps[part]
         first = np.zeros(n + 1, bool)
         first[0] = first[n] = True
-        own = offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, b)] - a
-        first[own] = True
+        first[offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, b)] - a] = True
         starts = np.flatnonzero(inside & (first[:-1] | ~np.concatenate(([False], inside[:-1]))))
         ends = np.flatnonzero(inside & (first[1:] | ~np.concatenate((inside[1:], [False]))))
         power, inverse = _power_tables(n)
         with np.errstate(over="ignore"):
             sums = np.cumsum(table[part] * power[:n])
-            before = np.where(starts > 0, sums[starts - 1], U64(0)) if n else sums
+            before = np.where(starts > 0, sums[starts - 1], U64(0))
             hashes.append(mix((sums[ends] - before) * inverse[starts] + (ends - starts).astype(U64)))
         begins.append(starts + a)
+        ends_at.append(ends + a + 1)
     if not hashes:
-        return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), offsets)
+        return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    begin = np.concatenate(begins)
+    return np.concatenate(hashes), begin, np.concatenate(ends_at), np.searchsorted(begin, offsets)
+
+
+def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between ASCII white space, and the n + 1 offsets of each text's words."""
+    hashes, _, _, at = tokens(texts, lower)
+    return hashes, at
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:

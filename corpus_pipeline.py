@@ -1,26 +1,62 @@
-"""The corpus pipeline: its stages run one after another on documents."""
+"""The corpus pipeline: its stages run one after another on documents.
+
+Each stage works on all rows that the one before kept, and all but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from fragloom.llm import mixing, sharding
+from pyspark.sql import functions as F
+
+from fragloom.llm import decontam, language, mixing, neardup, sharding
+from fragloom.llm.common import materialize, read, sent_if_few
+
+
+def language_stage(spark, docs, sf_dir):
+    """Documents go that are in no language: null texts and texts without a letter. lang takes the prediction."""
+    found = language.identify(docs, language.train(docs))
+    kept = found.where(F.col("lang_pred") != language.UNDETERMINED)
+    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else c for c in docs.columns])
+
 
+def neardup_stage(spark, docs, sf_dir):
+    """One document of each group of near duplicates stays (five words, 0.8), the one with the smallest id; rows of equal id stay or go together."""
+    found = neardup.near_duplicates(docs)
+    rest = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_id")
+    return docs.join(sent_if_few(materialize(rest, "near-copies")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(docs.columns)
 
-def mix_stage(spark, docs, sf_dir):
+
+def decontam_stage(spark, docs, sf_dir):
+    """Documents go that hold a benchmark item."""
+    found = decontam.contaminated(docs, read(spark, sf_dir, "benchmark"))
+    return found.where(F.size("hits") == 0).select(docs.columns)
+
+
+def mixing_stage(spark, docs, sf_dir):
+    """Documents are repeated or dropped so that sources come near their targets."""
     return mixing.mix(docs).select(docs.columns)
 
 
-def shard_stage(spark, docs, sf_dir):
+def sharding_stage(spark, docs, sf_dir):
+    """Documents with shard and slot."""
     return sharding.assign_shards(docs)
 
 
-STAGES = [("mixing", mix_stage), ("sharding", shard_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("near_dedup", neardup_stage),
+    ("decontamination", decontam_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
+
+#: Three of the stages are models or sketches that SQL cannot express; tests compare them with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    from fragloom.llm.common import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages on documents; each result is written to the shared folder and read again."""
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

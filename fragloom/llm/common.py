@@ -46,6 +46,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+#: Rows of ids or numbers that are sent to all tasks; more are joined by shuffle.
+BROADCAST_ROWS = 300_000
+
+
+def sent_if_few(df: DataFrame) -> DataFrame:
+    """df, to be sent to all tasks if its rows, counted, are at most BROADCAST_ROWS; df must be materialized and narrow."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def ready_for_python(spark: SparkSession) -> None:
     """Send our sources to the workers, and keep Arrow batches small unless the session has chosen a size itself."""
     ship(spark)

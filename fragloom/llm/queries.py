@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fragloom.llm import chat, fingerprint, language, mixing, neardup, sharding, tokens, toxicity
+from fragloom.llm import chat, decontam, fingerprint, language, mixing, neardup, sharding, tokens, toxicity, urls
 
 
 def queries():
@@ -14,7 +14,9 @@ def queries():
         "op5_fingerprint": fingerprint.query,
         "op6_tokens": tokens.query,
         "op7_toxicity": toxicity.query,
+        "op8_urls": urls.query,
         "op9_neardup": neardup.query,
+        "op10_decontamination": decontam.query,
     }
 
 

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fragloom.functions import identity, metadata, text, urls
+from fragloom.operators import assemble, audit, classify, enrich, export, publish
+from fragloom.plans import fixtures as X
+from fragloom.settings import Settings
+from fragloom.sources import metadata as sources
+from fragloom.sources import minutes
+from fragloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -12,6 +22,17 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            # DuckDB counts with conditions in 128 bits
+            _SQL[f.__name__] = re.sub(r"(count_if\((?:[^()]|\([^()]*\))*\))", r"\1::BIGINT", sql)
+        return f
+
+    return add
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
@@ -21,4 +42,546 @@ def oracle_sql() -> dict[str, str]:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    return spark.range(1).toDF("n")
+    """Texts rebuilt from the fragments of all documents."""
+    return type1_articles(spark, "/root/testdata/sf0.001")
+
+
+QUARANTINE = Settings(types=(1,), quarantine_invalid_metadata=True, languages=("en", "de"))
+RULES = urls.Suffixes(["com", "net", "org", "example.com  // private"])
+ISO = {"US": "US", "FR": "FR", "GM": "DE", "SP": "ES"}
+
+
+def _map(pairs: dict[str, str]):
+    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+
+
+# --- fragments and assembly
+
+
+@_query(f"SELECT url, pos::INT AS pos, line_no, pre, ngram, post FROM ({X.RECORDS_SQL})")
+def kwic_fragments(spark, sf_dir):
+    return X.records(spark, sf_dir).select("url", F.col("pos").cast("int").alias("pos"), "line_no", "pre", "ngram", "post")
+
+
+@_query(f"SELECT url, lang, count(*) AS inputs, max(pos)::INT AS last_pos FROM ({X.RECORDS_SQL}) GROUP BY ALL")
+def fragment_groups(spark, sf_dir):
+    groups = assemble.grouped(X.fragments(X.records(spark, sf_dir)), assemble.KEY)
+    return groups.select("url", "lang", "inputs", F.element_at("fragments", -1)["pos"].cast("int").alias("last_pos"))
+
+
+def _articles1(spark, sf_dir, gaps=False):
+    rows = X.records(spark, sf_dir)
+    return assemble.articles(X.fragments(X.with_gaps(rows) if gaps else rows), Settings(types=(1,)))
+
+
+@_query()
+def type1_articles(spark, sf_dir):
+    return _articles1(spark, sf_dir).select("url", "lang", "inputs", "merged", F.size("unmerged").alias("left_over"), F.sha2("text", 256).alias("text_sha256"), F.length("text").alias("chars"))
+
+
+@_query(f"SELECT count(DISTINCT url) AS articles, count(*) AS fragments, 0::BIGINT AS violations FROM ({X.RECORDS_SQL})")
+def type1_accounting(spark, sf_dir):
+    found = _articles1(spark, sf_dir)
+    bad = F.count_if(F.col("inputs") != F.col("merged") + F.size("unmerged"))
+    return found.agg(F.count("*").alias("articles"), F.sum("inputs").alias("fragments"), bad.alias("violations"))
+
+
+@_query()
+def residual_bodies(spark, sf_dir):
+    out = export.observations(_articles1(spark, sf_dir, gaps=True))
+    return out.select("url", "id", "type_id", "fragments", "primary_fragments", "assembly", "position_joins", "bounded_fallback", F.sha2("text", 256).alias("text_sha256"))
+
+
+@_query(f"SELECT count(*) AS fragments, 0::BIGINT AS lost FROM ({X.RECORDS_SQL}) WHERE length(ngram) <> 3")
+def residual_containment(spark, sf_dir):
+    rows = X.fragments(X.with_gaps(X.records(spark, sf_dir)))
+    lost = audit.uncontained(rows, export.observations(_articles1(spark, sf_dir, gaps=True)))
+    return rows.agg(F.count("*").alias("fragments")).crossJoin(lost.agg(F.count("*").alias("lost")))  # one row each
+
+
+TYPE2 = Settings(types=(2,), type2_best_effort=True, type2_search_budget=200)
+
+
+def _articles2(spark, sf_dir):
+    return assemble.articles(X.cluster_fragments(spark, sf_dir), TYPE2)
+
+
+@_query()
+def type2_articles(spark, sf_dir):
+    d = F.col("diagnostics")
+    return _articles2(spark, sf_dir).select(
+        "url", "inputs", "merged", F.sha2("text", 256).alias("text_sha256"), d["stop_reason"].alias("stop_reason"), d["search_status"].alias("search_status"), d["search_steps"].alias("search_steps"),
+        d["conflicts"].alias("conflicts"), d["minimum_overlap_used"].alias("minimum_overlap_used"), F.size(d["segments"]).alias("segments"),
+    )
+
+
+@_query()
+def type2_segments(spark, sf_dir):
+    parts = _articles2(spark, sf_dir).select("url", F.posexplode("diagnostics.segments").alias("section", "s"))
+    return parts.select("url", "section", "s.min_pos", "s.max_pos", F.size("s.members").alias("members"), "s.stop_reason", F.sha2("s.text", 256).alias("text_sha256"))
+
+
+@_query()
+def type2_best_effort(spark, sf_dir):
+    b = F.col("diagnostics.best_effort")
+    return _articles2(spark, sf_dir).select("url", b["ordering"].alias("ordering"), F.size(b["joins"]).alias("joins"), b["position_only_joins"].alias("position_only_joins"), b["comparison_budget_exhausted"].alias("exhausted"), F.sha2(b["text"], 256).alias("text_sha256"))
+
+
+@_query("SELECT count(*) AS articles, 0::BIGINT AS violations FROM documents WHERE length(text) > 0")
+def type2_evidence(spark, sf_dir):
+    found = audit.evidence(assemble.articles(X.cluster_fragments(spark, sf_dir), TYPE2, keep_fragments=True))
+    return found.agg(F.count("*").alias("articles"), F.count_if(F.size("broken") > 0).alias("violations"))
+
+
+@_query()
+def type2_outcomes(spark, sf_dir):
+    return audit.outcome_histogram(_articles2(spark, sf_dir))
+
+
+# --- classification
+
+
+_STATUS = """CASE WHEN type NOT IN (1, 2) THEN 'other_type' WHEN type = 2 THEN 'type2_skipped'
+  WHEN trim(url) = '' OR trim(date) = '' OR trim(lang) = '' OR pos > 90 OR pos % 10 <> 0 THEN 'quarantined'
+  WHEN lang NOT IN ('en', 'de') THEN 'language_filtered' ELSE 'selected' END"""
+_REASONS = """CASE WHEN type = 1 THEN list_filter([CASE WHEN trim(url) = '' THEN 'missing_url' END, CASE WHEN trim(date) = '' THEN 'missing_date' END,
+  CASE WHEN trim(lang) = '' THEN 'missing_language' END, CASE WHEN pos > 90 OR pos % 10 <> 0 THEN 'invalid_position' END], lambda r: r IS NOT NULL) ELSE [] END"""
+_CLASSIFIED = f"SELECT *, {_STATUS} AS status, {_REASONS} AS reasons FROM ({X.DAMAGED_SQL})"
+
+
+def _classified(spark, sf_dir):
+    rows = X.records(spark, sf_dir)
+    return classify.classify(X.damaged(rows.withColumn("file", F.concat("lang", F.lit(".json")))), QUARANTINE)
+
+
+@_query(f"SELECT status, array_to_string(reasons, ',') AS why, count(*) AS n FROM ({_CLASSIFIED}) GROUP BY ALL")
+def classify_records(spark, sf_dir):
+    return _classified(spark, sf_dir).groupBy("status", F.array_join("reasons", ",").alias("why")).agg(F.count("*").alias("n"))
+
+
+@_query(f"SELECT line_no, array_to_string(reasons, ',') AS why, pos::INT AS pos, ngram FROM ({_CLASSIFIED}) WHERE status = 'quarantined'")
+def quarantine_records(spark, sf_dir):
+    side = classify.quarantined(_classified(spark, sf_dir))
+    return side.select("line_no", F.array_join("reasons", ",").alias("why"), F.get_json_object("record", "$.pos").cast("int").alias("pos"), F.get_json_object("record", "$.ngram").alias("ngram"))
+
+
+@_query(f"""SELECT file, count(*) AS records, count_if(status = 'other_type') AS other_type, count_if(status = 'type2_skipped') AS type2_skipped, count_if(status = 'quarantined') AS quarantined,
+  count_if(status = 'language_filtered') AS language_filtered, count_if(status = 'selected') AS selected, count_if(list_contains(reasons, 'missing_url')) AS missing_url,
+  count_if(list_contains(reasons, 'invalid_position')) AS invalid_position FROM (SELECT c.*, d.lang || '.json' AS file FROM ({_CLASSIFIED}) c
+  JOIN (SELECT 'https://' || source || '.example.com/doc/' || doc_id AS origin, lang FROM documents) d USING (origin)) GROUP BY file""")
+def file_counts(spark, sf_dir):
+    names = ["records", "other_type", "type2_skipped", "quarantined", "language_filtered", "selected", "missing_url", "invalid_position"]
+    return classify.file_counts(_classified(spark, sf_dir)).select("file", *names)
+
+
+@_query(f"""SELECT url, line_no, CASE WHEN pos < 20 THEN 'menu ' || ngram ELSE 'menu / ' || ngram END AS text FROM ({X.RECORDS_SQL}) WHERE length(ngram) > 8""")
+def artifact_strip(spark, sf_dir):
+    rows = X.records(spark, sf_dir).where(F.char_length("ngram") > 8)
+    # an early fragment loses what stands up to the first slash
+    texts = F.when(F.col("pos") < 20, F.concat(F.lit("top / menu "), F.col("ngram"))).otherwise(F.concat(F.lit("menu / "), F.col("ngram")))
+    return rows.select("url", "line_no", text.strip_artifact(text.joined_words(texts), F.col("pos")).alias("text"))
+
+
+@_query("SELECT doc_id, length(n) AS chars, sha256(n) AS sha256 FROM (SELECT doc_id, nfc_normalize(replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))) AS n FROM documents)")
+def nfc_text(spark, sf_dir):
+    loose = F.replace(F.replace("text", F.lit("é"), F.lit("é")), F.lit("ü"), F.lit("ü"))
+    return X.table(spark, sf_dir, "documents").select("doc_id", text.nfc(loose).alias("n")).select("doc_id", F.length("n").cast("long").alias("chars"), F.sha2("n", 256).alias("sha256"))
+
+
+@_query("SELECT doc_id, length_grapheme(text)::INT AS graphemes FROM documents")
+def grapheme_lengths(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", text.grapheme_length(F.col("text")).alias("graphemes"))
+
+
+@_query("SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\x0B\\f]+'), lambda x: x <> ''))::INT AS words, regexp_matches(text, '[\\pL\\pN]') AS substantive FROM documents")
+def word_counts(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", F.size(text.words(F.col("text"))).alias("words"), text.substantive(F.col("text")).alias("substantive"))
+
+
+_JSON_SQL = f"SELECT length(ngram) NOT IN (9, 10, 11, 12) AS valid, count(*) AS n FROM ({X.RECORDS_SQL}) GROUP BY ALL"
+
+
+@_query(_JSON_SQL)
+def strict_json(spark, sf_dir):
+    """Records as JSON lines, some of them broken by what their word is: a missing field, a number for a string, a position beyond a byte, text after the object."""
+    n = F.char_length("ngram")
+    row = X.records(spark, sf_dir).withColumn("pos", F.when(n == 11, 256).otherwise(F.col("pos")))
+    line = F.to_json(F.struct("date", "url", "lang", "type", "pos", "pre", "ngram", "post"))
+    line = F.when(n == 9, F.regexp_replace(line, '^\\{"date":"[^"]*",', "{")).when(n == 10, F.regexp_replace(line, '"lang":"[^"]*"', '"lang":7')).when(n == 12, F.concat(line, F.lit(" {}"))).otherwise(line)
+    parsed = minutes.parse_records(row.select(line.alias("value")))
+    return parsed.groupBy(F.col("record").isNotNull().alias("valid")).agg(F.count("*").alias("n"))
+
+
+# --- URLs
+
+_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1))"
+
+
+@_query(f"SELECT page_id, {_HOST} AS host FROM pages")
+def source_domains(spark, sf_dir):
+    return X.table(spark, sf_dir, "pages").select("page_id", urls.idna_host(F.col("url")).alias("host"))
+
+
+@_query(f"SELECT page_id, {_HOST} AS host FROM pages WHERE {_HOST} = 'example.org' OR {_HOST} LIKE '%.example.org'")
+def domain_filter(spark, sf_dir):
+    host = urls.host_of(F.col("url"))
+    return X.table(spark, sf_dir, "pages").where(urls.in_domains(host, ["example.org"])).select("page_id", host.alias("host"))
+
+
+@_query("""SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || CASE WHEN len(p) > 0 THEN '?' || array_to_string(list_sort(p), '&') ELSE '' END AS url
+FROM (SELECT page_id, url, list_filter(string_split(regexp_extract(regexp_replace(url, '#.*$', ''), '\\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_') AND lower(split_part(x, '=', 1)) NOT IN ('fbclid', 'gclid')) AS p FROM pages)""")
+def canonical_urls(spark, sf_dir):
+    return X.table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("url"))
+
+
+@_query(f"SELECT page_id, CASE WHEN h LIKE '%.example.com' THEN regexp_extract(h, '[^.]+\\.example\\.com$') ELSE regexp_extract(h, '[^.]+\\.[^.]+$') END AS registrable FROM (SELECT page_id, {_HOST} AS h FROM pages)")
+def registrable_domains(spark, sf_dir):
+    X.ship(spark)
+    return X.table(spark, sf_dir, "pages").select("page_id", F.element_at(RULES.candidates_column(urls.host_of(F.col("url"))), -1).alias("registrable"))
+
+
+def _lookup(spark):
+    return spark.createDataFrame([("example.net", "FR"), ("example.org", "GM"), ("example.org", "FR")], "domain string, code string").groupBy("domain").agg(F.sort_array(F.collect_set("code")).alias("codes"))
+
+
+_LISTED = "CASE WHEN h LIKE '%.example.net' THEN 'FR' WHEN h LIKE '%.example.org' THEN 'FR,GM' END"
+
+
+@_query(f"SELECT DISTINCT h AS host, regexp_extract(h, '[^.]+\\.[^.]+$') AS matched, {_LISTED} AS codes FROM (SELECT {_HOST} AS h FROM pages) WHERE h LIKE '%.example.net' OR h LIKE '%.example.org'")
+def most_specific_codes(spark, sf_dir):
+    X.ship(spark)
+    hosts = X.table(spark, sf_dir, "pages").select(urls.host_of(F.col("url")).alias("host"))
+    return enrich.most_specific(hosts, _lookup(spark), RULES).select("host", "matched", F.array_join("codes", ",").alias("codes"))
+
+
+def _countries(spark, sf_dir):
+    X.ship(spark)
+    pages = X.table(spark, sf_dir, "pages").select("page_id", "url", urls.host_of(F.col("url")).alias("host"))
+    listed = enrich.most_specific(pages, _lookup(spark), RULES)
+    own = F.when(F.contains("url", F.lit("/fr/")), F.array(F.lit("FR"))).when(F.contains("url", F.lit("/de/")), F.array(F.lit("FR"), F.lit("GM"))).when(F.contains("url", F.lit("/es/")), F.array(F.lit("XX")))
+    rows = pages.join(listed, "host", "left").withColumn("own", own)
+    none = F.array().cast("array<string>")
+    choice = enrich.choose_country(F.col("host"), F.col("own"), none, F.col("matched"), F.col("codes"), _map(ISO), _map({"FR": "France"}))
+    return rows.select("page_id", choice.alias("c")).select("page_id", "c.*")
+
+
+_COUNTRY = f"""SELECT page_id, CASE WHEN url LIKE '%/fr/%' THEN 'FR' WHEN url LIKE '%/es/%' THEN 'XX' WHEN url LIKE '%/de/%' OR l = 'FR,GM' OR l IS NULL THEN NULL ELSE l END AS fips,
+  CASE WHEN url LIKE '%/fr/%' THEN 'estimated' WHEN url LIKE '%/de/%' THEN 'conflicting' WHEN url LIKE '%/es/%' THEN 'unmapped_fips' WHEN l IS NULL THEN 'unknown' WHEN l = 'FR,GM' THEN 'conflicting' ELSE 'estimated' END AS status,
+  CASE WHEN url LIKE '%/fr/%' OR url LIKE '%/de/%' OR url LIKE '%/es/%' THEN 'exact_url' WHEN l = 'FR,GM' THEN 'historical_lookup' WHEN l = 'FR' THEN 'historical_lookup_parent' END AS method
+FROM (SELECT page_id, url, {_LISTED} AS l FROM (SELECT page_id, url, {_HOST} AS h FROM pages))"""
+
+
+@_query(_COUNTRY)
+def country_choice(spark, sf_dir):
+    return _countries(spark, sf_dir).select("page_id", "fips", "status", "method")
+
+
+@_query(f"SELECT status, coalesce(method, 'unknown') AS method, count(*) AS n FROM ({_COUNTRY}) GROUP BY ALL")
+def country_histogram(spark, sf_dir):
+    return _countries(spark, sf_dir).groupBy("status", F.coalesce("method", F.lit("unknown")).alias("method")).agg(F.count("*").alias("n"))
+
+
+# --- identities, export, publication
+
+_ID = f"sha256('[\"{identity.TAG}\",\"{X.MINUTE}\",\"' || raw_sha256 || '\",1,\"' || observed_at || '\",\"' || lang || '\",\"' || url || '\"]')"
+
+
+def _published(spark, sf_dir):
+    rows = export.numbered(X.observations(spark, sf_dir).drop("n_chars"), ["raw_sha256"])
+    return publish.compact(rows, F.lit(X.MINUTE), F.col("raw_sha256"))
+
+
+@_query(f"SELECT url, {_ID} AS observation_id FROM ({X.OBSERVATIONS_SQL})")
+def observation_ids(spark, sf_dir):
+    rows = X.observations(spark, sf_dir)
+    return rows.select("url", identity.observation_id(F.lit(X.MINUTE), F.col("raw_sha256"), F.col("type"), F.col("observed_at"), F.col("lang"), F.col("url")).alias("observation_id"))
+
+
+_NUMBERED = f"SELECT *, row_number() OVER (PARTITION BY raw_sha256 ORDER BY url, observed_at, lang, type) AS id, row_number() OVER (PARTITION BY raw_sha256, type ORDER BY url, observed_at, lang) AS type_id FROM ({X.OBSERVATIONS_SQL})"
+
+
+def _numbered(spark, sf_dir):
+    return export.numbered(X.observations(spark, sf_dir), ["raw_sha256"])
+
+
+@_query(f"SELECT url, id, type_id FROM ({_NUMBERED})")
+def number_observations(spark, sf_dir):
+    return _numbered(spark, sf_dir).select("url", "id", "type_id")
+
+
+@_query(f"SELECT url, sha256(raw_sha256 || ':' || id) AS observation_id FROM ({_NUMBERED})")
+def legacy_ids(spark, sf_dir):
+    return _numbered(spark, sf_dir).select("url", identity.legacy_id(F.col("raw_sha256"), F.col("id")).alias("observation_id"))
+
+
+_DICTIONARY = "SELECT row_number() OVER (ORDER BY min(doc_id)) - 1 AS text_id, text FROM documents GROUP BY text"
+
+
+@_query(f"SELECT text_id, length(text)::INT AS chars, sha256(text) AS sha256 FROM ({_DICTIONARY})")
+def packed_dictionary(spark, sf_dir):
+    texts = export.dictionary(X.table(spark, sf_dir, "documents"), "doc_id")
+    return texts.select("text_id", F.length("text").alias("chars"), F.sha2("text", 256).alias("sha256"))
+
+
+@_query(f"SELECT doc_id, text_id FROM documents JOIN ({_DICTIONARY}) USING (text)")
+def packed_rows(spark, sf_dir):
+    docs = X.table(spark, sf_dir, "documents")
+    return export.packed(docs, export.dictionary(docs, "doc_id")).select("doc_id", "text_id")
+
+
+@_query("SELECT doc_id, source, lang, sha256(text) AS sha256 FROM documents")
+def packed_roundtrip(spark, sf_dir):
+    docs = X.table(spark, sf_dir, "documents")
+    texts = export.dictionary(docs, "doc_id")
+    return export.unpacked(export.packed(docs, texts), texts).select("doc_id", "source", "lang", F.sha2("text", 256).alias("sha256"))
+
+
+@_query(f"""SELECT source, count(*) AS observations, count_if(type = 1) AS type1, count_if(type = 2) AS type2, count(DISTINCT text) AS unique_texts, count_if(assembly = 'estimated') AS estimated,
+  sum(position_joins)::BIGINT AS joins, count_if(bounded_fallback) AS bounded FROM ({X.OBSERVATIONS_SQL}) GROUP BY source""")
+def export_report(spark, sf_dir):
+    return export.report(X.observations(spark, sf_dir), ["source"])
+
+
+@_query(f"SELECT url, type_id FROM ({_NUMBERED}) WHERE type_id = 1")
+def sample_rows(spark, sf_dir):
+    return export.sample(_numbered(spark, sf_dir)).select("url", "type_id")
+
+
+@_query("""WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS place, count(*) OVER () AS n FROM documents)
+SELECT doc_id FROM o WHERE place IN (SELECT (i * (SELECT max(n) FROM o)) // 40 FROM range(40) t(i))""")
+def spread_rows(spark, sf_dir):
+    return export.spread(X.table(spark, sf_dir, "documents").select("doc_id", "n_chars"), ["n_chars", "doc_id"], 40).select("doc_id")
+
+
+@_query(f"""SELECT observed_at AS date, lang AS language, url AS source_url, sha256(text) AS text_sha256, {_ID} AS observation_id, type::INT AS type, '{X.MINUTE}' AS source_minute, raw_sha256, fragments, assembly,
+  position_joins, bounded_fallback, search, id, type_id FROM ({_NUMBERED})""")
+def compact_rows(spark, sf_dir):
+    m = ["source_minute", "raw_sha256", "fragments", "assembly", "position_joins", "bounded_fallback", "search", "id", "type_id"]
+    return _published(spark, sf_dir).select("date", "language", "source_url", F.sha2("text", 256).alias("text_sha256"), "observation_id", F.col("type").cast("int").alias("type"), *[f"metadata.{c}" for c in m])
+
+
+@_query(f"SELECT '{X.MINUTE}' AS source_minute, raw_sha256, count(*) AS observations, count(DISTINCT {_ID}) AS identities, count_if(type = 1) AS type1, count_if(type = 2) AS type2 FROM ({X.OBSERVATIONS_SQL}) GROUP BY raw_sha256")
+def shard_manifest(spark, sf_dir):
+    return publish.manifest(_published(spark, sf_dir))
+
+
+@_query("SELECT count(*) AS before, count(*) AS after, 0::BIGINT AS lost FROM documents")
+def migration_conserved(spark, sf_dir):
+    """Rows written in the published layout, read again in the core layout, and compared by identity."""
+    rows = _published(spark, sf_dir)
+    path = scratch_path(spark, "compact")
+    publish.write_compact(rows, path)
+    back = publish.upgrade_core(spark.read.parquet(path).select("date", "language", "source_url", "text", "observation_id", "type"))
+    lost = publish.conserved(rows, back, ["observation_id", "source_url"]).agg(F.count("*").alias("lost"))
+    return rows.agg(F.count("*").alias("before")).crossJoin(back.agg(F.count("*").alias("after"))).crossJoin(lost)  # one row each
+
+
+# --- audits
+
+@_query("SELECT text_sha256, n FROM (SELECT sha256(text) AS text_sha256, count(*) AS n FROM documents GROUP BY text) WHERE n > 1")
+def duplicate_identities(spark, sf_dir):
+    return audit.repeated_identities(X.table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2("text", 256)), ["text_sha256"])
+
+
+_OLD, _NEW = "SELECT doc_id, lang, n_chars FROM documents WHERE lang <> 'es'", "SELECT doc_id, CASE WHEN n_chars > 5000 THEN 'xx' ELSE lang END AS lang, n_chars FROM documents WHERE lang <> 'de'"
+
+
+def _two(spark, sf_dir):
+    docs = X.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return docs.where("lang <> 'es'"), docs.where("lang <> 'de'").withColumn("lang", F.when(F.col("n_chars") > 5000, "xx").otherwise(F.col("lang")))
+
+
+@_query(f"""SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'added' WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM ({_OLD}) o FULL JOIN ({_NEW}) n ON o.doc_id = n.doc_id WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.lang IS DISTINCT FROM n.lang""")
+def regression_diff(spark, sf_dir):
+    return audit.regression(*_two(spark, sf_dir), ["doc_id"], ["lang", "n_chars"])
+
+
+@_query(f"SELECT lang, sum(n)::BIGINT AS surplus FROM (SELECT lang, 1 AS n FROM ({_OLD}) UNION ALL SELECT lang, -1 FROM ({_NEW})) GROUP BY lang HAVING sum(n) <> 0")
+def multiset_surplus(spark, sf_dir):
+    return audit.multiset_difference(*_two(spark, sf_dir), ["lang"])
+
+
+@_query(f"SELECT doc_id, 'left' AS side FROM ({_OLD}) WHERE doc_id NOT IN (SELECT doc_id FROM ({_NEW})) UNION ALL SELECT doc_id, 'right' FROM ({_NEW}) WHERE doc_id NOT IN (SELECT doc_id FROM ({_OLD}))")
+def missing_keys(spark, sf_dir):
+    return audit.missing_keys(*_two(spark, sf_dir), ["doc_id"])
+
+
+@_query("SELECT event_type, median(value) AS median, count(*) AS runs FROM events GROUP BY event_type")
+def medians(spark, sf_dir):
+    return audit.medians(X.table(spark, sf_dir, "events"), ["event_type"], "value")
+
+
+@_query("SELECT event_id, value FROM events ORDER BY value DESC, event_id DESC LIMIT 10")
+def slowest(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "events").select("event_id", "value")
+    return rows.orderBy(F.desc("value"), F.desc("event_id")).limit(10)
+
+
+# --- metadata
+
+_NEAR = """SELECT l.event_id, r.event_id AS near_id, (abs(epoch_us(l.ts) - epoch_us(r.ts)) / 1e6)::DOUBLE AS distance, count(*) OVER (PARTITION BY l.event_id) AS candidates,
+  row_number() OVER (PARTITION BY l.event_id ORDER BY abs(epoch_us(l.ts) - epoch_us(r.ts)), r.event_id) AS k
+FROM events l JOIN events r ON l.user_id = r.user_id AND abs(epoch_us(l.ts) - epoch_us(r.ts)) <= 3600000000 WHERE l.event_type = 'view' AND r.event_type = 'click'"""
+
+
+@_query(f"SELECT e.event_id, near_id, round(distance, 3) AS distance, coalesce(candidates, 0) AS candidates FROM (SELECT event_id FROM events WHERE event_type = 'view') e LEFT JOIN (SELECT * FROM ({_NEAR}) WHERE k = 1) USING (event_id)")
+def nearest_metadata(spark, sf_dir):
+    events = X.table(spark, sf_dir, "events")
+    left = events.where("event_type = 'view'").select(F.col("event_id").alias("row_id"), "user_id", "ts")
+    right = events.where("event_type = 'click'").select("user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("id"))
+    out = enrich.nearest(left, right, ["user_id"], "ts", "seen_at", ["id"])
+    return out.select(F.col("row_id").alias("event_id"), "near_id", F.round("distance", 3).alias("distance"), "candidates")
+
+
+@_query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events) WHERE k = 1")
+def first_wins(spark, sf_dir):
+    return enrich.first_by(X.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), ["user_id"], ["event_id"])
+
+
+@_query("""SELECT d.doc_id, coalesce(nullif(p.url, ''), d.source) AS name, CASE WHEN nullif(p.url, '') IS NOT NULL THEN 'pages' ELSE 'documents' END AS name_source
+FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id""")
+def coalesced_fields(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "documents").join(X.table(spark, sf_dir, "pages"), F.col("doc_id") == F.col("page_id"), "left")
+    return rows.select("doc_id", *enrich.coalesced({"name": [("pages", F.col("url")), ("documents", F.col("source"))]}))
+
+
+@_query("SELECT host, array_to_string(list_sort(list(DISTINCT code)), ',') AS codes, count(DISTINCT code) <> 1 AS conflict FROM (SELECT regexp_extract(url, '([^./]+\\.[^./]+\\.(com|net|org))/', 1) AS host, upper(split_part(url, '/', 4)) AS code FROM pages) GROUP BY host")
+def code_sets(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "pages").select(F.regexp_extract("url", r"([^./]+\.[^./]+\.(com|net|org))/", 1).alias("host"), F.upper(F.split_part("url", F.lit("/"), F.lit(4))).alias("code"))
+    return enrich.code_sets(rows, "host", "code").select("host", F.array_join("codes", ",").alias("codes"), (F.size("codes") != 1).alias("conflict"))
+
+
+@_query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' WHEN 'es' THEN 'Spanish' END AS language FROM documents")
+def language_names(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", metadata.normalize_language(F.col("lang")).alias("language"))
+
+
+@_query("SELECT event_id, value AS number, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM events")
+def numbers_and_times(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "events").withColumn("_s", F.date_format("ts", "yyyyMMddHHmmss"))
+    return rows.select("event_id", metadata.number(F.col("value").cast("string")).alias("number"), minutes.stamp(metadata.timestamp(F.col("_s"))).alias("stamp"))
+
+
+def _graph_lines(spark, sf_dir):
+    docs = X.table(spark, sf_dir, "documents")
+    fields = [F.lit("")] * 27
+    fields[0], fields[1], fields[2] = F.col("doc_id").cast("string"), F.lit("20250316001500"), F.when(F.col("lang") == "es", "2").otherwise("1")
+    fields[4], fields[8] = X._url(), F.concat(F.lit("TAX_A,1;ECON_B,2;TAX_A,9;"), F.upper("source"), F.lit(",5"))
+    fields[10] = F.concat(F.lit("1#Paris#FR#FR00#x#48.8#2.3#id#"), F.col("n_chars").cast("string"), F.lit(";1#Nowhere#US#US00#x#95#2.3#id#7;short#row"))
+    fields[15] = F.concat((F.col("n_chars") / 4).cast("string"), F.lit(",1,2,3,4,5,"), F.col("n_chars").cast("string"))
+    fields[17], fields[24], fields[25] = F.lit("wc:125,c8.3:1.5,c9.9:4"), F.lit("3,big dogs,12;x,bad,1"), F.when(F.col("lang") == "de", "srclc:deu;eng:x").otherwise("")
+    fields[26] = F.concat(F.lit("<PAGE_TITLE>A &amp; "), F.col("source"), F.lit("</PAGE_TITLE>"))
+    return docs.select(F.col("source"), F.concat_ws("\t", *fields).alias("value"), F.lit(False).alias("replaced"))
+
+
+@_query("""SELECT doc_id::VARCHAR AS record_id, 'https://' || source || '.example.com/doc/' || doc_id AS url, CASE lang WHEN 'de' THEN 'German' ELSE 'English' END AS language, 'TAX_A|ECON_B|' || upper(source) AS themes,
+  'Paris:FR:' || n_chars AS places, 'FR,US' AS mentioned, n_chars / 4 AS tone_value, n_chars::DOUBLE AS word_count, 125.0::DOUBLE AS wc, 'big dogs' AS object, 'A & ' || source AS title FROM documents WHERE lang <> 'es'""")
+def graph_records(spark, sf_dir):
+    X.ship(spark)
+    g = sources.graph_records(_graph_lines(spark, sf_dir), _map(ISO))
+    place = F.transform("locations", lambda x: F.concat_ws(":", x["name"], x["country_code"], x["offset"].cast("string")))
+    return g.select("record_id", "url", "language", F.array_join("themes", "|").alias("themes"), F.array_join(place, "|").alias("places"), F.array_join("mentioned", ",").alias("mentioned"), "tone_value", "word_count",
+                    F.element_at("measures", "wc").alias("wc"), F.array_join(F.transform("amounts", lambda a: a["object"]), "|").alias("object"), "title")
+
+
+@_query("SELECT source, count(*) AS rows, 0::BIGINT AS malformed_rows, 0::BIGINT AS utf8_replacement_rows, count_if(lang <> 'es') AS matched_rows FROM documents GROUP BY source")
+def dataset_stats(spark, sf_dir):
+    X.ship(spark)
+    lines = _graph_lines(spark, sf_dir)
+    return sources.dataset_stats(lines, sources.graph_records(lines, _map(ISO)))
+
+
+# --- minutes and increments
+
+_MINUTES = "SELECT DISTINCT strftime(ts, '%Y%m%d%H%M') || '00' AS minute FROM events"
+FIRST, LAST = "20240101000000", "20240130235900"
+_CALENDAR = "SELECT strftime(unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:59:00', INTERVAL 1 MINUTE)), '%Y%m%d%H%M%S') AS minute"
+
+
+def _present(spark, sf_dir):
+    return X.table(spark, sf_dir, "events").select(minutes.stamp(F.date_trunc("minute", "ts")).alias("minute")).distinct()
+
+
+@_query(_CALENDAR)
+def minute_calendar(spark, sf_dir):
+    return minutes.minute_calendar(spark, FIRST, LAST).select("minute")
+
+
+@_query(f"SELECT minute FROM ({_CALENDAR}) WHERE minute NOT IN ({_MINUTES})")
+def missing_minutes(spark, sf_dir):
+    return minutes.missing_minutes(minutes.minute_calendar(spark, FIRST, LAST), _present(spark, sf_dir)).select("minute")
+
+
+@_query(f"SELECT minute FROM ({_CALENDAR}) WHERE minute NOT IN ({_MINUTES}) AND minute >= '20240129120000'")
+def pending_minutes(spark, sf_dir):
+    from fragloom.streaming.job import pending
+
+    present = _present(spark, sf_dir)
+    missing = minutes.missing_minutes(minutes.minute_calendar(spark, FIRST, LAST), present).select("minute")
+    return pending(missing, missing, present, "20240130120000")
+
+
+@_query(f"SELECT strftime(b, '%Y%m%d%H%M%S') AS batch, min(minute) AS start, max(minute) AS end, count(*) AS minutes, count_if(status = 'missing') AS missing, sum(n)::BIGINT AS observations FROM (SELECT minute, time_bucket(INTERVAL 6 HOUR, strptime(minute, '%Y%m%d%H%M%S')) AS b, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'missing' ELSE 'available' END AS status FROM ({_CALENDAR}) LEFT JOIN (SELECT strftime(ts, '%Y%m%d%H%M') || '00' AS minute, count(*) AS n FROM events GROUP BY 1) USING (minute)) GROUP BY b")
+def batch_rollup(spark, sf_dir):
+    counts = X.table(spark, sf_dir, "events").groupBy(minutes.stamp(F.date_trunc("minute", "ts")).alias("minute")).agg(F.count("*").alias("observations"))
+    rows = minutes.minute_calendar(spark, FIRST, LAST).join(counts, "minute", "left")
+    rows = rows.withColumn("status", F.when(F.col("observations").isNull(), "missing").otherwise("available")).withColumn("quarantined", F.lit(0))
+    rows = rows.withColumn("batch", minutes.stamp(F.window("ts", "6 hours")["start"]))
+    return publish.batch_rollup(rows, ["batch"]).select("batch", "start", "end", "minutes", F.size("missing").cast("long").alias("missing"), "observations")
+
+
+@_query("SELECT day, n, sum(n) OVER (ORDER BY day)::BIGINT AS running FROM (SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS n FROM events GROUP BY 1)")
+def progress_totals(spark, sf_dir):
+    days = X.table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyyMMdd").alias("day")).agg(F.count("*").alias("n"))
+    return enrich.running(days, [], ["day"], "n")
+
+
+@_query(f"SELECT minute, strftime(strptime(minute, '%Y%m%d%H%M%S') + INTERVAL 1 MINUTE, '%Y%m%d%H%M%S') AS successor, strftime(strptime(minute, '%Y%m%d%H%M%S') - INTERVAL 1 MINUTE, '%Y%m%d%H%M%S') AS predecessor FROM ({_MINUTES})")
+def minute_neighbours(spark, sf_dir):
+    m = F.col("minute")
+    return _present(spark, sf_dir).select("minute", minutes.shift_minutes(m, 1).alias("successor"), minutes.shift_minutes(m, -1).alias("predecessor"))
+
+
+@_query(f"""SELECT minute, dataset, stamp, translated FROM (SELECT minute, strptime(minute, '%Y%m%d%H%M%S') AS t FROM ({_MINUTES})), LATERAL (
+SELECT 'pages' AS dataset, minute AS stamp, false AS translated UNION ALL SELECT 'tags', minute, false UNION ALL SELECT 'places', left(minute, 8), false
+UNION ALL SELECT 'graph', strftime(time_bucket(INTERVAL 15 MINUTE, t) + k * INTERVAL 15 MINUTE, '%Y%m%d%H%M%S'), x FROM range(3) r(k), (VALUES (false), (true)) v(x))""")
+def fetch_plans(spark, sf_dir):
+    return sources.fetch_plans(_present(spark, sf_dir), "")
+
+
+@_query("SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00' AND event_type = 'click'")
+def timestamp_slice(spark, sf_dir):
+    rows = X.table(spark, sf_dir, "events").withColumn("_t", F.col("ts").cast("string"))
+    return publish.dated(rows, "2024-01-10", "2024-01-12", "click", column="_t", lang="event_type").select("event_id", "ts")
+
+
+@_query("SELECT lang, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE lang = 'fr' GROUP BY lang")
+def language_slice(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").where("lang = 'fr'").groupBy("lang").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+
+
+@_query("SELECT doc_id FROM documents WHERE lang = 'en' AND contains(lower(text), 'tion the') ORDER BY doc_id LIMIT 10")
+def substring_search(spark, sf_dir):
+    return publish.containing(X.table(spark, sf_dir, "documents"), "tion the", "en", 10, ["doc_id"], lang="lang").select("doc_id")
+
+
+@_query("SELECT sha256(text) AS sha256, doc_id FROM documents")
+def digests(spark, sf_dir):
+    return X.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+
+
+@_query("SELECT strftime(ts, '%Y%m%d%H%M') || '00' AS minute, count(*) AS n FROM events GROUP BY 1")
+def stream_minutes(spark, sf_dir):
+    """The events as a stream: each micro-batch adds its counts to a table once, by batch id, and the sums are read from there."""
+    source, out = scratch_path(spark, "events"), scratch_path(spark, "stream")
+    events = X.table(spark, sf_dir, "events").select("ts")
+    events.repartition(6, "ts").write.parquet(source)
+
+    def put(batch, batch_id):
+        counted = batch.groupBy(minutes.stamp(F.date_trunc("minute", "ts")).alias("minute")).agg(F.count("*").alias("n"))
+        counted.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/data").groupBy("minute").agg(F.sum("n").alias("n"))

@@ -1,0 +1,110 @@
+"""The scheduler's rules, as pure functions."""
+
+from dataclasses import replace
+from datetime import UTC, datetime
+
+import pytest
+
+from fragloom.streaming import planner as P
+
+NOW = datetime(2025, 3, 16, 12, 30, 20, tzinfo=UTC)
+
+
+def begun(start="20250316000000"):
+    return P.bootstrap(start, NOW)
+
+
+def batch(lane, start, end, missing=(), receipt="r", n=1):
+    return P.Batch(start, end, lane, tuple(missing), n, receipt)
+
+
+def test_seam_is_fixed_below_the_cutoff():
+    p = begun()
+    assert (p.live_next, p.backfill_next_end, p.backfill_floor) == ("20250316121500", "20250316121400", "20250316000000")
+    assert begun("20250316122500").live_next == "20250316122500"
+
+
+def test_backfill_covers_every_minute_once_and_live_comes_first():
+    p, seen = begun(), []
+    assert P.choose(p, {}, {}, NOW, 0).lane == "live"
+    p = P.commit(p, batch("live", "20250316121500", "20250316122900"), NOW)
+    while plan := P.choose(p, {}, {}, NOW, 0):
+        assert plan.lane == "backfill"
+        at = plan.start
+        while at <= plan.end:
+            seen.append(at)
+            at = P.shift(at, 1)
+        p = P.commit(p, batch("backfill", plan.start, plan.end, receipt=plan.start), NOW)
+    assert len(seen) == len(set(seen)) == 12 * 60 + 15 and min(seen) == "20250316000000" and max(seen) == "20250316121400"
+
+
+def test_a_paused_lane_does_not_block_others():
+    assert P.choose(begun(), {}, {"live": NOW.timestamp() + 9}, NOW, 0).lane == "backfill"
+
+
+def test_a_burst_of_fresh_repairs_then_backfill_and_every_fourth_is_older():
+    p = replace(begun(), live_next="20250316123100", pending=("20250316100000", "20250316122000", "20250316122500"))
+    assert P.choose(p, {}, {}, NOW, 0) == P.Plan("20250316122000", "20250316122000", "repair")
+    assert P.choose(p, {}, {}, NOW, 3) == P.Plan("20250316100000", "20250316100000", "repair")
+    assert P.choose(p, {}, {}, NOW, 19).lane == "repair"
+    assert P.choose(p, {}, {}, NOW, 20).lane == "backfill"
+    old = replace(p, pending=("20250316100000",))
+    assert P.choose(old, {}, {}, NOW, 0).lane == "repair" and P.choose(old, {}, {}, NOW, 1).lane == "backfill"
+
+
+def test_overdue_repairs_go_before_newer_ones():
+    p = replace(begun(), pending=("20250316122000", "20250316122500"))
+    assert P.lane_plan(p, {"20250316122000": NOW.timestamp() - 1}, NOW, "repair").start == "20250316122500"
+    assert P.lane_plan(p, {m: NOW.timestamp() + 1 for m in p.pending}, NOW, "repair") is None
+
+
+def test_repeated_receipts_change_nothing():
+    p = P.commit(begun(), batch("live", "20250316121500", "20250316122900", receipt="a"), NOW)
+    q = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), NOW)
+    assert P.commit(q, batch("live", "20250316121500", "20250316122900", receipt="a"), NOW) is q
+
+
+@pytest.mark.parametrize("bad", [
+    ("live", "20250316121600", "20250316122900"), ("backfill", "20250316120000", "20250316121300"), ("backfill", "20250315235900", "20250316121400"),
+    ("repair", "20250316120000", "20250316120000"), ("other", "20250316121500", "20250316122900"), ("live", "20250316121500", "20250316121400"),
+])
+def test_conflicts_are_refused(bad):
+    with pytest.raises(P.Conflict):
+        P.commit(begun(), batch(*bad), NOW)
+
+
+def test_missing_minutes_stay_pending_for_a_day_and_repairs_move_no_cursor():
+    p = P.commit(begun(), batch("live", "20250316121500", "20250316122900", ["20250316121700"]), NOW)
+    assert p.pending == ("20250316121700",)
+    r = P.commit(p, batch("repair", "20250316121700", "20250316121700", receipt="x"), NOW)
+    assert (r.pending, r.live_next, r.backfill_next_end) == ((), p.live_next, p.backfill_next_end)
+    later = datetime(2025, 3, 17, 13, 0, tzinfo=UTC)
+    moved = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), later)
+    assert moved.pending == ()
+    kept = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), later, protected=("20250316121700",))
+    assert kept.pending == ("20250316121700",)
+    with pytest.raises(P.Conflict):
+        P.commit(p, batch("repair", "20250316121700", "20250316121700", ["20250316121700"], "y"), NOW)
+
+
+def test_totals_and_delays():
+    p = P.commit(begun(), P.Batch("20250316121500", "20250316122900", "live", (), 5, "a", 2, 100), NOW)
+    assert (p.observations, p.quarantined, p.bytes, p.last_lane) == (5, 2, 100, "live")
+    assert [P.repair_delay(n) for n in (1, 2, 3, 4, 5, 9)] == [30, 60, 120, 240, 300, 300]
+    assert [P.failure_delay(n) for n in (0, 1, 6, 9)] == [15, 30, 900, 900]
+    assert P.fits(10**9, 10**8, 2) and not P.fits(19 * 10**8, 10**8, 2) and not P.fits(-1, 0, 2)
+    assert P.seal(5, 5, 9, 1, "a", "b") and P.seal(0, 5, 0, 1, "a", "b") and P.seal(0, 5, 9, 1, "b", "b") and not P.seal(0, 5, 9, 1, "a", "b")
+
+
+def test_single_cursor_schedule():
+    assert P.forward_plan("20250316000000", [], {}, NOW, None) == P.Plan("20250316000000", "20250316055900", "forward")
+    assert P.forward_plan("20250316122500", ["20250316110000"], {}, NOW, "forward").lane == "repair"
+    assert P.forward_plan("20250316122500", ["20250316110000"], {}, NOW, "repair") == P.Plan("20250316122500", "20250316122500", "forward")
+    assert P.forward_plan("20250316123000", [], {}, NOW, None) is None
+
+
+def test_config_ranges():
+    with pytest.raises(ValueError):
+        P.Config(window_minutes=0)
+    with pytest.raises(ValueError):
+        P.parse("20250316000030")

@@ -40,6 +40,23 @@ def escape_role(role: Column) -> Column:
     return F.regexp_replace(escape(role), "\n", "\\\\\n")
 
 
+def _followed(pointers: DataFrame) -> DataFrame:
+    """Pointers (tree, id, at, steps, done) followed to where they are done, by doubling. Those that run in circles never are."""
+    current = materialize(pointers, "chat-pointers")
+    before = current.where("not done").count()
+    while before:
+        there = current.select("tree", F.col("id").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("done").alias("_done"))
+        stepped = current.where("not done").join(there, ["tree", "at"]).select("tree", "id", F.col("_at").alias("at"), (F.col("steps") + F.col("_steps")).alias("steps"), F.col("_done").alias("done"))
+        after = materialize(current.where("done").unionByName(stepped), "chat-pointers")
+        left = after.where("not done").count()
+        discard(current)
+        current = after
+        if left == before:  # every round brings those nearest to an end there, so the rest runs in circles
+            break
+        before = left
+    return current
+
+
 def compressed(messages: DataFrame) -> DataFrame:
     """tree, id -> head (first message of its unary run), steps (messages from the head), top (head's parent or null).
 
@@ -54,18 +71,8 @@ def compressed(messages: DataFrame) -> DataFrame:
         F.when(F.col("_only"), F.col("parent")).alias("jump"), F.when(F.col("_only"), 1).otherwise(0).cast("long").alias("steps"),
     )
     state = materialize(state, "chat-runs")
-    # jump: the ancestor reached so far within the run, null once at the head
     heads = state.select("tree", "id", F.coalesce("jump", "id").alias("at"), "steps", F.col("jump").isNull().alias("done"))
-    current = materialize(heads, "chat-heads")
-    while True:
-        there = current.select("tree", F.col("id").alias("at"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("done").alias("_done"))
-        stepped = current.where("not done").join(there, ["tree", "at"]).select("tree", "id", F.col("_at").alias("at"), (F.col("steps") + F.col("_steps")).alias("steps"), F.col("_done").alias("done"))
-        after = materialize(current.where("done").unionByName(stepped), "chat-heads")
-        left, before = after.where("not done").count(), current.where("not done").count()
-        discard(current)
-        current = after
-        if not left or left == before:  # what is left runs in circles and reaches no root
-            break
+    current = _followed(heads)
     tops = state.select("tree", F.col("id").alias("head"), F.col("parent").alias("top"))
     return current.where("done").select("tree", "id", F.col("at").alias("head"), "steps").join(tops, ["tree", "head"])
 
@@ -77,18 +84,21 @@ def paths(messages: DataFrame) -> DataFrame:
     a circle of replies have no root and are on no path.
     """
     runs = materialize(compressed(messages), "chat-compressed")
-    heads = runs.where("steps = 0").select("tree", "head", "top")
+    heads = materialize(runs.where("steps = 0").select("tree", "head", "top"), "chat-run-heads")
+    above = runs.select("tree", F.col("id").alias("top"), F.col("head").alias("_above"))
+    climbs = heads.join(above, ["tree", "top"], "left").select("tree", F.col("head").alias("id"), F.coalesce("_above", "head").alias("at"), F.lit(1).cast("long").alias("steps"), F.col("top").isNull().alias("done"))
+    rooted = _followed(climbs).where("done").select("tree", F.col("id").alias("head"))
     parents = messages.select("tree", F.col("parent").alias("id")).where("id is not null").distinct()
-    leaves = runs.join(parents, ["tree", "id"], "left_anti")
+    leaves = runs.join(parents, ["tree", "id"], "left_anti").join(rooted, ["tree", "head"], "left_semi")
     # frontier: the lowest message of each run on the way from the leaf to the root
-    frontier = materialize(leaves.select("tree", F.col("id").alias("leaf"), F.col("id").alias("low"), "head", "steps", "top", F.lit(0).cast("long").alias("below"), F.lit(True).alias("rooted")), "chat-frontier")
+    frontier = materialize(leaves.select("tree", F.col("id").alias("leaf"), F.col("id").alias("low"), "head", "steps", "top", F.lit(0).cast("long").alias("below")), "chat-frontier")
     found = []
     while frontier.take(1):
         found.append(frontier)
         above = runs.select("tree", F.col("id").alias("top"), F.col("head").alias("_head"), F.col("steps").alias("_steps"))
         tops = heads.select("tree", F.col("head").alias("_head"), F.col("top").alias("_top"))
         step = frontier.where("top is not null").join(above, ["tree", "top"]).join(tops, ["tree", "_head"])
-        frontier = materialize(step.select("tree", "leaf", F.col("top").alias("low"), F.col("_head").alias("head"), F.col("_steps").alias("steps"), F.col("_top").alias("top"), (F.col("below") + F.col("steps") + 1).alias("below"), "rooted"), "chat-frontier")
+        frontier = materialize(step.select("tree", "leaf", F.col("top").alias("low"), F.col("_head").alias("head"), F.col("_steps").alias("steps"), F.col("_top").alias("top"), (F.col("below") + F.col("steps") + 1).alias("below")), "chat-frontier")
     segments = found[0] if found else frontier
     for more in found[1:]:
         segments = segments.unionByName(more)

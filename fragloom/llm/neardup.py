@@ -2,38 +2,44 @@
 
 Texts with equal shingle sets collapse into one class first. Each class keeps
 the k smallest hashes of its set. Inverted lists of the smallest of them give
-pairs with at least two values in common; the Jaccard similarity that the
-sketch of the union shows drops most of these; the full sets decide the rest.
-
-Lists of values that many classes retain are used only for classes with few
-other values. A list's pairs are not all formed: first each member is compared
-with the list's leader, and then only pairs of different components are, of
-which one is not in the list's largest component.
+pairs with a value in common; 256 parity bits of the sketches drop
+those whose sketches differ far more than allowed, the Jaccard similarity that
+the sketch of the union shows drops most others; the full sets decide the rest.
+
+Values that many classes retain get no list. Classes that have few others, the
+crowd, are met among each other through their full sets instead: two sets at the
+threshold share one of their rarest shingles, and the place of the first such
+shingle bounds what they can have in common, so short lists and few pairs remain.
+
+A list's pairs are not all formed: first each member is compared with the list's
+leader, and then only pairs of different components are, of which one is not in
+the list's largest component.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import discard, materialize, read, ready_for_python
+from fragloom.llm.common import discard, materialize, read, ready_for_python, sent_if_few
 from fragloom.llm.vectext import lists, mix, shingle_sets
 
 #: Hashes that a sketch keeps.
 SKETCH = 64
-#: The smallest of them have inverted lists. Two sets at 0.8 share at most one of ten with probability 4e-6.
-LISTED = 16
-ENOUGH = 10
-#: A value with more classes in its list is frequent.
-FREQUENT = 50
+#: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these is of the crowd.
+LISTED, USED, ENOUGH = 32, 16, 14
+#: A value that more classes keep among their smallest is frequent. Where 18 of 32 are, and all of these are common to
+#: both sets, sets at 0.8 still have 0.54 of the others in common, and miss each other in all 14 with probability 2e-5.
+FREQUENT = 100
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
 MARGIN = 5
-#: Ids sent to all tasks to fetch texts by; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Parity bits of a sketch, as four numbers.
+PARITY = 256
+PARTS = ["p0", "p1", "p2", "p3"]
 
-_SKETCH_TYPE = "struct<n:bigint,lo:bigint,hi:bigint,sketch:array<bigint>>"
+_SKETCH_TYPE = "struct<n:bigint,lo:bigint,hi:bigint,p0:bigint,p1:bigint,p2:bigint,p3:bigint,sketch:array<bigint>>"
 
 
 def _digests(values: np.ndarray, at: np.ndarray) -> list[pa.Array]:
@@ -54,7 +60,11 @@ def _sketcher(words: int, size: int):
         kept = np.minimum(n, size)
         to = np.concatenate(([0], np.cumsum(kept)))
         pick = np.arange(to[-1]) - np.repeat(to[:-1] - at[:-1], kept)
-        return pa.StructArray.from_arrays([pa.array(n), *_digests(values, at), lists(values[pick].view(np.int64), to, pa.int64())], ["n", "lo", "hi", "sketch"])
+        held = values[pick]
+        bit = np.repeat(np.arange(len(n)) * PARITY, kept) + (held % np.uint64(PARITY)).astype(np.int64)
+        parity = np.packbits(np.bincount(bit, minlength=len(n) * PARITY) & 1).view(np.int64).reshape(-1, len(PARTS))
+        columns = [pa.array(n), *_digests(values, at), *[pa.array(x.copy()) for x in parity.T], lists(held.view(np.int64), to, pa.int64())]
+        return pa.StructArray.from_arrays(columns, ["n", "lo", "hi", *PARTS, "sketch"])
 
     return F.arrow_udf(sketch, _SKETCH_TYPE).asNondeterministic()
 
@@ -84,9 +94,23 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _odd_bits(threshold: float) -> int:
+    """Odd bits of two parities beyond which the threshold is ruled out.
+
+    At the threshold, at most 2 (1 - threshold) of the kept hashes are in one
+    sketch only on average, when one set holds the other; the bound lies 4.5
+    standard deviations above the bits that these leave odd.
+    """
+    d, keep = 2 * (1 - threshold) * SKETCH, 1 - 2 / PARITY
+    spread = (4 * SKETCH * threshold * (1 - threshold) * keep ** (2 * d) + 2 * d * d / PARITY) ** 0.5
+    return round(PARITY / 2 * (1 - keep**d) + 4.5 * spread)
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:
-    """Pairs (a, b) whose union sketch doesn't rule the threshold out, with the estimate."""
-    side = lambda x: classes.select(F.col("node").alias(x), F.col("sketch").alias(f"_{x}"))
+    """Pairs (a, b) whose union sketch doesn't rule the threshold out, with the estimate. pairs must be materialized."""
+    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
+    sketches = materialize(classes.join(sent_if_few(nodes), "node").select("node", "sketch"), "candidates")
+    side = lambda x: sketches.select(F.col("node").alias(x), F.col("sketch").alias(f"_{x}"))
     union = F.slice(F.array_sort(F.array_union("_a", "_b")), 1, size)
     with_union = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_u", union)
     found = F.size(F.array_intersect("_u", F.array_intersect("_a", "_b"))) / F.size("_u")
@@ -94,16 +118,18 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, size: int
     return with_union.select("a", "b", found.alias("estimate")).where(F.col("estimate") >= least)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold. Sets are made anew from the texts of the classes concerned."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    needed = materialize(classes.join(needed, "node").select("node", "least_id", "lo", "hi", F.col("n").alias("_n")), "needed")
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
-    found = docs.join(needed, F.col("id").eqNullSafe(F.col("least_id")))
+def _full_sets(needed: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """node, set of the classes needed (node, least_id, lo, hi; materialized), made anew from their texts."""
+    found = docs.join(sent_if_few(needed.select("node", "least_id", "lo", "hi")), F.col("id").eqNullSafe(F.col("least_id")))
     found = found.select("node", "lo", "hi", _set_maker(words)("text").alias("_s"))
     sets = found.where("_s.lo = lo and _s.hi = hi").select("node", F.col("_s.full").alias("set"))
-    sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    return materialize(sets.dropDuplicates(["node"]), "sets")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) whose full sets reach the threshold."""
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _full_sets(materialize(classes.join(needed, "node").select("node", "least_id", "lo", "hi"), "needed"), docs, words)
     side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"_{x}"))
     both = F.size(F.array_intersect("_a", "_b"))
     linked = pairs.join(side("a"), "a").join(side("b"), "b").where(both * share[1] >= share[0] * (F.size("_a") + F.size("_b") - both))
@@ -112,11 +138,6 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     return out
 
 
-def _shared(pairs: DataFrame) -> DataFrame:
-    """Pairs with at least two values in common."""
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("_c")).where("_c >= 2").select("a", "b")
-
-
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row a row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -132,33 +153,56 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     sketched = docs.select("id", _sketcher(words, SKETCH)("text").alias("s"))
     meta = materialize(sketched.select("id", "s.*"), "sketches")
-    classes = meta.where("n > 0").groupBy("lo", "hi", "n").agg(F.min("id").alias("least_id"), F.any_value("sketch").alias("sketch"))
+    classes = meta.where("n > 0").groupBy("lo", "hi", "n").agg(F.min("id").alias("least_id"), *[F.any_value(c).alias(c) for c in (*PARTS, "sketch")])
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    listed = classes.select("node", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
+    listed = classes.select("node", "n", *PARTS, F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
     frequent = listed.groupBy("v").agg(F.count("*").alias("_c")).where(F.col("_c") > FREQUENT).select("v", F.lit(True).alias("_often"))
-    listed = listed.join(frequent, "v", "left").groupBy("node", "n").agg(
-        F.collect_list(F.when(F.col("_often").isNull(), F.col("v"))).alias("_rare"), F.collect_list(F.when(F.col("_often"), F.col("v"))).alias("_frequent")
-    )
-    used = F.when(F.size("_rare") >= ENOUGH, F.col("_rare")).otherwise(F.concat("_rare", "_frequent"))
-    listed = materialize(listed.select("node", "n", F.explode(used).alias("v")), "lists")
-
-    alike = lambda x, y: F.least(x, y) * share[1] >= F.greatest(x, y) * share[0]
-    leaders = listed.groupBy("v").agg(F.min(F.struct("node", "n")).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
-    led = listed.join(leaders, "v").where((F.col("node") > F.col("_l.node")) & alike(F.col("n"), F.col("_l.n")))
-    led = _estimated(_shared(led.select(F.col("_l.node").alias("a"), F.col("node").alias("b"))), classes, threshold, SKETCH)
-    best = led.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
-    first = _verified(materialize(best.select("a", "b"), "led"), classes, docs, words, share)
+    listed = listed.join(frequent, "v", "left").groupBy("node", "n", *PARTS).agg(F.slice(F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v")))), 1, USED).alias("_rare"))
+    listed = materialize(listed.withColumn("_crowd", F.size("_rare") < ENOUGH), "lists")
+    crowd = materialize(classes.join(listed.where("_crowd").select("node"), "node").select("node", "least_id", "lo", "hi", "n"), "crowd")
+    crowd_sets = _full_sets(crowd, docs, words)
+    rarity = F.count("*").over(Window.partitionBy("_g"))
+    ranked = crowd_sets.select("node", F.size("set").alias("_n"), F.explode("set").alias("_g")).withColumn("_c", rarity)
+    ranked = ranked.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("_c", "_g")) - 1)
+    needed = F.ceil(F.col("_n") * share[0] / share[1] - 1e-9)
+    prefix = ranked.where((F.col("at") <= F.col("_n") - needed) & (F.col("_c") > 1)).select("node", (-1 - F.col("_g")).alias("v"), F.col("at").cast("bigint"))
+    rare = listed.select("node", "n", *PARTS, F.lit(None).cast("bigint").alias("at"), F.explode("_rare").alias("v"))
+    crowded = listed.where("_crowd").select("node", "n", *PARTS).join(prefix, "node").select("node", "n", *PARTS, "at", "v")
+    lists_of = materialize(rare.unionByName(crowded), "lists")
+    for done in (listed, crowd, crowd_sets):
+        discard(done)
+
+    most = _odd_bits(threshold)
+
+    def alike(x, y):
+        """Sizes and, in lists of the crowd, places allow the threshold, and so do the parity bits; sketches of small sets are the sets, so that their bits decide for sure."""
+        larger = F.greatest(x("n"), y("n"))
+        bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in PARTS[1:]), F.bit_count(x(PARTS[0]).bitwiseXOR(y(PARTS[0]))))
+        small = F.when(larger <= SKETCH, F.floor((1 / threshold - 1) * larger + 1e-9)).otherwise(most)
+        common = F.least(x("n") - F.coalesce(x("at"), F.lit(0)), y("n") - F.coalesce(y("at"), F.lit(0)))
+        return (common * share[1] >= (x("n") + y("n") - common) * share[0]) & (bits <= small)
+
+    # a list of the crowd is led by the member with the fewest rarer shingles: the nearest to an original among its copies
+    leaders = lists_of.groupBy("v").agg(F.min(F.struct("at", "node", "n", *PARTS)).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
+    near = alike(F.col, lambda c: F.col(f"_l.{c}"))
+    led = lists_of.join(leaders, "v").where((F.col("node") != F.col("_l.node")) & near)
+    led = materialize(led.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).distinct(), "led")
+    best = _estimated(led, classes, threshold, SKETCH).groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
+    first = _verified(materialize(best.select("a", "b"), "best"), classes, docs, words, share)
     one = materialize(classes.select("node").join(connected(first), "node", "left").select("node", F.coalesce("label", "node").alias("c")), "components")
 
-    placed = listed.join(one, "node")
+    placed = lists_of.join(one, "node")
     parts = placed.groupBy("v", "c").agg(F.count("*").alias("_n"))
     mixed = parts.groupBy("v").agg(F.count("*").alias("_parts"), F.max_by("c", F.struct("_n", "c")).alias("_main")).where("_parts > 1").select("v", "_main")
     placed = materialize(placed.join(mixed, "v"), "mixed-lists")
-    x = placed.where("c <> _main").select("v", F.col("node").alias("_x"), F.col("n").alias("_xn"), F.col("c").alias("_xc"))
-    y = placed.select("v", F.col("node").alias("_y"), F.col("n").alias("_yn"), F.col("c").alias("_yc"), "_main")
-    crossed = x.join(y, "v").where((F.col("_xc") != F.col("_yc")) & ((F.col("_yc") == F.col("_main")) | (F.col("_x") < F.col("_y"))) & alike(F.col("_xn"), F.col("_yn")))
-    crossed = _shared(crossed.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")))
+    discard(lists_of)
+    side = lambda x: ["v", *[F.col(c).alias(f"_{x}{c}") for c in ("node", "n", *PARTS, "at", "c")]]
+    x, y = placed.where("c <> _main").select(side("x")), placed.select(*side("y"), "_main")
+    near = alike(lambda c: F.col(f"_x{c}"), lambda c: F.col(f"_y{c}"))
+    crossed = x.join(y, "v").where((F.col("_xc") != F.col("_yc")) & ((F.col("_yc") == F.col("_main")) | (F.col("_xnode") < F.col("_ynode"))) & near)
+    crossed = materialize(crossed.select(F.least("_xnode", "_ynode").alias("a"), F.greatest("_xnode", "_ynode").alias("b")).distinct(), "crossed")
+    discard(placed)
     crossed = materialize(_estimated(crossed, classes, threshold, SKETCH).select("a", "b"), "crossed")
     second = _verified(crossed, classes, docs, words, share)
     label = lambda x: one.select(F.col("node").alias(x), F.col("c").alias(f"_{x}"))

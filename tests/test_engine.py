@@ -1,0 +1,276 @@
+"""The engine on small minute files, from JSON lines to published rows; URLs, metadata and HTTP."""
+
+import gzip
+import http.server
+import json
+import threading
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from fragloom.functions import identity, metadata, text, urls
+from fragloom.functions.shipping import ship
+from fragloom.operators import assemble, audit, classify, enrich, export, publish
+from fragloom.settings import CollectSettings, Settings
+from fragloom.sources import fetch, minutes
+from fragloom.sources import metadata as sources
+from fragloom.streaming import job
+
+GOOD = {"date": "2025-03-16T00:01:00Z", "url": "https://News.Example.com/a", "lang": "en", "type": 1, "pos": 0, "pre": "a", "ngram": "b", "post": "c d", "more": [1]}
+
+
+def line(**changes):
+    return json.dumps({**GOOD, **changes}, ensure_ascii=False)
+
+
+def write(folder, name, lines, ending="\n"):
+    raw = (ending.join(lines) + ending).encode()
+    (folder / name).write_bytes(gzip.compress(raw[: len(raw) // 2]) + gzip.compress(raw[len(raw) // 2 :]) if name.endswith(".gz") else raw)
+
+
+def test_lines_are_numbered_and_folders_must_hold_files(spark, tmp_path):
+    write(tmp_path, "20250316000100.ngrams.json.gz", [line(), "", line(pos=10)])
+    write(tmp_path, "20250316000200.ngrams.json", [line()])
+    (tmp_path / "notes.txt").write_text("x")
+    rows = minutes.read_minutes(spark, str(tmp_path)).withColumn("m", minutes.source_minute(F.col("file"))).orderBy("m", "line_no").collect()
+    assert [(r["m"], r["line_no"], bool(r["value"])) for r in rows] == [("20250316000100", 1, True), ("20250316000100", 2, False), ("20250316000100", 3, True), ("20250316000200", 1, True)]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        minutes.read_minutes(spark, str(tmp_path / "none"))
+
+
+BAD = ["{}", line() + " {}", line() + "," + line(), line(type="1"), line(type=1.0), line(pos=256), line(pos=-1), line(lang=None), line(lang=7), '{"date":"x",' + line()[1:], "[1]", "nope", line()[:-1]]
+
+
+def test_records_are_parsed_strictly(spark):
+    fine = [line(), line(pos=255, type=0), line(ngram='"quoted" \\ é')]
+    df = spark.createDataFrame([(x,) for x in fine + BAD + [" \t"]], "value string")
+    out = minutes.parse_records(df).collect()
+    assert [r["record"] is not None for r in out] == [True] * 3 + [False] * (len(BAD) + 1)
+    assert out[-1]["blank"] and out[2]["record"]["ngram"] == '"quoted" \\ é'
+    with pytest.raises(Exception, match="invalid record"):
+        minutes.require_valid(minutes.parse_records(df.selectExpr("value", "'f' AS file", "1 AS line_no"))).collect()
+
+
+def test_classification_and_fragments(spark):
+    rows = [("u", "d", "en", 1, 0), ("", " ", "", 1, 95), ("u", "d", "en", 2, 0), ("u", "d", "en", 3, 0), ("u", "d", "fr", 1, 0)]
+    df = spark.createDataFrame([(*r, "menu / a", "b", "c") for r in rows], "url string, date string, lang string, type int, pos int, pre string, ngram string, post string")
+    settings = Settings(types=(1,), languages=("en",), quarantine_invalid_metadata=True)
+    out = classify.classify(df, settings).collect()
+    assert [r["status"] for r in out] == ["selected", "quarantined", "type2_skipped", "other_type", "language_filtered"]
+    assert out[1]["reasons"] == list(classify.REASONS)
+    with pytest.raises(Exception, match="invalid metadata"):
+        classify.classify(df, Settings(types=(1,))).collect()
+    chosen = classify.classify(df, settings).where("status = 'selected'")
+    assert [r["text"] for r in classify.fragments(chosen, settings).collect()] == ["a b c"]
+    assert [r["text"] for r in classify.fragments(chosen, Settings(types=(1,), keep_artifacts=True)).collect()] == ["menu / a b c"]
+
+
+@pytest.mark.parametrize("bad", [{"types": ()}, {"types": (3,)}, {"type2_max_position_gap": 15}, {"type2_min_overlap": 0}, {"domains": ("a/b",)}, {"languages": ("",)}, {"max_expanded_mib": 0}])
+def test_settings_ranges(bad):
+    with pytest.raises(ValueError):
+        Settings(**bad)
+
+
+def test_profiles():
+    assert Settings(types=(2, 1, 1), domains=(" A.com. ",)).domains == ("a.com",)
+    assert Settings(threads=1).profile() == Settings(threads=8).profile() != Settings(type2_min_overlap=5).profile()
+
+
+def windows(words, url, n=4):
+    return [{**GOOD, "url": url, "pos": i * 10 // len(words) * 10, "pre": " ".join(words[max(0, i - n) : i]), "ngram": words[i], "post": " ".join(words[i + 1 : i + n + 1])} for i in range(len(words))]
+
+
+def minute_files(folder):
+    one, two = [f"w{i}" for i in range(40)], "北京今天发布新的天气预报，明天上海有小雨"
+    clusters = [{**GOOD, "url": "https://x.cn/2", "lang": "zh", "type": 2, "pos": i * 10 // len(two) * 10, "pre": two[max(0, i - 6) : i], "ngram": two[i], "post": two[i + 1 : i + 7]} for i in range(len(two))]
+    write(folder, "20250316000100.ngrams.json.gz", [json.dumps(x, ensure_ascii=False) for x in windows(one, "https://n.com/1") + clusters])
+    write(folder, "20250316000300.ngrams.json.gz", [json.dumps(x) for x in windows(one[:9], "https://n.com/3")])
+    return " ".join(one), two
+
+
+SETTINGS = Settings(type2_best_effort=True)
+
+
+def test_minute_files_become_published_rows(spark, tmp_path):
+    one, two = minute_files(tmp_path)
+    rows = job.minute_table(minutes.read_minutes(spark, str(tmp_path)), SETTINGS).orderBy("metadata.source_minute", "type").collect()
+    assert [(r["metadata"]["source_minute"], r["type"], r["text"]) for r in rows] == [("20250316000100", 1, one), ("20250316000100", 2, two), ("20250316000300", 1, " ".join(one.split()[:9]))]
+    assert [(r["metadata"]["id"], r["metadata"]["type_id"], r["metadata"]["assembly"]) for r in rows] == [(1, 1, "connected"), (2, 1, "connected"), (1, 1, "connected")]
+    again = {r["observation_id"] for r in job.minute_table(minutes.read_minutes(spark, str(tmp_path)).repartition(5), SETTINGS).collect()}
+    assert again == {r["observation_id"] for r in rows}
+
+
+def test_stream_resumes_and_commits_each_batch_once(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    minute_files(source)
+    job.run(spark, str(source), str(root), SETTINGS, per_batch=1).awaitTermination()
+    sink = job.Sink(spark, str(root), SETTINGS)
+    assert sink.committed().count() == 3 and sink.log().count() == 2
+    write(source, "20250316000400.ngrams.json.gz", [json.dumps(x) for x in windows(["q"] * 1 + ["r", "s"], "https://n.com/4")])
+    job.run(spark, str(source), str(root), SETTINGS).awaitTermination()
+    assert sink.committed().count() == 4 and sink.log().count() == 3
+    missing = job.run_range(spark, str(source), "20250316000100", "20250316000400", str(tmp_path / "range"), SETTINGS)
+    assert [r["minute"] for r in missing.select("minute").collect()] == ["20250316000200"]
+    with job.single_writer(str(root)), pytest.raises(RuntimeError), job.single_writer(str(root)):
+        pass
+
+
+def test_partitioned_shards_are_read_back_by_minute(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    minute_files(source)
+    rows = job.minute_table(minutes.read_minutes(spark, str(source)), SETTINGS)
+    publish.write_compact(rows, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert publish.between(back, "20250316000200", "20250316000300").count() == 1
+    assert publish.conserved(rows, back, ["observation_id"]).count() == 0
+    with pytest.raises(Exception, match="(?i)exists"):
+        publish.write_compact(rows, str(tmp_path / "shards"))
+
+
+def test_audits_find_what_is_wrong(spark):
+    rows = spark.createDataFrame([("u", "d", "zh", 2, 0, i, t) for i, t in enumerate(["前文甲乙丙丁", "甲乙丙丁戊己", "孤立材料"])], "url string, date string, lang string, type int, pos int, line_no int, text string")
+    found = assemble.articles(rows, Settings(types=(2,), type2_best_effort=True), keep_fragments=True)
+    assert audit.evidence(found).collect()[0]["broken"] == []
+    assert audit.evidence(found.withColumn("text", F.lit("?"))).collect()[0]["broken"] == ["primary_text"]
+    assert "accounting" in audit.evidence(found.withColumn("merged", F.lit(9).cast("long"))).collect()[0]["broken"]
+    assert audit.uncontained(rows, export.observations(found.drop("fragments"))).count() == 0
+    assert audit.fragment_accounting(rows, found).count() == 0
+    with pytest.raises(Exception, match="too many fragments"):
+        assemble.grouped(rows, assemble.KEY, 2).collect()
+
+
+def test_identity_is_that_of_compact_json(spark):
+    import hashlib
+
+    sha, url = "a" * 64, 'https://x/"é\\日'
+    df = spark.createDataFrame([(1, "d", "en", url)], "type int, date string, lang string, url string")
+    got = df.select(identity.observation_id(F.lit("20250316000100"), F.lit(sha), F.col("type"), F.col("date"), F.col("lang"), F.col("url")).alias("i")).first()["i"]
+    expected = json.dumps([identity.TAG, "20250316000100", sha, 1, "d", "en", url], ensure_ascii=False, separators=(",", ":"))
+    assert got == hashlib.sha256(expected.encode()).hexdigest()
+    with pytest.raises(Exception, match="incomplete"):
+        df.select(identity.observation_id(F.lit("20250316000100"), F.lit("x"), F.col("type"), F.col("date"), F.col("lang"), F.col("url"))).collect()
+
+
+def test_urls(spark):
+    ship(spark)
+    cases = {"HTTP://News.Example.com:80/p?b=2&utm_x=1&a=1&fbclid=9#f": "http://news.example.com:80/p?a=1&b=2", "https://x.org": "https://x.org/", "ftp://x.org/": None, "https://u@x.org/": None, "https://x.org/?q": "https://x.org/?q="}
+    df = spark.createDataFrame([(u,) for u in cases], "u string")
+    assert {r["u"]: r["c"] for r in df.select("u", urls.canonical_url(F.col("u")).alias("c")).collect()} == cases
+    hosts = spark.createDataFrame([("https://BÜCHER.de/x",), ("http://1.2.3.4:8/",), ("nothing",), ("http://a.b.c./x",)], "u string")
+    assert [r[0] for r in hosts.select(urls.idna_host(F.col("u"))).collect()] == ["xn--bcher-kva.de", "1.2.3.4", "", "a.b.c"]
+    assert [r[0] for r in spark.createDataFrame([("x.a.com",), ("a.com",), ("ba.com",), ("",)], "h string").select(urls.in_domains(F.col("h"), ["a.com"])).collect()] == [True, True, False, False]
+
+
+@pytest.mark.parametrize(("host", "found"), [("a.b.co.uk", "b.co.uk"), ("co.uk", None), ("x.y.blogspot.com", "y.blogspot.com"), ("a.b.ck", "a.b.ck"), ("www.ck", "www.ck"), ("q.www.ck", "www.ck"), ("a.unknown", "a.unknown"), ("1.2.3.4", None)])
+def test_suffix_rules(host, found):
+    rules = urls.Suffixes(["// comment", "com", "uk", "co.uk", "cn", "com.cn", "blogspot.com", "*.ck", "!www.ck"])
+    assert rules.registrable(host) == found
+    assert rules.candidates("a.b.co.uk") == ["a.b.co.uk", "b.co.uk"] and rules.candidates("co.uk") == []
+
+
+def test_metadata_fields(spark):
+    ship(spark)
+    df = spark.createDataFrame([("  a &amp;\n b ", "zh-Hant", "20250316001500"), (None, "old_norse", "2025-03-16T00:15:00Z"), ("x", "", "bad")], "a string, l string, t string")
+    got = df.select(metadata.clean(F.col("a"), 4).alias("a"), metadata.normalize_language(F.col("l")).alias("l"), metadata.timestamp(F.col("t")).alias("t"), metadata.number(F.col("t")).alias("n")).collect()
+    assert [r["a"] for r in got] == ["a & ", "", "x"] or [r["a"] for r in got] == ["a & b"[:4], "", "x"]
+    assert [r["l"] for r in got] == ["Chinese", "Old Norse", "Unknown"]
+    assert [r["t"] for r in got] == [datetime(2025, 3, 16, 0, 15)] * 2 + [None]
+    tags = spark.createDataFrame([([("OG:Title", "T"), ("date", "bad"), ("datepublished", "2025-03-16"), ("og:title", "U")], "")], "metatags array<struct<key:string,value:string>>, title string")
+    r = tags.select(metadata.parse_tags(F.struct("metatags", "title", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("date"))).alias("p")).first()["p"]
+    assert (r["title"], r["published"]["field"], r["language"]) == ("U", "datepublished", "English")
+
+
+def test_enrichment_joins(spark):
+    ship(spark)
+    t = lambda m: datetime(2025, 3, 16, 0, m)
+    obs = spark.createDataFrame([(1, "u1", "a.example.com", t(30), "x"), (2, "u2", "b.org", t(30), "y"), (3, "u3", "c.net", t(30), "z")], "row_id long, url string, host string, observed_at timestamp, text string")
+    pages = spark.createDataFrame([("u1", 2, "late", "", "", "", ""), ("u1", 1, "early", "", "O", "", "p")], "url string, line_no long, title string, description string, outlet string, author string, page_date string")
+    tags = spark.createDataFrame([("u1", 1, t(20), "tag", "desc", "", "A", None), ("u1", 2, t(40), "tag2", "d2", "", "", None), ("u2", 3, datetime(2025, 3, 16, 2), "far", "", "", "", None)], "url string, line_no long, seen_at timestamp, title string, description string, outlet string, author string, published string")
+    graph = spark.createDataFrame([("u1", "s", "r2", t(31)), ("u1", "s", "r1", t(29)), ("u1", "a", "r9", t(0))], "url string, source string, record_id string, seen_at timestamp")
+    places = spark.createDataFrame([("u1", "a.example.com", t(30), "FR", "US"), ("u2", "b.org", t(30), "FR", None), ("u2", "b.org", t(31), "GM", None)], "url string, host string, seen_at timestamp, domain_code string, place_code string")
+    lookup = spark.createDataFrame([("example.com", ["GM"]), ("c.net", ["XX"])], "domain string, codes array<string>")
+    iso, names = F.create_map(F.lit("FR"), F.lit("FR"), F.lit("GM"), F.lit("DE")), F.create_map(F.lit("FR"), F.lit("France"))
+    df = enrich.enrich(obs, pages=pages, tags=tags, graph=graph, places=places, lookup=lookup, suffixes=urls.Suffixes(["com", "org", "net"]), iso=iso, names=names)
+    out = {r["row_id"]: r for r in df.collect()}
+    assert len(out) == 3 and [out[i]["text"] for i in (1, 2, 3)] == ["x", "y", "z"]
+    m = out[1]["metadata"]
+    assert (m["title"], m["title_source"], m["description"], m["publisher"], m["author"], m["author_source"]) == ("early", "pages", "desc", "O", "A", "tags")
+    assert (m["graph"]["record_id"], m["graph_candidates"], m["places"]) == ("r1", 3, ["US"])
+    c = m["source_country"]
+    assert (c["iso2"], c["status"], c["method"], c["name"], c["historical_disagreement"]) == ("FR", "estimated", "exact_url", "France", ["GM"])
+    assert out[2]["metadata"]["source_country"]["candidates"] == ["FR", "GM"] and out[2]["metadata"]["title"] is None
+    c = out[3]["metadata"]["source_country"]
+    assert (c["status"], c["method"], c["iso2"]) == ("unmapped_fips", "historical_lookup_exact", None)
+    counts = {(r["kind"], r["value"]): r["n"] for r in enrich.coverage(df).collect()}
+    assert counts["field", "title"] == 1 and counts["status", "conflicting"] == 1 and counts["method", "exact_url"] == 2
+
+
+def test_archives_and_plans(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("a.csv", "\t".join(["r1", "20250316001500", "1"] + [""] * 24).encode() + b"\nbad\xff\n")
+    lines = sources.graph_lines(spark, str(tmp_path / "a.zip"))
+    assert sorted((r["replaced"], len(r["value"].split("\t"))) for r in lines.collect()) == [(False, 27), (True, 1)]
+    iso = F.create_map(F.lit("FR"), F.lit("FR"))
+    stats = sources.dataset_stats(lines, sources.graph_records(lines, iso)).first()
+    assert (stats["rows"], stats["malformed_rows"], stats["utf8_replacement_rows"], stats["matched_rows"]) == (2, 1, 1, 1)
+    plan = sources.fetch_plan("20250316001700", "http://h")
+    assert sum(n == "graph" for n, _ in plan) == 6 and any("20250316001500.translation.csv.zip" in u for _, u in plan)
+
+
+class Server(http.server.BaseHTTPRequestHandler):
+    calls: list[str] = []
+    body = gzip.compress(b"{}\n")
+
+    def do_GET(self):
+        self.calls.append(self.path)
+        n = self.calls.count(self.path)
+        code = 404 if "0002" in self.path else 503 if "0003" in self.path and n == 1 else 403 if "0004" in self.path else 200
+        body = b"broken" if "0005" in self.path and n == 1 else self.body
+        self.send_response(code)
+        if code == 503:
+            self.send_header("Retry-After", "0")
+        self.send_header("Content-Length", str(len(body)))
+        self.end_headers()
+        self.wfile.write(body)
+
+    def log_message(self, *a):
+        pass
+
+
+def test_fetching_with_retries_and_verification(tmp_path):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    f = fetch.Fetcher(str(tmp_path), f"http://127.0.0.1:{server.server_port}", CollectSettings(min_free_gib=0), sleep=lambda s: None)
+    names = [f"2025031600{n:02d}00" for n in (1, 2, 3, 4, 5)]
+    Server.calls.clear()
+    out = f.collect(names)
+    assert [o["status"] for o in out] == ["available", "missing", "available", "failed", "available"]
+    before = len(Server.calls)
+    assert f.fetch(names[0]) and len(Server.calls) == before
+    (tmp_path / out[0]["raw"]["path"]).write_bytes(b"spoilt")
+    assert f.fetch(names[0]).sha256 == out[0]["raw"]["sha256"] and len(Server.calls) == before + 1
+    assert list(tmp_path.rglob("*.unverified-*"))
+    server.shutdown()
+    assert fetch.retry_after("7") == 7 and fetch.retry_after("x") is None and fetch.retry_after("Thu, 01 Jan 1970 00:00:10 GMT", now=4) == 6
+    with pytest.raises(fetch.Refused):
+        fetch.CoolDown().extend(301)
+
+
+def test_imports_are_content_addressed(tmp_path):
+    (tmp_path / "a.json").write_text("{}")
+    a, b = (fetch.import_file(str(tmp_path / "root"), str(tmp_path / "a.json")) for _ in range(2))
+    assert a == b and a.sha256 in a.path
+
+
+def test_texts(spark):
+    ship(spark)
+    df = spark.createDataFrame([("é 　x",), ("``` a",)], "t string")
+    got = df.select(text.nfc(F.col("t")).alias("n"), text.grapheme_length(F.col("t")).alias("g"), text.words(F.col("t")).alias("w"), text.fenced(F.col("t")).alias("f")).collect()
+    assert got[0]["n"] == "é 　x" and got[0]["g"] == 4 and got[0]["w"] == ["é", "x"]
+    assert got[1]["f"].startswith("````text\n")

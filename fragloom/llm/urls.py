@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from fragloom.llm.common import read, ready_for_python
 from fragloom.llm.vectext import buffers
 
-#: The symbols; 0 is the beginning, 1 any other byte.
+#: The symbols; beside them there are the beginning, 0, and any other character, 1.
 SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789./-_?=&#%:"
+BEGIN, OTHER = "^", "~"
 SIZE, ORDER = len(SYMBOLS) + 2, 4
 #: Scores are counted in so many bins from -LIMIT to LIMIT for calibration.
 BINS, LIMIT = 4000, 8.0
@@ -56,13 +57,17 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]] = RULES) ->
 
 
 def symbol_grams(url: Column) -> Column:
-    """Codes of the 4-grams of a URL's symbols, after three beginnings; bytes beyond ASCII count as one symbol a character."""
-    text = F.translate(url, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    code = lambda c: F.when(F.instr(F.lit(SYMBOLS), c) > 0, F.instr(F.lit(SYMBOLS), c) + 1).otherwise(1)
-    symbols = F.concat(F.array_repeat(F.lit(0), ORDER - 1), F.transform(F.split(text, ""), code))
-    at = F.sequence(F.lit(1), F.size(symbols) - (ORDER - 1))
-    gram = lambda i: sum(F.element_at(symbols, i + k) * SIZE ** (ORDER - 1 - k) for k in range(ORDER))
-    return F.when(F.char_length(url) > 0, F.transform(at, gram)).otherwise(F.array().cast("array<int>"))
+    """The 4-grams of a URL's symbols after three beginnings, as strings; none for null and empty URLs. Any other character is one symbol."""
+    lower = F.translate(url, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    padded = F.concat(F.lit(BEGIN * (ORDER - 1)), F.regexp_replace(lower, r"[^a-z0-9./\-_?=&#%:]", OTHER))
+    grams = F.transform(F.sequence(F.lit(1), F.char_length(url)), lambda i: F.substring(padded, i, ORDER))
+    return F.when(F.char_length(url) > 0, grams)
+
+
+def gram_codes(grams: list[str]) -> np.ndarray:
+    """Numbers of 4-grams below 48^4."""
+    place = {c: i for i, c in enumerate(BEGIN + OTHER + SYMBOLS)}
+    return np.array([sum(place[c] * SIZE ** (ORDER - 1 - k) for k, c in enumerate(g)) for g in grams], np.int64)
 
 
 def gram_counts(decided: DataFrame) -> DataFrame:
@@ -121,7 +126,7 @@ def train(decided: DataFrame) -> Ratio:
     ready_for_python(decided.sparkSession)
     fifth = F.pmod(F.xxhash64(F.lit(3), "url"), F.lit(5))
     rows = gram_counts(decided.where(fifth != 0)).toArrow()
-    gram, accepted, rejected = (rows[c].to_numpy() for c in ("gram", "accepted", "rejected"))
+    gram, accepted, rejected = gram_codes(rows["gram"].to_pylist()), rows["accepted"].to_numpy(), rows["rejected"].to_numpy()
     if not len(gram) or not accepted.any() or not rejected.any():
         return Ratio(np.zeros(SIZE**ORDER, np.float32))
     table = markov(gram, accepted) - markov(gram, rejected)

@@ -425,13 +425,13 @@ _NEAR = """SELECT l.event_id, r.event_id AS near_id, (abs(epoch_us(l.ts) - epoch
 FROM events l JOIN events r ON l.user_id = r.user_id AND abs(epoch_us(l.ts) - epoch_us(r.ts)) <= 3600000000 WHERE l.event_type = 'view' AND r.event_type = 'click'"""
 
 
-@_query(f"SELECT e.event_id, near_id, round(distance, 3) AS distance, coalesce(candidates, 0) AS candidates FROM (SELECT event_id FROM events WHERE event_type = 'view') e LEFT JOIN (SELECT * FROM ({_NEAR}) WHERE k = 1) USING (event_id)")
+@_query(f"SELECT e.event_id, coalesce(near_id, -1) AS near_id, coalesce(round(distance, 3), -1) AS distance, coalesce(candidates, 0) AS candidates FROM (SELECT event_id FROM events WHERE event_type = 'view') e LEFT JOIN (SELECT * FROM ({_NEAR}) WHERE k = 1) USING (event_id)")
 def nearest_metadata(spark, sf_dir):
     events = X.table(spark, sf_dir, "events")
     left = events.where("event_type = 'view'").select(F.col("event_id").alias("row_id"), "user_id", "ts")
     right = events.where("event_type = 'click'").select("user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("id"))
     out = enrich.nearest(left, right, ["user_id"], "ts", "seen_at", ["id"])
-    return out.select(F.col("row_id").alias("event_id"), "near_id", F.round("distance", 3).alias("distance"), "candidates")
+    return out.select(F.col("row_id").alias("event_id"), F.coalesce("near_id", F.lit(-1)).alias("near_id"), F.coalesce(F.round("distance", 3), F.lit(-1.0)).alias("distance"), "candidates")
 
 
 @_query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events) WHERE k = 1")

@@ -53,5 +53,5 @@ def test_chat_matches_its_sql(spark):
 
 
 def test_first_document_follows_the_last(spark):
-    rows = queries.queries()["op5_fingerprint"](spark, SF).agg(F.count("*").alias("n"), F.count_if("near_edited > near_next").alias("nearer")).first()
+    rows = queries.queries()["op5_fingerprint"](spark, SF).agg(F.count("*").alias("n"), F.count_if(F.col("near_edited") > F.col("near_next")).alias("nearer")).first()
     assert rows["n"] == 200 and rows["nearer"] > 190

@@ -99,7 +99,7 @@ def residual_containment(spark, sf_dir):
     return rows.agg(F.count("*").alias("fragments")).crossJoin(lost.agg(F.count("*").alias("lost")))  # one row each
 
 
-TYPE2 = Settings(types=(2,), type2_best_effort=True, type2_search_budget=200)
+TYPE2 = Settings(types=(2,), type2_best_effort=True)
 
 
 def _articles2(spark, sf_dir):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from fragloom.plans import catalogue
+from fragloom.settings import Settings
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -39,3 +40,11 @@ def test_query_matches_its_sql(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 200
+
+
+def test_kind_2_queries_search_with_the_default_budget(spark, tmp_path):
+    """Branching documents take more than a few hundred steps, which only a cut budget would hide."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.where("n_chars BETWEEN 600 AND 2500").write.parquet(f"{tmp_path}/documents.parquet")
+    steps = [r["search_steps"] for r in entry.queries()["type2_articles"](spark, str(tmp_path)).collect()]
+    assert 200 < max(steps) <= Settings().type2_search_budget == catalogue.TYPE2.type2_search_budget

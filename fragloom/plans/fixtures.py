@@ -10,7 +10,7 @@ from fragloom.functions.text import grapheme_list
 
 DATE, MINUTE = "2025-03-16T00:01:00Z", "20250316000100"
 #: Words before and after the middle one; graphemes before and after, and the step from window to window.
-WORDS, CLUSTERS, STEP = 7, 6, 3
+WORDS, CLUSTERS, STEP = 7, 6, 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,7 @@ def with_gaps(rows: DataFrame) -> DataFrame:
 
 
 def cluster_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grapheme fragments (kind 2): a window of 13 at every third grapheme of every document."""
+    """Grapheme fragments (kind 2): a window of 13 at every grapheme of every document."""
     ship(spark)
     docs = table(spark, sf_dir, "documents").select(_url().alias("url"), "lang", grapheme_list(F.col("text")).alias("g"))
     rows = docs.where(F.size("g") > 0).select("url", "lang", "g", F.size("g").alias("n"), F.explode(F.sequence(F.lit(0), F.size("g") - 1, F.lit(STEP))).alias("i"))

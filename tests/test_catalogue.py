@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from fragloom.plans import catalogue
+from fragloom.plans import catalogue, fixtures
 from fragloom.settings import Settings
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +48,11 @@ def test_kind_2_queries_search_with_the_default_budget(spark, tmp_path):
     docs.where("n_chars BETWEEN 600 AND 2500").write.parquet(f"{tmp_path}/documents.parquet")
     steps = [r["search_steps"] for r in entry.queries()["type2_articles"](spark, str(tmp_path)).collect()]
     assert 200 < max(steps) <= Settings().type2_search_budget == catalogue.TYPE2.type2_search_budget
+
+
+def test_kind_2_fragments_are_one_window_per_grapheme(spark, tmp_path):
+    text = "".join(chr(0x61 + i % 26) for i in range(40)) + "e\u0301\U0001f600"
+    spark.createDataFrame([(7, text, "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    units = [*text[:40], "e\u0301", "\U0001f600"]
+    got = sorted((r["line_no"], r["pos"], r["text"]) for r in fixtures.cluster_fragments(spark, str(tmp_path)).collect())
+    assert got == [(i, i * 10 // 42 * 10, "".join(units[max(0, i - 6) : i + 7])) for i in range(42)]

@@ -6,11 +6,14 @@ the item's words, and one threshold serves all items. Passages are retrieved by
 block-max WAND: its first test, whether the lists of the query can reach the
 threshold at all, is made for all passages at once (lists of frequent words,
 which cannot reach it alone, only raise the bound); the rest is walked pivot by
-pivot. Retrieved passages count if they also hold the question and the answer.
+pivot. Retrieved passages count if they also hold the question and the answer,
+or the item as a whole where no question mark parts it, or nearly all of it.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 #: Share of the question's and of the answer's word runs that a passage must hold, and the length of a run.
 OVERLAP, RUN = 0.6, 3
+#: Share of the score and of the whole item's runs that make a hit whatever part the rest is in.
+NEARLY = 0.9
 #: Items of one index, which all tasks hold; more items make more passes over the texts.
 INDEX_ITEMS = 5000
 #: Items of one block of a list.
@@ -31,6 +36,7 @@ BLOCK = 16
 #: Least words of a passage.
 PASSAGE = 64
 
+_question = re.compile(rb"\?[\s\"')\]]").search
 _HITS = "array<struct<item:bigint,score:double,question_overlap:double,answer_overlap:double,word_start:bigint>>"
 
 
@@ -68,8 +74,8 @@ class Index:
         data, offsets = buffers(column)
         self.words = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         self.length = max([len(w) for w in self.words], default=0)
-        # the answer is the last sentence, where there are several
-        self.parts = []
+        # the answer is the last sentence, where there are several; only after a question mark is it one for sure
+        self.parts, self.whole, self.asked = [], [], []
         for i, w in enumerate(self.words):
             own = begin[at[i] : at[i + 1]]
             raw = data[offsets[i] : offsets[i + 1]]
@@ -78,6 +84,9 @@ class Index:
             cut = int(np.searchsorted(own, stops[-1])) if len(stops) else len(w)
             q, a = w[:cut], w[cut:]
             self.parts.append(((_runs(q), min(RUN, len(q))), (_runs(a), min(RUN, len(a)))))
+            self.whole.append((_runs(w), min(RUN, len(w))))
+            between = bytes(data[own[cut - 1] : own[cut]]) if 0 < cut < len(w) else b""
+            self.asked.append(_question(between) is not None)
         distinct = [np.unique(w, return_counts=True) for w in self.words]
         if frequency is None:
             frequency, total, mean = statistics([self.words])
@@ -195,7 +204,9 @@ class Index:
                 runs = _runs_of(words, RUN)
                 (q, nq), (x, nx) = self.parts[item]
                 overlap = _share(q, runs, words, nq), _share(x, runs, words, nx)
-                if min(overlap) >= OVERLAP:
+                all_runs, n = self.whole[item]
+                whole = _share(all_runs, runs, words, n)
+                if min(overlap) >= OVERLAP or (whole >= OVERLAP and not self.asked[item]) or min(whole, score) >= NEARLY:
                     best[i, item] = max(best.get((i, item), (0.0,)), (score, *overlap, int(a - at[i])))
         for (i, item), (score, q, x, start) in sorted(best.items()):
             out[i].append((item, score, q, x, start))

@@ -458,6 +458,15 @@ def test_decontamination_catches_items_only(spark, corpus):
     assert all(not r["hits"] for r in rows_of(decontam.contaminated(corpus, items)))
 
 
+def test_decontamination_needs_no_last_sentence_without_a_question():
+    body = " ".join(f"word{i} own{i}" for i in range(9)) + ". "
+    long = " ".join(f"long{i}" for i in range(40)) + "? "
+    index = decontam.Index([body + "Golden berries.", body.replace("o", "u")[:-2] + "? Silver cherries taste.", long + "Forty two."])
+    near = [body + "Golden cherries.", body + "Other end.", body, body.replace("o", "u") + "Nothing of this.", long + "Forty three."]
+    got = [sorted(h[0] for h in hits) for hits in index.search(pa.array(near))]
+    assert got == [[0], [0], [0], [], [2]]
+
+
 def test_wand_retrieves_what_scoring_all_does():
     rng = np.random.RandomState(3)
     vocabulary = [f"t{i}" for i in range(150)]

@@ -28,10 +28,12 @@ from fragloom.llm.vectext import lists, mix, shingle_sets
 
 #: Hashes that a sketch keeps.
 SKETCH = 64
-#: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these is of the crowd.
-LISTED, USED, ENOUGH = 32, 16, 14
-#: A value that more classes keep among their smallest is frequent. Where 18 of 32 are, and all of these are common to
-#: both sets, sets at 0.8 still have 0.54 of the others in common, and miss each other in all 14 with probability 2e-5.
+#: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these
+#: is of the crowd, as is one of whose smallest LISTED less than RARE are not frequent.
+LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
+#: A value that more classes keep among their smallest is frequent. A set of the crowd and one outside are missed where all
+#: that they share is frequent: at 0.8 20 of 32 come from the fifth that is only in one with probability 2e-7. Where 12 of 32
+#: are frequent and common to both, sets at 0.8 still have 0.68 of the others in common, and miss each other less often.
 FREQUENT = 100
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
 MARGIN = 5
@@ -158,8 +160,9 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
     listed = classes.select("node", "n", *PARTS, F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
     frequent = listed.groupBy("v").agg(F.count("*").alias("_c")).where(F.col("_c") > FREQUENT).select("v", F.lit(True).alias("_often"))
-    listed = listed.join(frequent, "v", "left").groupBy("node", "n", *PARTS).agg(F.slice(F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v")))), 1, USED).alias("_rare"))
-    listed = materialize(listed.withColumn("_crowd", F.size("_rare") < ENOUGH), "lists")
+    listed = listed.join(frequent, "v", "left").groupBy("node", "n", *PARTS).agg(F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v")))).alias("_all"))
+    few = (F.size("_all") < ENOUGH) | (F.size("_all") < RARE * F.least("n", F.lit(LISTED)))
+    listed = materialize(listed.select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_crowd")), "lists")
     crowd = materialize(classes.join(listed.where("_crowd").select("node"), "node").select("node", "least_id", "lo", "hi", "n"), "crowd")
     crowd_sets = _full_sets(crowd, docs, words)
     rarity = F.count("*").over(Window.partitionBy("_g"))

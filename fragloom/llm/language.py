@@ -100,6 +100,33 @@ def _counted(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([lists(key.astype(np.int32), at, pa.int32()), lists(share.astype(np.float32), at, pa.float32())], ["keys", "shares"])
 
 
+def _held_by(texts: pa.Array) -> np.ndarray:
+    """Number of texts that hold each bucket."""
+    char, at = characters(texts)
+    total = np.zeros((1 << BITS) + 1, np.int64)
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        own, seen = np.array([0, b - a]), np.zeros(len(total), bool)
+        for order in ORDERS:
+            for x in range(a, b, WINDOW):
+                seen[ngrams(char[a:b], own, order, x - a, min(b, x + WINDOW) - a)] = True
+        total += seen
+    return total[:-1]
+
+
+def document_counts(texts: DataFrame) -> np.ndarray:
+    """Texts (column _text) that hold each bucket, over all rows: summed in each task, then by bucket."""
+
+    def run(batches):
+        total = sum((_held_by(b.column(0)) for b in batches), np.zeros(1 << BITS, np.int64))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["bucket", "n"])
+
+    found = texts.select("_text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << BITS, np.int64)
+    out[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
 class Model:
     """Languages, the table of idf times weight, biases and temperature."""
 
@@ -117,11 +144,10 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: list[str]) -> Model:
-    """FTRL-proximal over the texts in hash order; every fifth text sets the temperature only."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages: list[str], documents: np.ndarray, total: int) -> Model:
+    """FTRL-proximal over the texts in hash order; every fifth text sets the temperature only. documents: of total, those that hold each bucket."""
     width, size = len(languages), 1 << BITS
-    documents = np.bincount(np.concatenate([k for k, _ in rows]), minlength=size)
-    idf = np.log((1 + len(rows)) / (1 + documents)) + 1
+    idf = np.log((1 + total) / (1 + documents)) + 1
     z, n = np.zeros((size + 1, width)), np.zeros((size + 1, width))  # the last row is the bias
 
     def weights(at: np.ndarray) -> np.ndarray:
@@ -156,7 +182,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages
 
 
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", bound: int = TRAIN_DOCS) -> Model | None:
-    """Fit on at most `bound` texts of each language, whole, outside the held-out fifth; None without any. Feature counts, not texts, come to the driver."""
+    """Fit on at most `bound` texts of each language, whole, outside the held-out fifth, with the idf of all such texts; None without any. Feature counts, not texts, come to the driver."""
     ready_for_python(docs.sparkSession)
     known = docs.select(F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.col(doc_id).alias("_id"))
     known = known.where(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~held_out(F.col("_id")))
@@ -175,7 +201,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     k, s = keys.flatten().to_numpy(), shares.flatten().to_numpy().astype(float)
     parts = [(k[a:b], s[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     place = {x: i for i, x in enumerate(languages)}
-    return fit(parts, np.array([place[x] for x in table["_lang"].to_pylist()]), languages)
+    return fit(parts, np.array([place[x] for x in table["_lang"].to_pylist()]), languages, document_counts(known), sum(counts.values()))
 
 
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:

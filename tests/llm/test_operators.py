@@ -208,6 +208,17 @@ def test_language_sums_match_plain_loops(monkeypatch):
     assert np.allclose(small, language.totals(char, at, table)[0], rtol=1e-3)
 
 
+def test_language_idf_counts_all_labelled_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda rows, labels, languages, *counts: seen.append((len(rows), *counts)))
+    docs = spark.createDataFrame([(i, "ab" if i % 2 else "abc", "en") for i in range(200)], "doc_id long, text string, lang string").repartition(3)
+    language.train(docs, bound=20)
+    known = [r["text"] for r in docs.where(~language.held_out(F.col("doc_id"))).collect()]
+    ((fitted, documents, total),) = seen
+    assert fitted <= 20 < total == len(known)
+    assert sorted(documents[documents > 0].tolist()) == sorted([len(known)] * 3 + [known.count("abc")] * 3)
+
+
 def test_language_nothing(empty, spark):
     assert language.train(empty) is None
     assert language.identify(empty, None).count() == 0

@@ -110,6 +110,16 @@ def tokens(texts: pa.Array, lower: bool = True, gaps: np.ndarray = _SPACE) -> tu
     return np.concatenate(hashes), begin, np.concatenate(ends_at), np.searchsorted(begin, offsets)
 
 
+def prefixes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the first n bytes of words, A-Z as a-z; words that are shorter get a hash of no meaning."""
+    total = np.full(len(begin), n, U64)
+    most = max(0, len(data) - 1)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            total = mix(total ^ _BYTE_LOWER[data[np.minimum(begin + k, most)]], 201)
+    return total
+
+
 def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words between ASCII white space, and the n + 1 offsets of each text's words."""
     hashes, _, _, at = tokens(texts, lower)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -262,7 +263,10 @@ def test_fingerprints_nothing(empty, spark):
 
 # --- 6 tokens
 
-path = pytest.importorskip("public_tokenizers").path
+
+def path(name):
+    return pytest.importorskip("public_tokenizers").path(name)
+
 
 
 def test_token_counts_match_the_library(corpus):
@@ -300,7 +304,7 @@ def toxic_corpus(spark, n=1500):
         bad = bool(rng.rand() < 0.25)
         if bad:
             at = rng.randint(len(sentences))
-            sentences[at] += " " + rng.choice(["vile", "Nasty,", "rotten"])
+            sentences[at] += " " + rng.choice(["vile", "Nasty,", "rotten"]) if rng.rand() < 0.5 else f" insult{rng.choice(plain)}"
         rows.append((i, ". ".join(sentences) + "."))
         labels.append((i, int(bad)))
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"), dict(labels)
@@ -315,15 +319,95 @@ def test_toxicity_learns_words_and_locates_sentences(spark):
     for r in out:
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
         for s in r["offending"]:
-            assert re.search("(?i)vile|nasty|rotten", r["text"].encode()[s["start"] : s["end"]].decode())
+            assert re.search("(?i)vile|nasty|rotten|insult", r["text"].encode()[s["start"] : s["end"]].decode())
 
 
-def test_toxicity_bags_and_noisy_or():
-    texts = pa.array(["One two. three!\nFOUR", None, "", "...", "é x"])
-    word, sentence_at, text_at, begin, end = toxicity.bags(texts)
+def test_toxicity_bags():
+    texts = pa.array(["One two. three!\nFOUR", None, "", "...", "é xylophones"])
+    features, sentence_at, text_at, begin, end = toxicity.bags(texts)
     assert np.diff(text_at).tolist() == [3, 0, 0, 0, 1] and np.diff(sentence_at).tolist() == [2, 1, 1, 2]
     raw = "".join(x or "" for x in texts.to_pylist()).encode()
-    assert [raw[a:b].decode() for a, b in zip(begin, end, strict=True)] == ["One two", "three", "FOUR", "é x"]
+    assert [raw[a:b].decode() for a, b in zip(begin, end, strict=True)] == ["One two", "three", "FOUR", "é xylophones"]
+    # beginnings of 4 and 5 bytes belong to longer words only
+    assert (features >= 0).tolist() == [[True, False, False], [True, False, False], [True, True, False], [True, False, False], [True, False, False], [True, True, True]]
+    again, _, _, _, _ = toxicity.bags(pa.array(["XYLOPHONIC"]))
+    assert again[0, 1:].tolist() == features[-1, 1:].tolist() and again[0, 0] != features[-1, 0]
+
+
+def plain_bags(rng, texts=40, features=7):
+    """Texts as lists of sentences, which are sets of features, and what the operator makes of them."""
+    bags = [[sorted(set(rng.integers(0, features, rng.integers(0, 4)).tolist())) for _ in range(rng.integers(0, 5))] for _ in range(texts)]
+    labels = np.array([float(any(0 in s for s in b)) for b in bags])
+    text_of, sentence_of, feature, others = [], [], [], np.zeros(texts)
+    for i, b in enumerate(bags):
+        for s in b:
+            if s:
+                feature += s
+                sentence_of += [len(text_of)] * len(s)
+                text_of.append(i)
+            else:
+                others[i] += 1
+    return bags, labels, toxicity.Bags(np.array(text_of, int), np.array(feature, int), np.array(sentence_of, int), others, labels, features)
+
+
+def plain_loss(bags, labels, theta):
+    total = 0.0
+    for b, y in zip(bags, labels, strict=True):
+        clean = 1.0
+        for s in b:
+            clean *= 1 - 1 / (1 + math.exp(-(theta[-1] + sum(theta[f] for f in s))))
+        clean = min(clean, 1 - 1e-12)
+        total -= math.log(1 - clean) if y else math.log(clean)
+    return total / len(bags)
+
+
+def test_toxicity_loss_and_gradient_match_plain_loops():
+    rng = np.random.default_rng(3)
+    bags, labels, made = plain_bags(rng)
+    theta = rng.normal(size=8)
+    loss, gradient = made.loss(theta)
+    assert abs(loss - plain_loss(bags, labels, theta)) < 1e-9
+    for i in range(8):
+        step = np.zeros(8)
+        step[i] = 1e-5
+        slope = (plain_loss(bags, labels, theta + step) - plain_loss(bags, labels, theta - step)) / 2e-5
+        assert abs(slope - gradient[i]) < 1e-6
+    keep = rng.random(40) < 0.5
+    part = [b for b, k in zip(bags, keep, strict=True) if k]
+    assert abs(made.only(keep).loss(theta)[0] - plain_loss(part, labels[keep], theta)) < 1e-9
+
+
+def test_toxicity_fit_descends_and_finds_the_cause():
+    rng = np.random.default_rng(4)
+    bags, labels, made = plain_bags(rng, 400)
+    theta = toxicity.fit(made, 1e-4)
+    start = np.zeros(8)
+    start[-1] = -6.0
+    assert plain_loss(bags, labels, theta) < 0.2 * plain_loss(bags, labels, start) and theta[0] > 3 and abs(theta[1:-1]).max() < theta[0]
+
+
+def test_toxicity_scores_match_plain_noisy_or(spark):
+    docs, labels, _ = toxic_corpus(spark, 300)
+    buckets, weights, bias = model = toxicity.train(docs, labels)
+    known = dict(zip(buckets.tolist(), weights.tolist(), strict=True))
+    for r in rows_of(toxicity.score_toxicity(docs.limit(60), model)):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", r["text"]):
+            if not re.search("[0-9A-Za-z]", sentence):
+                continue
+            features = toxicity.bags(pa.array([sentence]))[0]
+            z = bias + sum(known.get(f, 0.0) for f in set(features.ravel().tolist()))
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert abs(r["score"] - (1 - clean)) < 1e-9
+
+
+def test_toxicity_sample_is_bounded_and_takes_repeated_rows_once(spark):
+    docs = spark.range(2000).selectExpr("1L as doc_id", "concat('text ', id % 50) as text")
+    labels = spark.createDataFrame([(1, 0), (1, 1)], "doc_id long, toxic int")
+    found = rows_of(toxicity.sample(docs, labels, bound=10))
+    assert len(found) == 10 and {r["_label"] for r in found} == {1} and len({r["_text"] for r in found}) == 10
+    assert sorted(r["_key"] for r in rows_of(toxicity.sample(docs.repartition(7), labels, bound=10))) == sorted(r["_key"] for r in found)
+    assert len(rows_of(toxicity.sample(docs, labels, bound=1000))) == 50
 
 
 def test_toxicity_nothing(empty, corpus, spark):

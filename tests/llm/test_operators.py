@@ -167,9 +167,33 @@ def test_shards_hold_with_repeated_rows(spark):
     check_shards(rows_of(sharding.assign_shards(docs, 16, bucket_bytes=4000, block_bytes=2000)), 3000, 16)
 
 
+def places(docs, conf):
+    """Position of every row under session settings, which are put back."""
+    spark = docs.sparkSession
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return sorted((r["row"], r["shard"], r["slot"]) for r in rows_of(sharding.assign_shards(docs, 16, bucket_bytes=3000, block_bytes=1000)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_shards_agree_whatever_partitions_and_settings(spark):
+    """Rows of one id and text, told apart by another column, are among them; a task that is run again has the same input as one of another partitioning."""
+    rows = [(i, i if i % 3 else 7, f"text {i % 40 if i % 3 else 0} " * 3) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "row long, doc_id long, text string")
+    first = places(docs.repartition(3), {"spark.sql.shuffle.partitions": "4"})
+    assert first == places(docs.repartition(9), {"spark.sql.shuffle.partitions": "7"})
+    assert first == places(docs.orderBy(F.desc("row")), {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.enabled": "false"})
+    assert first == places(docs, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+
+
 def test_shards_nothing_and_written(empty, corpus, tmp_path):
     assert sharding.assign_shards(empty).count() == 0
     sharding.write_shards(corpus, str(tmp_path / "out"), shards=4)
+    assert len(list((tmp_path / "out").glob("shard=*/*.parquet"))) == 4
     assert corpus.sparkSession.read.parquet(str(tmp_path / "out")).count() == corpus.count()
 
 

@@ -37,13 +37,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the scratch files that a materialized frame reads."""
-    spark = df.sparkSession
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/fragloom/" in f}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete the scratch files that materialized frames read."""
+    for df in frames:
+        spark = df.sparkSession
+        jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/fragloom/" in f}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 #: Rows of ids or numbers that are sent to all tasks; more are joined by shuffle.
@@ -55,6 +56,33 @@ def sent_if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: A key is heavy if it has more than a 1/SPREAD of all rows; there are at most SPREAD such keys, whatever the size.
+SPREAD = 400
+
+
+def spread_limit(rows: int) -> int:
+    """Rows beyond which a key is heavy."""
+    return max(1, rows // SPREAD)
+
+
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """key, _parts: the heavy keys of rows (materialized), at most SPREAD, and into how many parts more than one each is to be dealt."""
+    limit = spread_limit(rows.count())
+    return rows.groupBy(key).agg(F.floor(F.count("*") / limit).alias("_parts")).where("_parts > 0")
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame, identity: list[str]) -> DataFrame:
+    """rows joined with a table of unique keys, so that no task gets much more than a 1/SPREAD of the rows for one key.
+
+    Rows of heavy keys are dealt by a hash of the columns that tell them apart,
+    and the table's rows are repeated for them.
+    """
+    heavy, parts = F.broadcast(heavy), F.coalesce("_parts", F.lit(0).cast("bigint"))
+    dealt = rows.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*identity), parts + 1)).drop("_parts")
+    repeated = table.join(heavy, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), parts))).drop("_parts")
+    return dealt.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 def ready_for_python(spark: SparkSession) -> None:
     """Send our sources to the workers, and keep Arrow batches small unless the session has chosen a size itself."""
     ship(spark)

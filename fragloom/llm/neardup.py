@@ -6,35 +6,30 @@ pairs with a value in common; 256 parity bits of the sketches drop
 those whose sketches differ far more than allowed, the Jaccard similarity that
 the sketch of the union shows drops most others; the full sets decide the rest.
 
-Values that many classes retain get no list. Classes that have few others, the
-crowd, are met among each other through their full sets instead: two sets at the
-threshold share one of their rarest shingles, and the place of the first such
-shingle bounds what they can have in common, so short lists and few pairs remain.
+A class need not be in the lists of all its values: two sketches that have at
+least so many values in common share one of the rarest of each, rarest being
+any order that is the same for all. So values are ordered by the number of
+classes that keep them, and each class goes to the lists of its first ones.
+This is the same rule for every value and at every size.
 
 A list's pairs are not all formed: first each member is compared with the list's
 leader, and then only pairs of different components are, of which one is not in
-the list's largest component.
+the list's largest component. Long lists and other heavy keys are spread over
+several tasks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import discard, materialize, read, ready_for_python, sent_if_few
+from fragloom.llm.common import discard, heavy_keys, join_spread, materialize, read, ready_for_python, sent_if_few, spread_limit
 from fragloom.llm.vectext import lists, mix, shingle_sets
 
-#: Hashes that a sketch keeps.
-SKETCH = 64
-#: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these
-#: is of the crowd, as is one of whose smallest LISTED less than RARE are not frequent.
-LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
-#: A value that more classes keep among their smallest is frequent. A set of the crowd and one outside are missed where all
-#: that they share is frequent: at 0.8 20 of 32 come from the fifth that is only in one with probability 2e-7. Where 12 of 32
-#: are frequent and common to both, sets at 0.8 still have 0.68 of the others in common, and miss each other less often.
-FREQUENT = 100
+#: Hashes that a sketch keeps, and how many of the smallest lists are made of.
+SKETCH, LISTED = 64, 32
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
 MARGIN = 5
 #: Parity bits of a sketch, as four numbers.
@@ -82,17 +77,18 @@ def _set_maker(words: int):
 def connected(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node reachable over edges (a, b). Labels spread to neighbours and jump along labels, so rounds grow as a logarithm."""
     both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    labels = materialize(both.groupBy("a").agg(F.min("b").alias("_b")).select(F.col("a").alias("node"), F.least("a", "_b").alias("label")), "labels")
+    hubs = materialize(heavy_keys(both, "b"), "hubs")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
-        met = labels.join(near, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("_met"))
+        near = join_spread(both, labels.withColumnRenamed("node", "b"), "b", hubs, ["a"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
+        met = materialize(labels.join(near, "node").select("node", F.col("label").alias("_old"), F.least("label", "_near").alias("_met")), "labels")
         jump = labels.select(F.col("node").alias("_met"), F.col("label").alias("_jump"))
-        after = materialize(met.join(jump, "_met", "left").select("node", F.least("_met", F.coalesce("_jump", "_met")).alias("label"), "_old"), "labels")
+        after = materialize(join_spread(met, jump, "_met", heavy_keys(met, "_met"), ["node"]).select("node", F.least("_met", "_jump").alias("label"), "_old"), "labels")
         changed = after.where("label <> _old").take(1)
-        discard(labels)
+        discard(labels, met)
         labels = after.drop("_old")
         if not changed:
-            discard(both)
+            discard(both, hubs)
             return labels
 
 
@@ -108,38 +104,82 @@ def _odd_bits(threshold: float) -> int:
     return round(PARITY / 2 * (1 - keep**d) + 4.5 * spread)
 
 
+def _common(threshold: float) -> int:
+    """Values that the LISTED smallest of two sets at the threshold have in common at least; fewer are with a probability of about 1e-6 (at 0.8: 18 or more of 32 draws that hit with 0.2)."""
+    spread = (LISTED * threshold * (1 - threshold)) ** 0.5
+    return max(1, int(LISTED * threshold - 5.1 * spread))
+
+
+def _listed(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """v, c (classes that keep v among their LISTED smallest), node, n, parity bits, at (place of v in the class's order): the lists that can give pairs.
+
+    Values of one class only come first in every order and make no list, so they
+    are counted, not moved.
+    """
+    threshold = share[0] / share[1]
+    values = classes.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
+    counts = materialize(values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    # at most SPREAD values are beyond the limit, as all counts sum up to no more than all values
+    limit = spread_limit(counts.agg(F.sum("c")).first()[0] or 0)
+    often, seldom = F.broadcast(counts.where(F.col("c") > limit)), counts.where(F.col("c") <= limit)
+    rated = values.join(often, "v").unionByName(values.join(often, "v", "left_anti").join(seldom, "v").select("v", "node", "c"))
+    ordered = rated.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("_values"))
+    n, kept = F.col("n"), F.least("n", F.lit(LISTED))
+    exact = n - F.ceil(n * share[0] / share[1] - 1e-9) + 1
+    # sets of at most LISTED * threshold elements can only be like sets that are whole among their smallest
+    prefix = F.when(n <= int(LISTED * threshold), exact).otherwise(kept - _common(threshold) + 1)
+    alone = kept - F.size("_values")
+    placed = ordered.join(classes.select("node", "n", *PARTS), "node").select("node", "n", *PARTS, alone.alias("_alone"), F.posexplode(F.slice("_values", 1, F.greatest(F.lit(0), F.least(F.size("_values"), prefix - alone)).cast("int"))).alias("_i", "_e"))
+    out = materialize(placed.select(F.col("_e.v").alias("v"), F.col("_e.c").alias("c"), "node", "n", *PARTS, (F.col("_alone") + F.col("_i")).alias("at")), "lists")
+    discard(counts)
+    return out
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:
-    """Pairs (a, b) whose union sketch doesn't rule the threshold out, with the estimate. pairs must be materialized."""
+    """Pairs (a, b) whose union sketch doesn't rule the threshold out, with the estimate, written. pairs must be materialized."""
     nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "nodes")
     sketches = materialize(classes.join(sent_if_few(nodes), "node").select("node", "sketch"), "candidates")
     side = lambda x: sketches.select(F.col("node").alias(x), F.col("sketch").alias(f"_{x}"))
     union = F.slice(F.array_sort(F.array_union("_a", "_b")), 1, size)
-    with_union = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("_u", union)
+    with_union = join_spread(pairs, side("a"), "a", heavy_keys(pairs, "a"), ["b"]).join(side("b"), "b").withColumn("_u", union)
     found = F.size(F.array_intersect("_u", F.array_intersect("_a", "_b"))) / F.size("_u")
     least = threshold - MARGIN * (threshold * (1 - threshold) / size) ** 0.5
-    return with_union.select("a", "b", found.alias("estimate")).where(F.col("estimate") >= least)
-
-
-def _full_sets(needed: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """node, set of the classes needed (node, least_id, lo, hi; materialized), made anew from their texts."""
-    found = docs.join(sent_if_few(needed.select("node", "least_id", "lo", "hi")), F.col("id").eqNullSafe(F.col("least_id")))
-    found = found.select("node", "lo", "hi", _set_maker(words)("text").alias("_s"))
-    sets = found.where("_s.lo = lo and _s.hi = hi").select("node", F.col("_s.full").alias("set"))
-    return materialize(sets.dropDuplicates(["node"]), "sets")
-
-
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _full_sets(materialize(classes.join(needed, "node").select("node", "least_id", "lo", "hi"), "needed"), docs, words)
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"_{x}"))
-    both = F.size(F.array_intersect("_a", "_b"))
-    linked = pairs.join(side("a"), "a").join(side("b"), "b").where(both * share[1] >= share[0] * (F.size("_a") + F.size("_b") - both))
-    out = materialize(linked.select("a", "b"), "verified")
-    discard(sets)
+    out = materialize(with_union.select("a", "b", found.alias("estimate")).where(F.col("estimate") >= least), "estimated")
+    discard(nodes, sketches)
     return out
 
 
+class _Sets:
+    """Full sets of classes, made from their texts once, however many pairs need them."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, words: int) -> None:
+        self.classes, self.docs, self.words, self.made = classes, docs, words, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """node, set of all nodes in pairs, and of those that were asked for before."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        nodes = nodes if self.made is None else nodes.join(self.made.select("node"), "node", "left_anti")
+        needed = materialize(self.classes.join(nodes, "node").select("node", "key", "lo", "hi"), "needed")
+        found = self.docs.join(sent_if_few(needed), "key").select("node", "lo", "hi", _set_maker(self.words)("text").alias("_s"))
+        sets = materialize(found.where("_s.lo = lo and _s.hi = hi").select("node", F.col("_s.full").alias("set")).dropDuplicates(["node"]), "sets")
+        discard(needed)
+        self.made = sets if self.made is None else self.made.unionByName(sets)
+        return self.made
+
+    def linked(self, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
+        """Pairs (a, b; materialized) whose full sets reach the threshold."""
+        sets = self.of(pairs)
+        side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"_{x}"))
+        both = F.size(F.array_intersect("_a", "_b"))
+        met = join_spread(pairs, side("a"), "a", heavy_keys(pairs, "a"), ["b"])
+        met = join_spread(met, side("b"), "b", heavy_keys(pairs, "b"), ["a"])
+        return materialize(met.where(both * share[1] >= share[0] * (F.size("_a") + F.size("_b") - both)).select("a", "b"), "verified")
+
+    def discard(self) -> None:
+        if self.made is not None:
+            discard(self.made)
+
+
 def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row a row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -149,72 +189,75 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     reach. Texts without words, null ones included, are linked with nothing.
     Rows of equal id each keep their row; a component without any id has a null
     component_id, and its rows are kept. Further columns of docs are ignored.
+    A link at the very threshold is missed with a probability of about 1e-5 (lists
+    1e-6, parity bits 4.5 and estimate 5 standard deviations); more similar texts
+    far less often, and sets of up to 25 shingles never.
     """
     ready_for_python(docs.sparkSession)
     threshold = share[0] / share[1]
-    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    sketched = docs.select("id", _sketcher(words, SKETCH)("text").alias("s"))
-    meta = materialize(sketched.select("id", "s.*"), "sketches")
-    classes = meta.where("n > 0").groupBy("lo", "hi", "n").agg(F.min("id").alias("least_id"), *[F.any_value(c).alias(c) for c in (*PARTS, "sketch")])
-    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-
-    listed = classes.select("node", "n", *PARTS, F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    frequent = listed.groupBy("v").agg(F.count("*").alias("_c")).where(F.col("_c") > FREQUENT).select("v", F.lit(True).alias("_often"))
-    listed = listed.join(frequent, "v", "left").groupBy("node", "n", *PARTS).agg(F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v")))).alias("_all"))
-    few = (F.size("_all") < ENOUGH) | (F.size("_all") < RARE * F.least("n", F.lit(LISTED)))
-    listed = materialize(listed.select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_crowd")), "lists")
-    crowd = materialize(classes.join(listed.where("_crowd").select("node"), "node").select("node", "least_id", "lo", "hi", "n"), "crowd")
-    crowd_sets = _full_sets(crowd, docs, words)
-    rarity = F.count("*").over(Window.partitionBy("_g"))
-    ranked = crowd_sets.select("node", F.size("set").alias("_n"), F.explode("set").alias("_g")).withColumn("_c", rarity)
-    ranked = ranked.withColumn("at", F.row_number().over(Window.partitionBy("node").orderBy("_c", "_g")) - 1)
-    needed = F.ceil(F.col("_n") * share[0] / share[1] - 1e-9)
-    prefix = ranked.where((F.col("at") <= F.col("_n") - needed) & (F.col("_c") > 1)).select("node", (-1 - F.col("_g")).alias("v"), F.col("at").cast("bigint"))
-    rare = listed.select("node", "n", *PARTS, F.lit(None).cast("bigint").alias("at"), F.explode("_rare").alias("v"))
-    crowded = listed.where("_crowd").select("node", "n", *PARTS).join(prefix, "node").select("node", "n", *PARTS, "at", "v")
-    lists_of = materialize(rare.unionByName(crowded), "lists")
-    for done in (listed, crowd, crowd_sets):
-        discard(done)
-
+    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"))
+    meta = materialize(docs.select("id", "key", _sketcher(words, SKETCH)("text").alias("s")).select("id", "key", "s.*"), "sketches")
+    classes = meta.where("n > 0").groupBy("lo", "hi", "n").agg(F.min(F.struct(F.col("id").isNull().alias("_none"), "id", "key")).alias("_first"), F.count("*").alias("rows"), *[F.any_value(c).alias(c) for c in (*PARTS, "sketch")])
+    classes = classes.select("lo", "hi", "n", "rows", *PARTS, "sketch", F.col("_first.id").alias("least_id"), F.col("_first.key").alias("key"), F.monotonically_increasing_id().alias("node"))
+    classes = materialize(classes, "classes")
+    lists_of = _listed(classes, share)
     most = _odd_bits(threshold)
 
-    def alike(x, y):
-        """Sizes and, in lists of the crowd, places allow the threshold, and so do the parity bits; sketches of small sets are the sets, so that their bits decide for sure."""
+    def alike(x, y) -> Column:
+        """Sizes and parity bits allow the threshold; sketches of small sets are the sets, so that their bits, and their places in a list, decide for sure."""
         larger = F.greatest(x("n"), y("n"))
         bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in PARTS[1:]), F.bit_count(x(PARTS[0]).bitwiseXOR(y(PARTS[0]))))
         small = F.when(larger <= SKETCH, F.floor((1 / threshold - 1) * larger + 1e-9)).otherwise(most)
-        common = F.least(x("n") - F.coalesce(x("at"), F.lit(0)), y("n") - F.coalesce(y("at"), F.lit(0)))
+        place = lambda s: F.when(larger <= LISTED, s("at")).otherwise(0)
+        common = F.least(x("n") - place(x), y("n") - place(y))
         return (common * share[1] >= (x("n") + y("n") - common) * share[0]) & (bits <= small)
 
-    # a list of the crowd is led by the member with the fewest rarer shingles: the nearest to an original among its copies
+    # a list is led by the member with the fewest rarer values: the nearest to an original among its copies
     leaders = lists_of.groupBy("v").agg(F.min(F.struct("at", "node", "n", *PARTS)).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
     near = alike(F.col, lambda c: F.col(f"_l.{c}"))
-    led = lists_of.join(leaders, "v").where((F.col("node") != F.col("_l.node")) & near)
+    often = heavy_keys(lists_of, "v")
+    led = join_spread(lists_of, leaders, "v", often, ["node"]).where((F.col("node") != F.col("_l.node")) & near)
     led = materialize(led.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).distinct(), "led")
-    best = _estimated(led, classes, threshold, SKETCH).groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
-    first = _verified(materialize(best.select("a", "b"), "best"), classes, docs, words, share)
-    one = materialize(classes.select("node").join(connected(first), "node", "left").select("node", F.coalesce("label", "node").alias("c")), "components")
-
-    placed = lists_of.join(one, "node")
+    estimated = _estimated(led, classes, threshold, SKETCH)
+    best = materialize(estimated.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b"), "best")
+    sets = _Sets(classes, docs, words)
+    first = sets.linked(best, share)
+    labels = connected(first)
+    one = materialize(classes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("c")), "components")
+    discard(led, estimated, best, first, labels)
+
+    placed = lists_of.withColumnRenamed("c", "_kept_by").join(one, "node")
     parts = placed.groupBy("v", "c").agg(F.count("*").alias("_n"))
-    mixed = parts.groupBy("v").agg(F.count("*").alias("_parts"), F.max_by("c", F.struct("_n", "c")).alias("_main")).where("_parts > 1").select("v", "_main")
-    placed = materialize(placed.join(mixed, "v"), "mixed-lists")
-    discard(lists_of)
-    side = lambda x: ["v", *[F.col(c).alias(f"_{x}{c}") for c in ("node", "n", *PARTS, "at", "c")]]
-    x, y = placed.where("c <> _main").select(side("x")), placed.select(*side("y"), "_main")
+    mixed = parts.groupBy("v").agg(F.count("*").alias("_parts"), F.sum("_n").alias("_all"), F.max_by("c", F.struct("_n", "c")).alias("_main")).where("_parts > 1").select("v", "_main", "_all")
+    mixed = materialize(mixed, "mixed")
+    placed = materialize(join_spread(lists_of, mixed, "v", often, ["node"]).withColumnRenamed("c", "_kept_by").join(one, "node"), "mixed-lists")
+    discard(mixed, lists_of)
+    # members of a long list are dealt to blocks, and each member that is not of the main component meets all of them
+    blocks = F.floor(F.col("_all") / spread_limit(placed.count()))
+    side = lambda x: [*[F.col(c).alias(f"_{x}{c}") for c in ("node", "n", *PARTS, "at", "c")]]
+    x = placed.where("c <> _main").select("v", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)).alias("_block"), *side("x"))
+    y = placed.select("v", F.pmod(F.xxhash64("node"), blocks + 1).alias("_block"), *side("y"), "_main")
     near = alike(lambda c: F.col(f"_x{c}"), lambda c: F.col(f"_y{c}"))
-    crossed = x.join(y, "v").where((F.col("_xc") != F.col("_yc")) & ((F.col("_yc") == F.col("_main")) | (F.col("_xnode") < F.col("_ynode"))) & near)
+    crossed = x.join(y, ["v", "_block"]).where((F.col("_xc") != F.col("_yc")) & ((F.col("_yc") == F.col("_main")) | (F.col("_xnode") < F.col("_ynode"))) & near)
     crossed = materialize(crossed.select(F.least("_xnode", "_ynode").alias("a"), F.greatest("_xnode", "_ynode").alias("b")).distinct(), "crossed")
-    discard(placed)
-    crossed = materialize(_estimated(crossed, classes, threshold, SKETCH).select("a", "b"), "crossed")
-    second = _verified(crossed, classes, docs, words, share)
+    estimated = _estimated(crossed, classes, threshold, SKETCH)
+    second = sets.linked(estimated.select("a", "b"), share)
     label = lambda x: one.select(F.col("node").alias(x), F.col("c").alias(f"_{x}"))
-    joined = connected(second.join(label("a"), "a").join(label("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b"))
-    final = one.join(joined.select(F.col("node").alias("c"), F.col("label").alias("_l")), "c", "left").select("node", F.coalesce("_l", "c").alias("c"))
-    final = classes.join(final, "node").select("lo", "hi", "n", "least_id", "c")
-    smallest = final.groupBy("c").agg(F.min("least_id").alias("component_id"))
-    final = final.join(smallest, "c").select("lo", "hi", "n", "component_id", F.lit(True).alias("_found"))
-    rows = meta.drop("sketch").join(final, ["lo", "hi", "n"], "left")
+    labels = connected(second.join(label("a"), "a").join(label("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b"))
+    final = one.join(labels.select(F.col("node").alias("c"), F.col("label").alias("_l")), "c", "left").select("node", F.coalesce("_l", "c").alias("c"))
+    final = materialize(classes.select("node", "lo", "hi", "n", "rows", "least_id").join(final, "node"), "final")
+    sets.discard()
+    discard(placed, crossed, estimated, second, labels, one, classes)
+    # classes that are alone and have one row are their own component; others are looked up
+    joined = final.groupBy("c").agg(F.min("least_id").alias("component_id"), F.sum("rows").alias("_rows")).where("_rows > 1").select("c", "component_id")
+    found = join_spread(final, joined, "c", heavy_keys(final, "c"), ["node"])
+    found = materialize(found.select("lo", "hi", "n", "rows", "component_id", F.lit(True).alias("_found")), "found")
+    discard(final)
+    # at most SPREAD classes have more rows than the limit
+    limit, rows = spread_limit(meta.count()), meta.select("id", "n", "lo", "hi")
+    copied, others = F.broadcast(found.where(F.col("rows") > limit)), found.where(F.col("rows") <= limit)
+    key = ["lo", "hi", "n"]
+    rows = rows.join(copied, key).unionByName(rows.join(copied, key, "left_anti").join(sent_if_few(others), key, "left"))
     component = F.when(F.col("_found"), F.col("component_id")).otherwise(F.col("id"))
     return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 

@@ -6,11 +6,11 @@ pairs with a value in common; 256 parity bits of the sketches drop
 those whose sketches differ far more than allowed, the Jaccard similarity that
 the sketch of the union shows drops most others; the full sets decide the rest.
 
-A class need not be in the lists of all its values: two sketches that have at
-least so many values in common share one of the rarest of each, rarest being
-any order that is the same for all. So values are ordered by the number of
-classes that keep them, and each class goes to the lists of its first ones.
-This is the same rule for every value and at every size.
+Values that very many classes retain get no list. Classes that have few others,
+the crowd (families of copies, texts of common phrases only), are met among each
+other through their full sets instead: two sets at the threshold share one of
+their rarest shingles, and the place of the first such shingle bounds what they
+can have in common, so short lists and few pairs remain.
 
 A list's pairs are not all formed: first each member is compared with the list's
 leader, and then only pairs of different components are, of which one is not in
@@ -28,8 +28,17 @@ from pyspark.sql import functions as F
 from fragloom.llm.common import discard, heavy_keys, join_spread, materialize, read, ready_for_python, sent_if_few, spread_limit
 from fragloom.llm.vectext import lists, mix, shingle_sets
 
-#: Hashes that a sketch keeps, and how many of the smallest lists are made of.
-SKETCH, LISTED = 64, 32
+#: Hashes that a sketch keeps.
+SKETCH = 64
+#: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these
+#: is of the crowd, as is one of whose smallest LISTED less than RARE are not frequent.
+LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
+#: A value is frequent if more classes keep it among their smallest than SHORT (a list of that length is no work at any size)
+#: and than a 1/SHARE of all values kept, so that frequent values are SHARE at most and lists stay the main way as data grow.
+#: A set of the crowd and one outside are missed where all that they share is frequent: at 0.8 20 of 32 come from the fifth
+#: that is only in one with probability 2e-7. Where 12 of 32 are frequent and common to both, sets at 0.8 still have 0.68 of
+#: the others in common, and miss each other less often.
+SHORT, SHARE = 100, 1 << 20
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
 MARGIN = 5
 #: Parity bits of a sketch, as four numbers.
@@ -104,33 +113,36 @@ def _odd_bits(threshold: float) -> int:
     return round(PARITY / 2 * (1 - keep**d) + 4.5 * spread)
 
 
-def _common(threshold: float) -> int:
-    """Values that the LISTED smallest of two sets at the threshold have in common at least; fewer are with a probability of about 1e-6 (at 0.8: 18 or more of 32 draws that hit with 0.2)."""
-    spread = (LISTED * threshold * (1 - threshold)) ** 0.5
-    return max(1, int(LISTED * threshold - 5.1 * spread))
-
-
-def _listed(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """v, c (classes that keep v among their LISTED smallest), node, n, parity bits, at (place of v in the class's order): the lists that can give pairs.
-
-    Values of one class only come first in every order and make no list, so they
-    are counted, not moved.
-    """
-    threshold = share[0] / share[1]
+def _listed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """node, n, parity bits, _rare (up to USED of the values that are not frequent) of all classes; and the nodes of the crowd."""
     values = classes.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    counts = materialize(values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "counts")
-    # at most SPREAD values are beyond the limit, as all counts sum up to no more than all values
-    limit = spread_limit(counts.agg(F.sum("c")).first()[0] or 0)
-    often, seldom = F.broadcast(counts.where(F.col("c") > limit)), counts.where(F.col("c") <= limit)
-    rated = values.join(often, "v").unionByName(values.join(often, "v", "left_anti").join(seldom, "v").select("v", "node", "c"))
-    ordered = rated.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "v"))).alias("_values"))
-    n, kept = F.col("n"), F.least("n", F.lit(LISTED))
-    exact = n - F.ceil(n * share[0] / share[1] - 1e-9) + 1
-    # sets of at most LISTED * threshold elements can only be like sets that are whole among their smallest
-    prefix = F.when(n <= int(LISTED * threshold), exact).otherwise(kept - _common(threshold) + 1)
-    alone = kept - F.size("_values")
-    placed = ordered.join(classes.select("node", "n", *PARTS), "node").select("node", "n", *PARTS, alone.alias("_alone"), F.posexplode(F.slice("_values", 1, F.greatest(F.lit(0), F.least(F.size("_values"), prefix - alone)).cast("int"))).alias("_i", "_e"))
-    out = materialize(placed.select(F.col("_e.v").alias("v"), F.col("_e.c").alias("c"), "node", "n", *PARTS, (F.col("_alone") + F.col("_i")).alias("at")), "lists")
+    counts = values.groupBy("v").agg(F.count("*").alias("_c")).where(F.col("_c") > SHORT)
+    limit = (classes.agg(F.sum(F.least("n", F.lit(LISTED)))).first()[0] or 0) // SHARE
+    frequent = counts.where(F.col("_c") > limit).select("v", F.lit(True).alias("_often"))
+    seldom = F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v"))))
+    kept = values.join(frequent, "v", "left").groupBy("node").agg(seldom.alias("_all"))
+    few = (F.size("_all") < ENOUGH) | (F.size("_all") < RARE * F.least("n", F.lit(LISTED)))
+    listed = kept.join(classes.select("node", "n", *PARTS), "node").select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_crowd"))
+    listed = materialize(listed, "listed")
+    return listed, listed.where("_crowd").select("node", "n", *PARTS)
+
+
+def _crowded(crowd: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """v, node, n, parity bits, at: lists of the rarest shingles of the crowd's full sets, with the place of v in its set's order.
+
+    Shingles of one set only come first in every order and make no list, so they
+    are counted, not moved. No task gets all rows of a frequent shingle.
+    """
+    shingles = sets.join(crowd.select("node"), "node").select("node", F.explode("set").alias("v"))
+    counts = materialize(shingles.groupBy("v").agg(F.count("*").alias("_c")).where("_c > 1"), "counts")
+    limit = spread_limit(counts.agg(F.sum("_c")).first()[0] or 0)
+    heavy, others = F.broadcast(counts.where(F.col("_c") > limit)), counts.where(F.col("_c") <= limit)  # at most SPREAD heavy ones
+    rated = shingles.join(heavy, "v").unionByName(shingles.join(heavy, "v", "left_anti").join(others, "v"))
+    ordered = rated.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("_c", "v"))).alias("_o")).join(crowd, "node")
+    n = F.col("n")
+    alone, prefix = n - F.size("_o"), n - F.ceil(n * share[0] / share[1] - 1e-9) + 1
+    placed = ordered.select("node", "n", *PARTS, alone.alias("_alone"), F.posexplode(F.slice("_o", 1, F.greatest(F.lit(0), F.least(F.size("_o"), prefix - alone)).cast("int"))).alias("_i", "_e"))
+    out = materialize(placed.select((-1 - F.col("_e.v")).alias("v"), "node", "n", *PARTS, (F.col("_alone") + F.col("_i")).alias("at")), "crowded")
     discard(counts)
     return out
 
@@ -155,9 +167,8 @@ class _Sets:
     def __init__(self, classes: DataFrame, docs: DataFrame, words: int) -> None:
         self.classes, self.docs, self.words, self.made = classes, docs, words, None
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        """node, set of all nodes in pairs, and of those that were asked for before."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """node, set of these nodes, and of those that were asked for before."""
         nodes = nodes if self.made is None else nodes.join(self.made.select("node"), "node", "left_anti")
         needed = materialize(self.classes.join(nodes, "node").select("node", "key", "lo", "hi"), "needed")
         found = self.docs.join(sent_if_few(needed), "key").select("node", "lo", "hi", _set_maker(self.words)("text").alias("_s"))
@@ -168,7 +179,7 @@ class _Sets:
 
     def linked(self, pairs: DataFrame, share: tuple[int, int]) -> DataFrame:
         """Pairs (a, b; materialized) whose full sets reach the threshold."""
-        sets = self.of(pairs)
+        sets = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias(f"_{x}"))
         both = F.size(F.array_intersect("_a", "_b"))
         met = join_spread(pairs, side("a"), "a", heavy_keys(pairs, "a"), ["b"])
@@ -189,9 +200,9 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     reach. Texts without words, null ones included, are linked with nothing.
     Rows of equal id each keep their row; a component without any id has a null
     component_id, and its rows are kept. Further columns of docs are ignored.
-    A link at the very threshold is missed with a probability of about 1e-5 (lists
-    1e-6, parity bits 4.5 and estimate 5 standard deviations); more similar texts
-    far less often, and sets of up to 25 shingles never.
+    A link at the very threshold is missed with a probability of about 1e-5 (of
+    16 listed values none is common: 1e-11; crowd and outside 2e-7; parity bits 4.5
+    and estimate 5 standard deviations: 3e-6 each); more similar texts far less often.
     """
     ready_for_python(docs.sparkSession)
     threshold = share[0] / share[1]
@@ -200,19 +211,23 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     classes = meta.where("n > 0").groupBy("lo", "hi", "n").agg(F.min(F.struct(F.col("id").isNull().alias("_none"), "id", "key")).alias("_first"), F.count("*").alias("rows"), *[F.any_value(c).alias(c) for c in (*PARTS, "sketch")])
     classes = classes.select("lo", "hi", "n", "rows", *PARTS, "sketch", F.col("_first.id").alias("least_id"), F.col("_first.key").alias("key"), F.monotonically_increasing_id().alias("node"))
     classes = materialize(classes, "classes")
-    lists_of = _listed(classes, share)
+    sets = _Sets(classes, docs, words)
+    listed, crowd = _listed(classes)
+    rare = listed.select("node", "n", *PARTS, F.lit(None).cast("bigint").alias("at"), F.explode("_rare").alias("v"))
+    crowded = _crowded(crowd, sets.of(crowd.select("node")), share)
+    lists_of = materialize(rare.unionByName(crowded), "lists")
+    discard(listed, crowded)
     most = _odd_bits(threshold)
 
     def alike(x, y) -> Column:
-        """Sizes and parity bits allow the threshold; sketches of small sets are the sets, so that their bits, and their places in a list, decide for sure."""
+        """Sizes and, in lists of the crowd, places allow the threshold, and so do the parity bits; sketches of small sets are the sets, so that their bits decide for sure."""
         larger = F.greatest(x("n"), y("n"))
         bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in PARTS[1:]), F.bit_count(x(PARTS[0]).bitwiseXOR(y(PARTS[0]))))
         small = F.when(larger <= SKETCH, F.floor((1 / threshold - 1) * larger + 1e-9)).otherwise(most)
-        place = lambda s: F.when(larger <= LISTED, s("at")).otherwise(0)
-        common = F.least(x("n") - place(x), y("n") - place(y))
+        common = F.least(x("n") - F.coalesce(x("at"), F.lit(0)), y("n") - F.coalesce(y("at"), F.lit(0)))
         return (common * share[1] >= (x("n") + y("n") - common) * share[0]) & (bits <= small)
 
-    # a list is led by the member with the fewest rarer values: the nearest to an original among its copies
+    # a list of the crowd is led by the member with the fewest rarer shingles: the nearest to an original among its copies
     leaders = lists_of.groupBy("v").agg(F.min(F.struct("at", "node", "n", *PARTS)).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
     near = alike(F.col, lambda c: F.col(f"_l.{c}"))
     often = heavy_keys(lists_of, "v")
@@ -220,17 +235,16 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     led = materialize(led.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).distinct(), "led")
     estimated = _estimated(led, classes, threshold, SKETCH)
     best = materialize(estimated.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    sets = _Sets(classes, docs, words)
     first = sets.linked(best, share)
     labels = connected(first)
     one = materialize(classes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("c")), "components")
     discard(led, estimated, best, first, labels)
 
-    placed = lists_of.withColumnRenamed("c", "_kept_by").join(one, "node")
+    placed = lists_of.join(one, "node")
     parts = placed.groupBy("v", "c").agg(F.count("*").alias("_n"))
     mixed = parts.groupBy("v").agg(F.count("*").alias("_parts"), F.sum("_n").alias("_all"), F.max_by("c", F.struct("_n", "c")).alias("_main")).where("_parts > 1").select("v", "_main", "_all")
     mixed = materialize(mixed, "mixed")
-    placed = materialize(join_spread(lists_of, mixed, "v", often, ["node"]).withColumnRenamed("c", "_kept_by").join(one, "node"), "mixed-lists")
+    placed = materialize(join_spread(lists_of, mixed, "v", often, ["node"]).join(one, "node"), "mixed-lists")
     discard(mixed, lists_of)
     # members of a long list are dealt to blocks, and each member that is not of the main component meets all of them
     blocks = F.floor(F.col("_all") / spread_limit(placed.count()))

@@ -597,8 +597,9 @@ def families(rng, count):
     return texts
 
 
-def test_near_duplicates_of_families_match_exact_prefixes(spark):
-    """5,000 texts of which all share a shingle, and a third of which share most."""
+def test_near_duplicates_of_families_match_exact_prefixes(spark, monkeypatch):
+    """5,000 texts of which all share a shingle, and a third of which share most; many lists are left out, heavy keys and long lists are dealt."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
     texts = families(np.random.RandomState(4), 5000)
     few = texts[:300]
     assert [(n, c) for _, n, c in sorted(plain_components(list(enumerate(few)), 2))] == prefix_components(few, 2)
@@ -625,6 +626,21 @@ def test_near_duplicates_without_ids(spark):
     assert len(out) == 231 and {r["component_id"] for r in out if r["doc_id"] is None} == {None} and {r["component_id"] for r in out if r["doc_id"]} == {5}
 
 
+def test_near_duplicates_of_the_crowd_and_outside(spark, monkeypatch):
+    """Boilerplate, and a copy with words of its own that are many among its smallest hashes, but not most."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
+    base = " ".join(f"b{i}" for i in range(100))
+    rows = [(0, base), *[(100 + i, base + "".join(f" o{i}x{j}" for j in range(32))) for i in range(60)]]
+    copies = [base + "".join(f" c{k}x{j}" for j in range(24)) for k in range(8000)]
+    values, at = neardup.shingle_sets(pa.array([base, *copies]), 2)
+    common = np.isin(values, values[at[0] : at[1]])
+    own = [32 - int(common[a : a + 32].sum()) for a in at[1:-1]]
+    rows += [(1 + n, copies[k]) for n, k in enumerate([k for k, x in enumerate(own) if 14 <= x < 20][:3])]
+    assert len(rows) > 61
+    out = rows_of(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2))
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == sorted(plain_components(rows, 2))
+
+
 def test_near_duplicates_nothing(empty):
     assert neardup.near_duplicates(empty).count() == 0
 

@@ -99,7 +99,8 @@ def residual_containment(spark, sf_dir):
     return rows.agg(F.count("*").alias("fragments")).crossJoin(lost.agg(F.count("*").alias("lost")))  # one row each
 
 
-TYPE2 = Settings(types=(2,), type2_best_effort=True)
+#: Whole documents are groups here, of which some have more than the default limit of 100,000 graphemes; this is the largest limit.
+TYPE2 = Settings(types=(2,), type2_best_effort=True, max_article_fragments=2_000_000)
 
 
 def _articles2(spark, sf_dir):

@@ -1,38 +1,43 @@
-"""What to work on next, as pure functions of the progress: a live lane, a descending backfill, and repairs of late minutes."""
+"""What to work on next: rows of due work in one order, and a ledger that takes batches only where they fit.
 
-from __future__ import annotations
-
-from dataclasses import dataclass, field, replace
-from datetime import UTC, datetime, timedelta
+Minutes are whole numbers, counted from the epoch. Three lanes share the ledger:
+live goes forward from the seam, backfill goes down from it to the floor, and
+repair looks again for minutes that were missing.
+"""
 
-#: Minutes that count as fresh, and repairs in a row before backfill gets its turn.
-FRESH, BURST = 15, 20
-LANES = ("live", "backfill", "repair")
+from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import asdict, dataclass, field, replace
+from datetime import UTC, datetime
 
-def parse(minute: str) -> datetime:
-    at = datetime.strptime(minute, "%Y%m%d%H%M%S").replace(tzinfo=UTC)
-    if at.second or len(minute) != 14:
-        raise ValueError(f"{minute} is no whole minute")
-    return at
+#: Minutes that count as fresh, repairs in a row before backfill gets its turn, and every which one goes to an older gap.
+FRESH, BURST, OLDER_EVERY = 15, 20, 4
+#: Seconds until an absent minute, and a lane that failed, are tried again: first, and at most.
+REPAIR_WAIT, FAILURE_WAIT = (30, 300), (15, 900)
 
 
-def stamp(at: datetime) -> str:
-    return at.strftime("%Y%m%d%H%M%S")
+def minute_of(stamp: str) -> int:
+    """Number of the minute that 14 digits name."""
+    if len(stamp) != 14 or not stamp.isdigit() or stamp[12:] != "00":
+        raise ValueError(f"{stamp} is no whole minute")
+    return int(datetime.strptime(stamp, "%Y%m%d%H%M%S").replace(tzinfo=UTC).timestamp()) // 60
 
 
-def shift(minute: str, by: int) -> str:
-    return stamp(parse(minute) + timedelta(minutes=by))
+def stamp_of(minute: int) -> str:
+    return datetime.fromtimestamp(minute * 60, UTC).strftime("%Y%m%d%H%M%S")
 
 
 def repair_delay(attempts: int) -> float:
-    """Seconds until an absent minute is looked for again: 30, doubling up to 5 minutes."""
-    return min(300, 30 * 2 ** min(attempts - 1, 4))
+    """Seconds until an absent minute is looked for again: 30, doubled with each attempt after the first, up to 5 minutes."""
+    first, most = REPAIR_WAIT
+    return min(most, first << min(attempts - 1, 4))
 
 
 def failure_delay(attempts: int) -> float:
-    """Seconds until a failed lane is tried again: doubling from 15 up to 15 minutes."""
-    return min(900, 15 * 2 ** min(attempts, 6))
+    """Seconds until a failed lane is tried again: 15, doubled with each attempt, up to 15 minutes."""
+    first, most = FAILURE_WAIT
+    return min(most, first << min(attempts, 6))
 
 
 @dataclass(frozen=True)
@@ -47,149 +52,157 @@ class Config:
         if not (0 <= self.lag_minutes <= 60 and 1 <= self.window_minutes <= self.batch_minutes <= 1440 and 1 <= self.retry_hours <= 720 and self.poll_seconds >= 1):
             raise ValueError("a setting is out of range")
 
-    def cutoff(self, now: datetime) -> str:
-        return stamp(now.replace(second=0, microsecond=0) - timedelta(minutes=self.lag_minutes))
-
 
 @dataclass(frozen=True)
-class Progress:
-    """Disjoint cursors of the lanes, minutes still missing, totals, and what each lane last published."""
-
-    initial_start: str
-    live_start: str
-    live_next: str
-    backfill_floor: str
-    backfill_next_end: str
-    pending: tuple[str, ...] = ()
+class Ledger:
+    """Where the lanes stand (seam: first live minute; live: next one; below: next backfill end), what is missing, totals, and each lane's last receipt."""
+
+    floor: int
+    seam: int
+    live: int
+    below: int
+    missing: tuple[int, ...] = ()
     observations: int = 0
     quarantined: int = 0
     bytes: int = 0
     receipts: dict[str, str] = field(default_factory=dict)
-    last_lane: str | None = None
+
+    @staticmethod
+    def begin(floor: int, now: float, config: Config = Config()) -> Ledger:
+        """The seam, fixed once: a fresh window ends at the newest minute that is due; all below is backfill."""
+        seam = max(floor, newest(now, config) - FRESH + 1)
+        return Ledger(floor, seam, seam, seam - 1)
+
+    def as_dict(self) -> dict:
+        return asdict(self)
+
+    @staticmethod
+    def of(values: dict) -> Ledger:
+        return Ledger(**{**values, "missing": tuple(values["missing"])})
+
+
+def newest(now: float, config: Config) -> int:
+    """The last minute that should be there."""
+    return int(now // 60) - config.lag_minutes
+
+
+def oldest(now: float, config: Config) -> float:
+    """Missing minutes before this one are given up."""
+    return now / 60 - config.retry_hours * 60
 
 
 @dataclass(frozen=True)
-class Plan:
-    start: str
-    end: str
+class Work:
+    """A span of minutes for a lane; due: when it may be taken up."""
+
     lane: str
+    first: int
+    last: int
+    due: float = 0.0
 
 
 @dataclass(frozen=True)
 class Batch:
-    """A finished window: its bounds, what was missing, and a digest that identifies it."""
+    """Finished work: its span, what was missing in it, totals, and a digest that identifies it."""
 
-    start: str
-    end: str
     lane: str
-    missing: tuple[str, ...]
-    observations: int
+    first: int
+    last: int
     receipt: str
+    missing: tuple[int, ...] = ()
+    observations: int = 0
     quarantined: int = 0
     bytes: int = 0
 
 
-def bootstrap(start: str, now: datetime, config: Config = Config(), reached: str | None = None) -> Progress:
-    """The seam between lanes, fixed once: live begins 14 minutes before the cutoff, all below is backfill."""
-    floor = reached or start
-    live = max(floor, shift(config.cutoff(now), -14))
-    return Progress(start, live, live, floor, shift(live, -1))
-
-
-def within_window(progress: Progress, now: datetime, config: Config) -> list[str]:
-    earliest = stamp(now - timedelta(hours=config.retry_hours))
-    return [m for m in progress.pending if m >= earliest]
+def open_work(ledger: Ledger, checks: dict[int, float], now: float, config: Config = Config()) -> Iterator[Work]:
+    """All work that is open: the next span of live and of backfill, and every missing minute that is not given up. checks: when a minute may be looked for again."""
+    last = newest(now, config)
+    if ledger.live <= last:
+        yield Work("live", ledger.live, min(last, ledger.live + config.window_minutes - 1))
+    if ledger.below >= ledger.floor:
+        yield Work("backfill", max(ledger.floor, ledger.below - config.window_minutes + 1), ledger.below)
+    for m in ledger.missing:
+        if m >= oldest(now, config):
+            yield Work("repair", m, m, checks.get(m, 0.0))
 
 
-def lane_plan(progress: Progress, checks: dict[str, float], now: datetime, lane: str, config: Config = Config(), older_first: bool = False) -> Plan | None:
-    """The next window of a lane, or None. checks: when a missing minute may be looked for again."""
-    cutoff = config.cutoff(now)
-    if lane == "live":
-        start = progress.live_next
-        return Plan(start, min(cutoff, shift(start, config.window_minutes - 1)), lane) if start <= cutoff else None
-    if lane == "backfill":
-        end = progress.backfill_next_end
-        return Plan(max(progress.backfill_floor, shift(end, 1 - config.window_minutes)), end, lane) if end >= progress.backfill_floor else None
-    if lane != "repair":
-        raise ValueError(f"no such lane: {lane}")
-    due = [(checks.get(m, 0.0), m) for m in within_window(progress, now, config) if checks.get(m, 0.0) <= now.timestamp()]
-    edge = stamp(now.replace(second=0, microsecond=0) - timedelta(minutes=FRESH))
-    fresh, old = [d for d in due if d[1] >= edge], [d for d in due if d[1] < edge]
-    pick = old if old and (older_first or not fresh) else fresh
-    return Plan(min(pick)[1], min(pick)[1], lane) if pick else None
+def next_work(ledger: Ledger, checks: dict[int, float], now: float, config: Config = Config(), *, streak: int = 0, resting: dict[str, float] | None = None, begun: dict[str, Work] | None = None) -> Work | None:
+    """The first of the open work in this order, or None.
 
-
-def choose(progress: Progress, checks: dict[str, float], paused: dict[str, float], now: datetime, streak: int, config: Config = Config(), started: dict[str, Plan] | None = None) -> Plan | None:
-    """Live first; then repairs, which yield to backfill after a burst (after one, if only old minutes are due).
-
-    Every fourth repair in a row looks at an older gap. Work that was started is
-    resumed before new work of its lane. paused: until when a lane rests after a
-    failure. streak: repairs in a row so far.
+    Live comes first. Repairs come before backfill until their turn is over: a
+    turn is BURST repairs in a row while fresh minutes are due, else one. Among
+    repairs fresh ones come first, on every fourth of a row older ones, and then
+    the longest due. Work that was begun stands for its lane's. resting: until
+    when a lane that failed is left alone. streak: repairs in a row so far.
     """
-    started = started or {}
-    repair = started.get("repair") or lane_plan(progress, checks, now, "repair", config)
-    edge = stamp(now.replace(second=0, microsecond=0) - timedelta(minutes=FRESH))
-    burst = BURST if repair and repair.start >= edge else 1
-    if streak % 4 == 3 and "repair" not in started:
-        repair = lane_plan(progress, checks, now, "repair", config, older_first=True)
-    for lane in ("live", "backfill", "repair") if streak >= burst else ("live", "repair", "backfill"):
-        if paused.get(lane, 0.0) > now.timestamp():
-            continue
-        plan = repair if lane == "repair" else started.get(lane) or lane_plan(progress, checks, now, lane, config)
-        if plan:
-            return plan
-    return None
+    begun, resting = begun or {}, resting or {}
+    rows = [*begun.values(), *(w for w in open_work(ledger, checks, now, config) if w.lane not in begun)]
+    rows = [w for w in rows if w.due <= now]
+    fresh = {w for w in rows if w.lane == "repair" and w.first >= int(now // 60) - FRESH}
+    turn = BURST if fresh else 1
+    older_first = streak % OLDER_EVERY == OLDER_EVERY - 1
+    place = {"live": 0, "backfill": 2, "repair": 3 if streak >= turn else 1}
+    rows = [w for w in rows if resting.get(w.lane, 0.0) <= now]
+    return min(rows, key=lambda w: (place[w.lane], (w in fresh) == older_first, w.due, w.first), default=None)
 
 
 class Conflict(RuntimeError):
-    """A batch that does not follow from the progress."""
-
-
-def commit(progress: Progress, batch: Batch, now: datetime, config: Config = Config(), protected: tuple[str, ...] = ()) -> Progress:
-    """Progress after a batch; the same progress if its lane has published this very batch already.
-
-    A batch moves its own lane's cursor only, and only from where it stands.
-    Missing minutes stay pending for the retry window. protected: pending
-    minutes with a repair in flight, which outlive the window.
+    """A batch that does not follow from the ledger."""
+
+
+_Test = Callable[[Ledger, Batch], bool]
+#: What must hold of a batch, by lane, and what is said if it does not.
+GUARDS: dict[str, list[tuple[str, _Test]]] = {
+    "live": [("live stands elsewhere", lambda at, b: b.first == at.live)],
+    "backfill": [
+        ("backfill stands elsewhere", lambda at, b: b.last == at.below),
+        ("the batch reaches below the floor", lambda at, b: b.first >= at.floor),
+        ("the batch reaches across the seam", lambda at, b: b.last < at.seam),
+    ],
+    "repair": [
+        ("a repair is one minute", lambda at, b: b.first == b.last),
+        ("the minute is not missing", lambda at, b: b.first in at.missing),
+        ("the minute is still missing", lambda at, b: not b.missing),
+    ],
+}
+#: What a batch moves, by lane.
+MOVES: dict[str, Callable[[Ledger, Batch], dict]] = {
+    "live": lambda at, b: {"live": b.last + 1},
+    "backfill": lambda at, b: {"below": b.first - 1},
+    "repair": lambda at, b: {},
+}
+
+
+def enter(ledger: Ledger, batch: Batch, now: float, config: Config = Config(), kept: tuple[int, ...] = ()) -> Ledger:
+    """The ledger after a batch, or the same if its lane's last batch was this very one (its answer was lost).
+
+    A lane's batch moves that lane only. What is missing in it stays to be
+    repaired for retry_hours; minutes in kept, whose repair has begun, longer.
     """
-    if batch.lane not in LANES:
+    if batch.lane not in GUARDS:
         raise Conflict(f"no such lane: {batch.lane}")
-    if progress.receipts.get(batch.lane) == batch.receipt:
-        return progress
-    if parse(batch.start) > parse(batch.end):
-        raise Conflict("the interval is empty")
-    pending, moved = set(progress.pending), progress
-    if batch.lane == "live":
-        if batch.start != progress.live_next:
-            raise Conflict("the live lane stands elsewhere")
-        moved = replace(progress, live_next=shift(batch.end, 1))
-    elif batch.lane == "backfill":
-        if batch.end != progress.backfill_next_end or batch.start < progress.backfill_floor or batch.end >= progress.live_start:
-            raise Conflict("the backfill stands elsewhere")
-        moved = replace(progress, backfill_next_end=shift(batch.start, -1))
-    else:
-        if batch.start != batch.end or batch.start not in pending or batch.missing:
-            raise Conflict("the repaired minute is not pending, or is still missing")
-        pending.discard(batch.start)
-    earliest = stamp(now - timedelta(hours=config.retry_hours))
-    kept = {m for m in pending | set(batch.missing) if m >= earliest or (m in pending and m in protected)}
-    return replace(
-        moved, pending=tuple(sorted(kept)), observations=progress.observations + batch.observations, quarantined=progress.quarantined + batch.quarantined,
-        bytes=progress.bytes + batch.bytes, receipts={**progress.receipts, batch.lane: batch.receipt}, last_lane=batch.lane,
-    )
-
-
-def forward_plan(progress_next: str, pending: list[str], checks: dict[str, float], now: datetime, last_lane: str | None, config: Config = Config(), first: bool = False) -> Plan | None:
-    """The single-cursor schedule: forward windows that shrink to a minute near the live edge, where they take turns with repairs."""
-    cutoff = config.cutoff(now)
-    near = first is False and progress_next >= shift(cutoff, -10)
-    due = [(checks.get(m, 0.0), m) for m in pending if checks.get(m, 0.0) <= now.timestamp()]
-    if due and (progress_next > cutoff or (near and last_lane != "repair")):
-        return Plan(min(due)[1], min(due)[1], "repair")
-    if progress_next > cutoff:
-        return None
+    if ledger.receipts.get(batch.lane) == batch.receipt:
+        return ledger
+    broken = [said for said, holds in [("the span is empty", lambda at, b: b.first <= b.last), *GUARDS[batch.lane]] if not holds(ledger, batch)]
+    if broken:
+        raise Conflict("; ".join(broken))
+    repaired = {batch.first} if batch.lane == "repair" else set()
+    missing = (set(ledger.missing) - repaired) | set(batch.missing)
+    stays = lambda m: m >= oldest(now, config) or (m in kept and m in ledger.missing)
+    totals = {name: getattr(ledger, name) + getattr(batch, name) for name in ("observations", "quarantined", "bytes")}
+    return replace(ledger, **MOVES[batch.lane](ledger, batch), **totals, missing=tuple(sorted(filter(stays, missing))), receipts=ledger.receipts | {batch.lane: batch.receipt})
+
+
+def single_cursor(at: int, missing: list[int], checks: dict[int, float], now: float, last_lane: str | None, config: Config = Config(), first: bool = False) -> Work | None:
+    """The schedule of a job with one cursor: forward spans, of one minute near the newest, where they take turns with repairs."""
+    last = newest(now, config)
+    near = not first and at > last - 11
+    repairs = [Work("repair", m, m, checks.get(m, 0.0)) for m in missing if checks.get(m, 0.0) <= now]
+    if repairs and (at > last or (near and last_lane != "repair")):
+        return min(repairs, key=lambda w: (w.due, w.first))
     span = 1 if near or first else config.batch_minutes
-    return Plan(progress_next, min(shift(progress_next, span - 1), cutoff), "forward")
+    return Work("forward", at, min(last, at + span - 1)) if at <= last else None
 
 
 def fits(used: int, incoming: int, maximum_gb: float) -> bool:
@@ -197,6 +210,6 @@ def fits(used: int, incoming: int, maximum_gb: float) -> bool:
     return used >= 0 and used + 2 * incoming < maximum_gb * 1e9
 
 
-def seal(size: int, limit: int, free: int, reserve: int, end: str, last: str) -> bool:
+def seal(size: int, limit: int, free: int, reserve: int, end: int, last: int) -> bool:
     """Is a shard closed at this window's end: by size, by scarce space, or at the end of the range?"""
     return size >= limit or free < reserve or end >= last

@@ -7,104 +7,112 @@ import pytest
 
 from fragloom.streaming import planner as P
 
-NOW = datetime(2025, 3, 16, 12, 30, 20, tzinfo=UTC)
+NOW = datetime(2025, 3, 16, 12, 30, 20, tzinfo=UTC).timestamp()
+M = P.minute_of
 
 
-def begun(start="20250316000000"):
-    return P.bootstrap(start, NOW)
+def at(clock):
+    return M(f"20250316{clock}00")
 
 
-def batch(lane, start, end, missing=(), receipt="r", n=1):
-    return P.Batch(start, end, lane, tuple(missing), n, receipt)
+def begun(start="0000"):
+    return P.Ledger.begin(at(start), NOW)
 
 
-def test_seam_is_fixed_below_the_cutoff():
+def batch(lane, first, last, missing=(), receipt="r", n=1):
+    return P.Batch(lane, at(first), at(last), receipt, tuple(at(m) for m in missing), n)
+
+
+def test_stamps():
+    assert P.stamp_of(M("20250316122900")) == "20250316122900" and M("20250316000000") - M("20250315235900") == 1
+    for bad in ("20250316000030", "2025031600000", "2025031600000x"):
+        with pytest.raises(ValueError):
+            M(bad)
+
+
+def test_seam_is_fixed_below_the_newest_minute():
     p = begun()
-    assert (p.live_next, p.backfill_next_end, p.backfill_floor) == ("20250316121500", "20250316121400", "20250316000000")
-    assert begun("20250316122500").live_next == "20250316122500"
+    assert (p.live, p.below, p.floor) == (at("1215"), at("1214"), at("0000"))
+    assert begun("1225").live == at("1225")
+    assert P.Ledger.of(p.as_dict()) == p
 
 
 def test_backfill_covers_every_minute_once_and_live_comes_first():
     p, seen = begun(), []
-    assert P.choose(p, {}, {}, NOW, 0).lane == "live"
-    p = P.commit(p, batch("live", "20250316121500", "20250316122900"), NOW)
-    while plan := P.choose(p, {}, {}, NOW, 0):
-        assert plan.lane == "backfill"
-        at = plan.start
-        while at <= plan.end:
-            seen.append(at)
-            at = P.shift(at, 1)
-        p = P.commit(p, batch("backfill", plan.start, plan.end, receipt=plan.start), NOW)
-    assert len(seen) == len(set(seen)) == 12 * 60 + 15 and min(seen) == "20250316000000" and max(seen) == "20250316121400"
+    assert P.next_work(p, {}, NOW) == P.Work("live", at("1215"), at("1229"))
+    p = P.enter(p, batch("live", "1215", "1229"), NOW)
+    while work := P.next_work(p, {}, NOW):
+        assert work.lane == "backfill"
+        seen += range(work.first, work.last + 1)
+        p = P.enter(p, P.Batch("backfill", work.first, work.last, str(work.first)), NOW)
+    assert len(seen) == len(set(seen)) == 12 * 60 + 15 and min(seen) == at("0000") and max(seen) == at("1214")
 
 
-def test_a_paused_lane_does_not_block_others():
-    assert P.choose(begun(), {}, {"live": NOW.timestamp() + 9}, NOW, 0).lane == "backfill"
+def test_a_resting_lane_does_not_block_others():
+    assert P.next_work(begun(), {}, NOW, resting={"live": NOW + 9}).lane == "backfill"
 
 
 def test_a_burst_of_fresh_repairs_then_backfill_and_every_fourth_is_older():
-    p = replace(begun(), live_next="20250316123100", pending=("20250316100000", "20250316122000", "20250316122500"))
-    assert P.choose(p, {}, {}, NOW, 0) == P.Plan("20250316122000", "20250316122000", "repair")
-    assert P.choose(p, {}, {}, NOW, 3) == P.Plan("20250316100000", "20250316100000", "repair")
-    assert P.choose(p, {}, {}, NOW, 19).lane == "repair"
-    assert P.choose(p, {}, {}, NOW, 20).lane == "backfill"
-    old = replace(p, pending=("20250316100000",))
-    assert P.choose(old, {}, {}, NOW, 0).lane == "repair" and P.choose(old, {}, {}, NOW, 1).lane == "backfill"
+    p = replace(begun(), live=at("1231"), missing=(at("1000"), at("1220"), at("1225")))
+    pick = lambda streak: P.next_work(p, {}, NOW, streak=streak)
+    assert pick(0) == P.Work("repair", at("1220"), at("1220")) and pick(3) == P.Work("repair", at("1000"), at("1000"))
+    assert pick(19).lane == "repair" and pick(20).lane == "backfill"
+    old = replace(p, missing=(at("1000"),))
+    assert P.next_work(old, {}, NOW).lane == "repair" and P.next_work(old, {}, NOW, streak=1).lane == "backfill"
+    done = replace(old, below=old.floor - 1)
+    assert P.next_work(done, {}, NOW, streak=1).lane == "repair"
 
 
-def test_overdue_repairs_go_before_newer_ones():
-    p = replace(begun(), pending=("20250316122000", "20250316122500"))
-    assert P.lane_plan(p, {"20250316122000": NOW.timestamp() - 1}, NOW, "repair").start == "20250316122500"
-    assert P.lane_plan(p, {m: NOW.timestamp() + 1 for m in p.pending}, NOW, "repair") is None
+def test_overdue_repairs_go_before_newer_ones_and_begun_work_goes_on():
+    p = replace(begun(), live=at("1231"), missing=(at("1220"), at("1225")))
+    assert P.next_work(p, {at("1220"): NOW - 1}, NOW).first == at("1225")
+    assert P.next_work(p, {m: NOW + 1 for m in p.missing}, NOW).lane == "backfill"
+    mine = P.Work("repair", at("1225"), at("1225"))
+    assert P.next_work(p, {}, NOW, begun={"repair": mine}) == mine
 
 
 def test_repeated_receipts_change_nothing():
-    p = P.commit(begun(), batch("live", "20250316121500", "20250316122900", receipt="a"), NOW)
-    q = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), NOW)
-    assert P.commit(q, batch("live", "20250316121500", "20250316122900", receipt="a"), NOW) is q
+    p = P.enter(begun(), batch("live", "1215", "1229", receipt="a"), NOW)
+    q = P.enter(p, batch("backfill", "1200", "1214", receipt="b"), NOW)
+    assert P.enter(q, batch("live", "1215", "1229", receipt="a"), NOW) is q
 
 
-@pytest.mark.parametrize("bad", [
-    ("live", "20250316121600", "20250316122900"), ("backfill", "20250316120000", "20250316121300"), ("backfill", "20250315235900", "20250316121400"),
-    ("repair", "20250316120000", "20250316120000"), ("other", "20250316121500", "20250316122900"), ("live", "20250316121500", "20250316121400"),
-])
+@pytest.mark.parametrize("bad", [("live", "1216", "1229"), ("backfill", "1200", "1213"), ("backfill", "1215", "1214"), ("repair", "1200", "1200"), ("other", "1215", "1229"), ("live", "1215", "1214")])
 def test_conflicts_are_refused(bad):
     with pytest.raises(P.Conflict):
-        P.commit(begun(), batch(*bad), NOW)
-
-
-def test_missing_minutes_stay_pending_for_a_day_and_repairs_move_no_cursor():
-    p = P.commit(begun(), batch("live", "20250316121500", "20250316122900", ["20250316121700"]), NOW)
-    assert p.pending == ("20250316121700",)
-    r = P.commit(p, batch("repair", "20250316121700", "20250316121700", receipt="x"), NOW)
-    assert (r.pending, r.live_next, r.backfill_next_end) == ((), p.live_next, p.backfill_next_end)
-    later = datetime(2025, 3, 17, 13, 0, tzinfo=UTC)
-    moved = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), later)
-    assert moved.pending == ()
-    kept = P.commit(p, batch("backfill", "20250316120000", "20250316121400", receipt="b"), later, protected=("20250316121700",))
-    assert kept.pending == ("20250316121700",)
+        P.enter(begun(), batch(*bad), NOW)
     with pytest.raises(P.Conflict):
-        P.commit(p, batch("repair", "20250316121700", "20250316121700", ["20250316121700"], "y"), NOW)
+        P.enter(begun("1205"), batch("backfill", "1204", "1214"), NOW)
+
+
+def test_missing_minutes_stay_for_a_day_and_repairs_move_no_cursor():
+    p = P.enter(begun(), batch("live", "1215", "1229", ["1217"]), NOW)
+    assert p.missing == (at("1217"),)
+    r = P.enter(p, batch("repair", "1217", "1217", receipt="x"), NOW)
+    assert (r.missing, r.live, r.below) == ((), p.live, p.below)
+    later = NOW + 24.6 * 3600
+    assert P.enter(p, batch("backfill", "1200", "1214", receipt="b"), later).missing == ()
+    assert P.enter(p, batch("backfill", "1200", "1214", receipt="b"), later, kept=(at("1217"),)).missing == (at("1217"),)
+    with pytest.raises(P.Conflict):
+        P.enter(p, batch("repair", "1217", "1217", ["1217"], "y"), NOW)
 
 
 def test_totals_and_delays():
-    p = P.commit(begun(), P.Batch("20250316121500", "20250316122900", "live", (), 5, "a", 2, 100), NOW)
-    assert (p.observations, p.quarantined, p.bytes, p.last_lane) == (5, 2, 100, "live")
+    p = P.enter(begun(), P.Batch("live", at("1215"), at("1229"), "a", (), 5, 2, 100), NOW)
+    assert (p.observations, p.quarantined, p.bytes, p.receipts) == (5, 2, 100, {"live": "a"})
     assert [P.repair_delay(n) for n in (1, 2, 3, 4, 5, 9)] == [30, 60, 120, 240, 300, 300]
     assert [P.failure_delay(n) for n in (0, 1, 6, 9)] == [15, 30, 900, 900]
     assert P.fits(10**9, 10**8, 2) and not P.fits(19 * 10**8, 10**8, 2) and not P.fits(-1, 0, 2)
-    assert P.seal(5, 5, 9, 1, "a", "b") and P.seal(0, 5, 0, 1, "a", "b") and P.seal(0, 5, 9, 1, "b", "b") and not P.seal(0, 5, 9, 1, "a", "b")
+    assert P.seal(5, 5, 9, 1, 1, 2) and P.seal(0, 5, 0, 1, 1, 2) and P.seal(0, 5, 9, 1, 2, 2) and not P.seal(0, 5, 9, 1, 1, 2)
 
 
 def test_single_cursor_schedule():
-    assert P.forward_plan("20250316000000", [], {}, NOW, None) == P.Plan("20250316000000", "20250316055900", "forward")
-    assert P.forward_plan("20250316122500", ["20250316110000"], {}, NOW, "forward").lane == "repair"
-    assert P.forward_plan("20250316122500", ["20250316110000"], {}, NOW, "repair") == P.Plan("20250316122500", "20250316122500", "forward")
-    assert P.forward_plan("20250316123000", [], {}, NOW, None) is None
+    assert P.single_cursor(at("0000"), [], {}, NOW, None) == P.Work("forward", at("0000"), at("0559"))
+    assert P.single_cursor(at("1225"), [at("1100")], {}, NOW, "forward").lane == "repair"
+    assert P.single_cursor(at("1225"), [at("1100")], {}, NOW, "repair") == P.Work("forward", at("1225"), at("1225"))
+    assert P.single_cursor(at("1230"), [], {}, NOW, None) is None
 
 
 def test_config_ranges():
     with pytest.raises(ValueError):
         P.Config(window_minutes=0)
-    with pytest.raises(ValueError):
-        P.parse("20250316000030")

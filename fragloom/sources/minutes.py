@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,16 +11,16 @@ STRINGS, BYTES = ("date", "url", "lang", "pre", "ngram", "post"), ("type", "pos"
 FIRST_MINUTE = "20200101000000"
 
 
-def read_minutes(spark: SparkSession, path: str, *, number: bool = True) -> DataFrame:
-    """file, line_no (from 1, blank lines too), value of every line of the .json and .json.gz files right in a folder.
+def read_minutes(spark: SparkSession, *path: str, number: bool = True) -> DataFrame:
+    """file, line_no (from 1, blank lines too), value of every line of .json and .json.gz files: those named, or all right in a folder.
 
     Multi-member gzip files are read whole; a truncated one fails the job. An
     empty folder is an error. number=False leaves line_no out, and with it the
     one shuffle by file.
     """
-    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.json*").text(path)
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.json*").text(list(path))
     if not lines.inputFiles():
-        raise FileNotFoundError(f"no .json or .json.gz file in {path}")
+        raise FileNotFoundError(f"no .json or .json.gz file in {', '.join(path)}")
     base = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
     if not number:
         return base.select("file", "value")
@@ -31,7 +33,8 @@ def source_minute(file: Column) -> Column:
 
 
 def blank(value: Column) -> Column:
-    return value.rlike(r"^[ \t\n\r\f\x0B]*$")
+    """Nothing but space, tab, line feed, form feed and carriage return; a line with any other white space is a record, and an invalid one."""
+    return value.rlike(r"^[ \t\n\r\f]*\z")
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
@@ -92,9 +95,18 @@ def missing_minutes(calendar: DataFrame, present: DataFrame) -> DataFrame:
     return calendar.join(present.select("minute").distinct(), "minute", "left_anti")
 
 
-def digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes and sha256 of every file of a folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+def files_between(spark: SparkSession, folder: str, start: str, end: str) -> dict[str, str]:
+    """Minute and path of the minute files of a range, by name only; their number is bounded by the range."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    names = [s.getPath() for s in path.getFileSystem(hadoop).listStatus(path)]
+    found = {m[1]: str(p.toString()) for p in names if (m := re.match(r"(\d{14})[^/]*\.json", p.getName()))}
+    return {m: p for m, p in found.items() if start <= m <= end}
+
+
+def digests(spark: SparkSession, *path: str) -> DataFrame:
+    """path, bytes and sha256 of files, or of every file of a folder."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(path))
     return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 

@@ -1,10 +1,11 @@
 """The engine on small minute files, from JSON lines to published rows; URLs, metadata and HTTP."""
 
 import gzip
+import hashlib
 import http.server
 import json
 import threading
-from datetime import datetime
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from fragloom.settings import CollectSettings, Settings
 from fragloom.sources import fetch, minutes
 from fragloom.sources import metadata as sources
 from fragloom.streaming import job
+from fragloom.streaming import planner as P
 
 GOOD = {"date": "2025-03-16T00:01:00Z", "url": "https://News.Example.com/a", "lang": "en", "type": 1, "pos": 0, "pre": "a", "ngram": "b", "post": "c d", "more": [1]}
 
@@ -73,6 +75,14 @@ def test_settings_ranges(bad):
         Settings(**bad)
 
 
+def test_white_space_alone_is_missing_and_only_ascii_white_space_is_blank(spark):
+    df = spark.createDataFrame([("\t", "\u00a0", "\u3000\u2028", 0), ("u", "d", "\u200b", 0)], "url string, date string, lang string, pos int")
+    found = [r[0] for r in df.select(classify.reasons(*[F.col(c) for c in df.columns])).collect()]
+    assert found == [["missing_url", "missing_date", "missing_language"], []]
+    lines = spark.createDataFrame([(" \t\f\r",), ("\x0b",), ("",), ("\u00a0",)], "value string")
+    assert [r[0] for r in lines.select(minutes.blank(F.col("value"))).collect()] == [True, False, True, False]
+
+
 def test_profiles():
     assert Settings(types=(2, 1, 1), domains=(" A.com. ",)).domains == ("a.com",)
     assert Settings(threads=1).profile() == Settings(threads=8).profile() != Settings(type2_min_overlap=5).profile()
@@ -93,36 +103,71 @@ def minute_files(folder):
 SETTINGS = Settings(type2_best_effort=True)
 
 
+def digests_of(spark, folder):
+    return minutes.digests(spark, str(folder)).select(F.col("path").alias("file"), "sha256")
+
+
 def test_minute_files_become_published_rows(spark, tmp_path):
     one, two = minute_files(tmp_path)
-    rows = job.minute_table(minutes.read_minutes(spark, str(tmp_path)), SETTINGS).orderBy("metadata.source_minute", "type").collect()
+    known = digests_of(spark, tmp_path)
+    rows = job.minute_table(minutes.read_minutes(spark, str(tmp_path)), known).orderBy("metadata.source_minute", "type").collect()
     assert [(r["metadata"]["source_minute"], r["type"], r["text"]) for r in rows] == [("20250316000100", 1, one), ("20250316000100", 2, two), ("20250316000300", 1, " ".join(one.split()[:9]))]
     assert [(r["metadata"]["id"], r["metadata"]["type_id"], r["metadata"]["assembly"]) for r in rows] == [(1, 1, "connected"), (2, 1, "connected"), (1, 1, "connected")]
-    again = {r["observation_id"] for r in job.minute_table(minutes.read_minutes(spark, str(tmp_path)).repartition(5), SETTINGS).collect()}
+    content = hashlib.sha256((tmp_path / "20250316000300.ngrams.json.gz").read_bytes()).hexdigest()
+    assert rows[2]["metadata"]["raw_sha256"] == content
+    again = {r["observation_id"] for r in job.minute_table(minutes.read_minutes(spark, str(tmp_path)).repartition(5), known).collect()}
     assert again == {r["observation_id"] for r in rows}
+    with pytest.raises(Exception, match="no digest"):
+        job.minute_table(minutes.read_minutes(spark, str(tmp_path)), known.limit(0)).collect()
 
 
-def test_stream_resumes_and_commits_each_batch_once(spark, tmp_path):
+def test_stream_resumes_and_commits_each_batch_once(spark, tmp_path, monkeypatch):
     source, root = tmp_path / "in", tmp_path / "out"
     source.mkdir()
     minute_files(source)
-    job.run(spark, str(source), str(root), SETTINGS, per_batch=1).awaitTermination()
-    sink = job.Sink(spark, str(root), SETTINGS)
+    job.run(spark, str(source), str(root), per_batch=1).awaitTermination()
+    sink = job.Sink(spark, str(root))
     assert sink.committed().count() == 3 and sink.log().count() == 2
     write(source, "20250316000400.ngrams.json.gz", [json.dumps(x) for x in windows(["q"] * 1 + ["r", "s"], "https://n.com/4")])
-    job.run(spark, str(source), str(root), SETTINGS).awaitTermination()
+    # a crash after the data and before the log entry: nothing is read of that batch, and the restart commits it once
+    with monkeypatch.context() as m:
+        m.setattr(job.CommitLog, "put", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(Exception, match="crash"):
+            job.run(spark, str(source), str(root)).awaitTermination()
+    assert (root / "data" / "batch=000000002").exists() and sink.committed().count() == 3 and sink.log().count() == 2
+    job.run(spark, str(source), str(root)).awaitTermination()
     assert sink.committed().count() == 4 and sink.log().count() == 3
-    missing = job.run_range(spark, str(source), "20250316000100", "20250316000400", str(tmp_path / "range"), SETTINGS)
+    missing = job.run_range(spark, str(source), "20250316000100", "20250316000400", str(tmp_path / "range"))
     assert [r["minute"] for r in missing.select("minute").collect()] == ["20250316000200"]
     with job.single_writer(str(root)), pytest.raises(RuntimeError), job.single_writer(str(root)):
         pass
 
 
+def test_lanes_go_live_back_and_repair(spark, tmp_path, monkeypatch):
+    source, root = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    minute_files(source)
+    now = datetime(2025, 3, 16, 0, 17, 5, tzinfo=UTC).timestamp()
+    lanes = job.Lanes(spark, str(source), str(root), "20250316000000")
+    with monkeypatch.context() as m:  # a crash after the data: the work is done again
+        m.setattr(job.CommitLog, "put", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError, match="crash"):
+            lanes.step(now)
+    assert [(w.lane, P.stamp_of(w.first), P.stamp_of(w.last)) for w in lanes.run(now, 9)] == [("live", "20250316000200", "20250316001600"), ("backfill", "20250316000000", "20250316000100")]
+    assert lanes.commits.committed().count() == 3 and len(lanes.ledger(now)[1].missing) == 15
+    write(source, "20250316000400.ngrams.json.gz", [json.dumps(x) for x in windows(["r", "s"], "https://n.com/4")])
+    later = job.Lanes(spark, str(source), str(root), "20250316000000")  # another process: it starts from the log
+    work = later.run(now + 31, 40)
+    assert {w.lane for w in work} == {"repair"} and P.minute_of("20250316000400") in {w.first for w in work}
+    assert later.commits.committed().count() == 4 and len(later.ledger(now)[1].missing) == 14
+    assert later.step(now + 32) is None and later.step(now + 62).lane == "live"
+
+
 def test_partitioned_shards_are_read_back_by_minute(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     minute_files(source)
-    rows = job.minute_table(minutes.read_minutes(spark, str(source)), SETTINGS)
+    rows = job.minute_table(minutes.read_minutes(spark, str(source)), digests_of(spark, source))
     publish.write_compact(rows, str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert publish.between(back, "20250316000200", "20250316000300").count() == 1

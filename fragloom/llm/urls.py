@@ -139,8 +139,13 @@ def train(decided: DataFrame) -> Ratio:
     if not a.any() or not b.any():
         return Ratio(table)
     wrong = np.cumsum(a) / a.sum() + 1 - np.cumsum(b) / b.sum()
+    return Ratio(table, float(threshold_bin(wrong) / BINS * 2 * LIMIT - LIMIT))
+
+
+def threshold_bin(wrong: np.ndarray) -> float:
+    """Middle of the longest run of bins with the least error, the first of equally long ones; between two runs the error is higher."""
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-    return Ratio(table, float(best.mean() / BINS * 2 * LIMIT - LIMIT))
+    return float(max(np.split(best, np.flatnonzero(np.diff(best) > 1) + 1), key=len).mean())
 
 
 def filter_urls(pages: DataFrame, *, url: str = "url", rules: list[tuple[str, str]] = RULES) -> DataFrame:

@@ -23,6 +23,8 @@ from fragloom.llm.common import read, ready_for_python
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pre-tokens whose counts a worker keeps; beyond it, it begins anew.
 KEPT = 600_000
+#: Characters of the longest piece that is remembered, so that what a worker remembers is bounded in bytes too.
+LONG = 64
 LIMIT = 1024
 
 
@@ -98,7 +100,9 @@ class Counter:
                     piece = pieces[i]
                     c = self.known.get(piece)
                     if c is None:
-                        c = self.known[piece] = self._merged(piece)
+                        c = self._merged(piece)
+                        if len(piece) <= LONG:
+                            self.known[piece] = c
                     counts[i] = c
         return sum(counts)
 

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from fragloom.llm.common import read, ready_for_python
 from fragloom.llm.vectext import PLAIN, buffers, mix, tokens
@@ -37,7 +39,11 @@ BLOCK = 16
 PASSAGE = 64
 
 _question = re.compile(rb"\?[\s\"')\]]").search
-_HITS = "array<struct<item:bigint,score:double,question_overlap:double,answer_overlap:double,word_start:bigint>>"
+
+
+def _hits(kind: str) -> str:
+    """Type of the hits of items whose ids are of some type."""
+    return f"array<struct<item:{kind},score:double,question_overlap:double,answer_overlap:double,word_start:bigint>>"
 
 
 def _runs(words: np.ndarray) -> np.ndarray:
@@ -260,16 +266,17 @@ def indexes(spark: SparkSession, items: DataFrame, item_id: str, text: str) -> l
     return [(ids, Index(texts, *known)) for ids, texts in parts]
 
 
-def hits_column(text, ids: list[int], index: Index):
-    """The items that a text column holds."""
+def hits_column(text, ids: list, index: Index, kind: str = "bigint"):
+    """The items that a text column holds; kind: the type of their ids."""
+    item = to_arrow_type(DataType.fromDDL(kind))
 
     def run(texts: pa.Array) -> pa.Array:
         names = ["item", "score", "question_overlap", "answer_overlap", "word_start"]
         rows = [[dict(zip(names, (ids[x[0]], *x[1:]), strict=True)) for x in hits] for hits in index.search(texts)]
-        fields = [("item", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("word_start", pa.int64())]
+        fields = [("item", item), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64()), ("word_start", pa.int64())]
         return pa.array(rows, pa.list_(pa.struct(fields)))
 
-    return F.arrow_udf(run, _HITS).asNondeterministic()(text)
+    return F.arrow_udf(run, _hits(kind)).asNondeterministic()(text)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -279,9 +286,10 @@ def contaminated(docs: DataFrame, items: DataFrame, *, text: str = "text", item_
     equal texts are each reported.
     """
     ready_for_python(docs.sparkSession)
-    out = docs.drop("hits").withColumn("hits", F.array().cast(_HITS))
+    kind = dict(items.dtypes)[item_id]
+    out = docs.drop("hits").withColumn("hits", F.array().cast(_hits(kind)))
     for ids, index in indexes(docs.sparkSession, items, item_id, item_text):
-        out = out.withColumn("hits", F.concat("hits", hits_column(F.col(text), ids, index)))
+        out = out.withColumn("hits", F.concat("hits", hits_column(F.col(text), ids, index, kind)))
     return out
 
 

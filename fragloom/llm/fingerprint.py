@@ -8,11 +8,12 @@ digests differ by the sum of the differences of codes and lengths, with a bound.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fragloom.llm.common import read, ready_for_python
@@ -82,20 +83,43 @@ def fingerprints(docs: DataFrame, *, text: str = "text") -> DataFrame:
     return docs.withColumn("fingerprint", fingerprint_column(F.col(text)))
 
 
+#: Bytes of text of one range, on average, and the least number of ranges.
+RANGE_BYTES, LEAST_RANGES = 32 << 20, 16
+
+
+def _range_of(key: Column, bounds: list[int]) -> Column:
+    """Number of bounds that are not above the key, 0 for null; found in two steps, among every so many of them and then between two of these."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds) - 1) + 1
+    blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    known = lambda values: F.array(*[F.lit(b) for b in values]).cast("array<bigint>")
+    below = lambda values: F.size(F.filter(values, lambda b: b <= key))
+    block = below(known([b[0] for b in blocks]))
+    found = (block - 1) * step + below(F.get(F.array(*[known(b) for b in blocks]), block - 1))
+    return F.when(key.isNull() | (key < F.lit(bounds[0])), F.lit(0)).otherwise(found)
+
+
 def with_next(raw: DataFrame, key: str, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The rows of derive(raw) with `next`, a struct of the following row by key, of the first row after the last.
 
     Rows of equal key follow each other by the columns, and null keys come
-    first. Keys are cut into ranges by approximate quantiles; each range also
-    gets a copy of the first row of the next range that has any, so one shuffle
-    of the rows suffices, and ranges are worked on apart.
+    first. Keys are cut into ranges of about RANGE_BYTES of text by approximate
+    quantiles; each range also gets a copy of the first row of the next range
+    that has any, so one shuffle of the rows suffices, and ranges are worked on
+    apart. A column of derive(raw) named next is left out; those named _to, _head,
+    _part, _row or _copy are refused.
     """
     spark, rows = raw.sparkSession, derive(raw)
-    columns = [c for c in rows.columns if c not in (key, "_to", "_head")]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if taken := {"_to", "_head", "_part", "_row", "_copy"} & set(rows.columns):
+        raise ValueError(f"columns are named {sorted(taken)}")
+    columns = [c for c in rows.columns if c not in (key, "next")]
+    texts = [F.octet_length(c).cast("long") for c, kind in raw.dtypes if kind == "string"]
+    total = raw.agg(F.sum(sum(texts, F.lit(8)))).first()[0] or 0
+    parts = max(LEAST_RANGES, -(-total // RANGE_BYTES))
     bounds = raw.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
     bounds = sorted(set(bounds))
-    part = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b <= F.col(key))), F.lit(0)) if bounds else F.lit(0)
+    part = _range_of(F.col(key), bounds)
     row = F.struct(F.col(key).alias("_key"), *columns)
     ranged = rows.select(part.cast("int").alias("_part"), row.alias("_row"))
     firsts = raw.groupBy(part.cast("int").alias("_part")).agg(F.min(key).alias("_first"), F.max(F.col(key).isNull()).alias("_null")).orderBy("_part").collect()

@@ -11,10 +11,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import held_out, read, ready_for_python
+from fragloom.llm.common import discard, held_out, materialize, read, ready_for_python
 from fragloom.llm.vectext import buffers, lists
 
 BITS = 16
@@ -191,9 +191,14 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
         return None
     languages = sorted(counts)
     share = F.coalesce(*[F.when(F.col("_lang") == x, F.lit(min(1.0, 0.95 * bound / n))) for x, n in counts.items()])
-    key = F.pmod(F.xxhash64(F.lit(5), "_id", "_lang"), F.lit(1 << 30))
-    rows = known.where(key < share * (1 << 30)).limit(bound * len(languages))
-    table = rows.select(key.alias("key"), "_lang", F.arrow_udf(_counted, "struct<keys:array<int>,shares:array<float>>").asNondeterministic()("_text").alias("f")).select("key", "_lang", "f.*").toArrow().sort_by([("key", "ascending"), ("_lang", "ascending")])
+    key = F.xxhash64(F.lit(5), "_id", "_lang", "_text")
+    # about `bound` of each language by hash, at most that many by place; rows of equal id, language and text count once
+    likely = known.select("_lang", key.alias("key")).where(F.pmod("key", F.lit(1 << 30)) < share * (1 << 30)).distinct()
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("key"))
+    picked = materialize(likely.withColumn("_place", place).where(F.col("_place") <= bound).select("_lang", "key"), "language-sample")
+    rows = known.withColumn("key", key).join(F.broadcast(picked), ["_lang", "key"]).groupBy("_lang", "key").agg(F.any_value("_text").alias("_text"))
+    table = rows.select("key", "_lang", F.arrow_udf(_counted, "struct<keys:array<int>,shares:array<float>>").asNondeterministic()("_text").alias("f")).select("key", "_lang", "f.*").toArrow().sort_by([("key", "ascending"), ("_lang", "ascending")])
+    discard(picked)
     if not table.num_rows:
         return None
     keys, shares = (table[c].combine_chunks() for c in ("keys", "shares"))

@@ -245,6 +245,16 @@ def test_language_idf_counts_all_labelled_texts(spark, monkeypatch):
     assert sorted(documents[documents > 0].tolist()) == sorted([len(known)] * 3 + [known.count("abc")] * 3)
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Rows of one id, alike or not, are bounded by language, and reruns take the same."""
+    taken = []
+    monkeypatch.setattr(language, "fit", lambda parts, labels, *rest: taken.append((len(parts), np.bincount(labels).tolist())))
+    docs = spark.range(900).select(F.lit(1).alias("doc_id"), F.concat(F.lit("words and text "), F.col("id") % 300).alias("text"), F.when(F.col("id") % 300 < 200, "en").otherwise("fr").alias("lang"))
+    language.train(docs, bound=20)
+    language.train(docs.repartition(7), bound=1000)
+    assert taken[0][0] <= 40 and max(taken[0][1]) <= 20 and taken[1] == (300, [200, 100])
+
+
 def test_language_nothing(empty, spark):
     assert language.train(empty) is None
     assert language.identify(empty, None).count() == 0
@@ -280,6 +290,24 @@ def test_fingerprint_values():
     assert fingerprint.digest(np.zeros(0, np.uint8)) == bytes(65)
 
 
+def test_next_rows_with_clashing_names(corpus, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", 1000)
+    docs = corpus.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"])
+    derive = lambda d: fingerprint.fingerprints(d.withColumn("next", F.lit("own")))
+    out = fingerprint.with_next(docs, "doc_id", derive)
+    assert out.columns.count("next") == 1
+    ids = sorted(r["doc_id"] for r in docs.collect())
+    assert {r["doc_id"]: r["next"]["_key"] for r in out.collect()} == dict(zip(ids, ids[1:] + ids[:1], strict=True))
+    with pytest.raises(ValueError, match="_head"):
+        fingerprint.with_next(docs, "doc_id", lambda d: fingerprint.fingerprints(d).withColumn("_head", F.lit(1)))
+
+
+def test_ranges_are_found_in_two_steps(spark):
+    bounds = [1, 4, 5, 9, 20, 21, 22, 30, 31, 40, 50]
+    rows = spark.range(-3, 60).select("id", fingerprint._range_of(F.col("id"), bounds).alias("n")).collect()
+    assert all(r["n"] == sum(b <= r["id"] for b in bounds) for r in rows)
+
+
 def test_fingerprints_nothing(empty, spark):
     assert fingerprint.with_next(empty.select("doc_id", "text"), "doc_id", fingerprint.fingerprints).count() == 0
     one = spark.createDataFrame([(4, "only")], "doc_id long, text string")
@@ -492,6 +520,10 @@ def test_url_model_matches_plain_counts(spark):
     assert np.allclose(p.sum(1), 1, atol=1e-3)
 
 
+def test_threshold_is_within_a_run_of_minima():
+    assert urls.threshold_bin(np.array([3, 1, 1, 2, 1, 1, 1, 4])) == 5 and urls.threshold_bin(np.array([1, 2, 1])) == 0
+
+
 def test_urls_are_told_apart(spark):
     rng = np.random.RandomState(2)
     rows = [(i, f"http://{'good' if i % 2 else 'spamfarm'}{rng.randint(99)}.{'org' if i % 2 else 'com'}/{'x' if i % 2 else 'de'}/{rng.randint(999)}") for i in range(400)]
@@ -666,6 +698,12 @@ def test_decontamination_catches_items_only(spark, corpus):
     assert all(not r["hits"] for r in rows_of(decontam.contaminated(corpus, items)))
 
 
+def test_decontamination_with_text_ids(spark):
+    docs = spark.createDataFrame([(1, f"before {ITEMS[1]} after"), (2, "nothing")], "doc_id long, text string")
+    items = spark.createDataFrame([("zebra/1", ITEMS[1]), (None, ITEMS[0])], "item_id string, text string")
+    assert {r["doc_id"]: [h["item"] for h in r["hits"]] for r in rows_of(decontam.contaminated(docs, items))} == {1: ["zebra/1"], 2: []}
+
+
 def test_decontamination_needs_no_last_sentence_without_a_question():
     body = " ".join(f"word{i} own{i}" for i in range(9)) + ". "
     long = " ".join(f"long{i}" for i in range(40)) + "? "

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fragloom.functions.shipping import ship
 from fragloom.operators.assemble import assemble_body_column
+from fragloom.sources.scratch import scratch_path
 
 COLUMNS = ["id", "type_id", "type", "lang", "url", "observed_at", "fragments", "primary_fragments", "assembly", "position_joins", "bounded_fallback", "search", "text"]
 
@@ -39,18 +40,38 @@ def observations(articles: DataFrame, source: list[str] | None = None) -> DataFr
     return numbered(out, source or [])
 
 
+def _ranged(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows in ranges of the order, with the number of the range as _part; written, as ranges are cut by samples that differ from run to run."""
+    path = scratch_path(rows.sparkSession, "ranged")
+    rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _placed(ranged: DataFrame, order: list[str], name: str, by: list[str]) -> DataFrame:
+    """ranged with the place, from 0, of each row in the order among rows of equal `by`: ranges are sorted apart, and only their counts are summed in one task."""
+    counts = ranged.groupBy("_part", *by).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", *by, F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order)) - 1
+    return ranged.withColumn("_place", place).join(F.broadcast(starts), ["_part", *by]).withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_before", "_place")
+
+
 def numbered(rows: DataFrame, source: list[str]) -> DataFrame:
     """rows with id and type_id from 1, per source and per source and type, in order of the key."""
     order = ["url", "observed_at", "lang", "type"]
-    number = lambda *by: F.row_number().over(Window.partitionBy(*source, *by).orderBy(*order)).cast("long")
-    out = rows.withColumn("id", number()).withColumn("type_id", number("type"))
+    if source:
+        number = lambda *by: F.row_number().over(Window.partitionBy(*source, *by).orderBy(*order)).cast("long")
+        out = rows.withColumn("id", number()).withColumn("type_id", number("type"))
+    else:
+        out = _placed(_placed(_ranged(rows.drop("id", "type_id"), order), order, "id", []), order, "type_id", ["type"])
+        out = out.withColumns({"id": F.col("id") + 1, "type_id": F.col("type_id") + 1})
     return out.select(*source, *COLUMNS)
 
 
 def dictionary(rows: DataFrame, order: str = "id") -> DataFrame:
     """text_id (from 0, in order of first appearance) and text of all distinct texts of one export."""
     first = rows.groupBy("text").agg(F.min(order).alias("_first"))
-    return first.select((F.row_number().over(Window.orderBy("_first")) - 1).cast("long").alias("text_id"), "text")
+    return _placed(_ranged(first, ["_first"]), ["_first"], "text_id", []).select("text_id", "text")
 
 
 def packed(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -69,12 +90,13 @@ def sample(rows: DataFrame) -> DataFrame:
 
 def spread(rows: DataFrame, order: list[str], total: int) -> DataFrame:
     """Evenly spaced rows: those at places floor(i n / total) of the order."""
-    n = F.count("*").over(Window.partitionBy(F.lit(1)))
-    at = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)) - 1
-    placed = rows.withColumns({"_at": at, "_n": n})
+    ranged = _ranged(rows, order)
+    n = ranged.count()
+    if not n:
+        return rows.limit(0)
     # a place is taken if some i has floor(i n / total) equal to it
-    i = F.ceil(F.col("_at") * total / F.col("_n"))
-    return placed.where((F.floor(i * F.col("_n") / total) == F.col("_at")) & (i < total)).drop("_at", "_n")
+    i = F.ceil(F.col("_at") * total / F.lit(n))
+    return _placed(ranged, order, "_at", []).where((F.floor(i * n / total) == F.col("_at")) & (i < total)).select(rows.columns)
 
 
 def report(rows: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -143,10 +143,10 @@ def type2_outcomes(spark, sf_dir):
 
 
 _STATUS = """CASE WHEN type NOT IN (1, 2) THEN 'other_type' WHEN type = 2 THEN 'type2_skipped'
-  WHEN trim(url) = '' OR trim(date) = '' OR trim(lang) = '' OR pos > 90 OR pos % 10 <> 0 THEN 'quarantined'
+  WHEN trim(url, ' ' || chr(9)) = '' OR trim(date, ' ' || chr(9)) = '' OR trim(lang, ' ' || chr(9)) = '' OR pos > 90 OR pos % 10 <> 0 THEN 'quarantined'
   WHEN lang NOT IN ('en', 'de') THEN 'language_filtered' ELSE 'selected' END"""
-_REASONS = """CASE WHEN type = 1 THEN list_filter([CASE WHEN trim(url) = '' THEN 'missing_url' END, CASE WHEN trim(date) = '' THEN 'missing_date' END,
-  CASE WHEN trim(lang) = '' THEN 'missing_language' END, CASE WHEN pos > 90 OR pos % 10 <> 0 THEN 'invalid_position' END], lambda r: r IS NOT NULL) ELSE [] END"""
+_REASONS = """CASE WHEN type = 1 THEN list_filter([CASE WHEN trim(url, ' ' || chr(9)) = '' THEN 'missing_url' END, CASE WHEN trim(date, ' ' || chr(9)) = '' THEN 'missing_date' END,
+  CASE WHEN trim(lang, ' ' || chr(9)) = '' THEN 'missing_language' END, CASE WHEN pos > 90 OR pos % 10 <> 0 THEN 'invalid_position' END], lambda r: r IS NOT NULL) ELSE [] END"""
 _CLASSIFIED = f"SELECT *, {_STATUS} AS status, {_REASONS} AS reasons FROM ({X.DAMAGED_SQL})"
 
 

@@ -64,13 +64,13 @@ def damaged(rows: DataFrame) -> DataFrame:
     """Word records with faults that depend on the word: no URL, no date, no language, odd positions, other kinds."""
     n, first = F.char_length("ngram"), F.lower(F.substring("ngram", 1, 1))
     return rows.withColumns({
-        "url": F.when(n == 1, "").otherwise(F.col("url")), "date": F.when(n == 12, " ").otherwise(F.col("date")), "lang": F.when(n == 13, "").otherwise(F.col("lang")),
+        "url": F.when(n == 1, "").otherwise(F.col("url")), "date": F.when(n == 12, "\t").otherwise(F.col("date")), "lang": F.when(n == 13, "").otherwise(F.col("lang")),
         "pos": F.when(n == 11, F.col("pos") + 1).when(n == 14, 200).otherwise(F.col("pos")).cast("smallint"), "type": F.when(first == "w", 3).when(first == "t", 2).otherwise(F.col("type")).cast("smallint"),
     })
 
 
 DAMAGED_SQL = f"""
-SELECT CASE WHEN length(ngram) = 1 THEN '' ELSE url END AS url, CASE WHEN length(ngram) = 12 THEN ' ' ELSE date END AS date, CASE WHEN length(ngram) = 13 THEN '' ELSE lang END AS lang,
+SELECT CASE WHEN length(ngram) = 1 THEN '' ELSE url END AS url, CASE WHEN length(ngram) = 12 THEN chr(9) ELSE date END AS date, CASE WHEN length(ngram) = 13 THEN '' ELSE lang END AS lang,
        CASE WHEN length(ngram) = 11 THEN pos + 1 WHEN length(ngram) = 14 THEN 200 ELSE pos END AS pos,
        CASE lower(left(ngram, 1)) WHEN 'w' THEN 3 WHEN 't' THEN 2 ELSE type END AS type, line_no, ngram, pre, post, url AS origin
 FROM ({RECORDS_SQL})

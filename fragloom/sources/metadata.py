@@ -82,8 +82,11 @@ def graph_lines(spark: SparkSession, path: str) -> DataFrame:
                         for raw in stream:
                             if len(raw) > MAX_LINE:
                                 raise ValueError(f"{name} has a line that is too long")
-                            text = raw.decode("utf-8", "replace").rstrip("\r\n")
-                            block.append((name, text, "�" in text))
+                            try:
+                                text, replaced = raw.decode(), False
+                            except UnicodeDecodeError:
+                                text, replaced = raw.decode("utf-8", "replace"), True
+                            block.append((name, text.rstrip("\r\n"), replaced))
                             if len(block) == 4096:
                                 yield pd.DataFrame(block, columns=["source", "value", "replaced"])
                                 block = []

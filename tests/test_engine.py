@@ -258,12 +258,12 @@ def test_archives_and_plans(spark, tmp_path):
     import zipfile
 
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("a.csv", "\t".join(["r1", "20250316001500", "1"] + [""] * 24).encode() + b"\nbad\xff\n")
+        z.writestr("a.csv", "\t".join(["r1", "20250316001500", "1"] + [""] * 24).encode() + b"\nbad\xff\n\xef\xbf\xbd is what it says\n")
     lines = sources.graph_lines(spark, str(tmp_path / "a.zip"))
-    assert sorted((r["replaced"], len(r["value"].split("\t"))) for r in lines.collect()) == [(False, 27), (True, 1)]
+    assert sorted((r["replaced"], len(r["value"].split("\t"))) for r in lines.collect()) == [(False, 1), (False, 27), (True, 1)]
     iso = F.create_map(F.lit("FR"), F.lit("FR"))
     stats = sources.dataset_stats(lines, sources.graph_records(lines, iso)).first()
-    assert (stats["rows"], stats["malformed_rows"], stats["utf8_replacement_rows"], stats["matched_rows"]) == (2, 1, 1, 1)
+    assert (stats["rows"], stats["malformed_rows"], stats["utf8_replacement_rows"], stats["matched_rows"]) == (3, 2, 1, 1)
     plan = sources.fetch_plan("20250316001700", "http://h")
     assert sum(n == "graph" for n, _ in plan) == 6 and any("20250316001500.translation.csv.zip" in u for _, u in plan)
 

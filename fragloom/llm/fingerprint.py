@@ -83,8 +83,8 @@ def fingerprints(docs: DataFrame, *, text: str = "text") -> DataFrame:
     return docs.withColumn("fingerprint", fingerprint_column(F.col(text)))
 
 
-#: Bytes of text of one range, on average, and the least number of ranges.
-RANGE_BYTES, LEAST_RANGES = 32 << 20, 16
+#: Bytes of text of one range, on average, and the least number of ranges; ranges of one task, on average.
+RANGE_BYTES, LEAST_RANGES, TASK_RANGES = 8 << 20, 64, 4
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -132,7 +132,7 @@ def with_next(raw: DataFrame, key: str, derive: Callable[[DataFrame], DataFrame]
     copies = derive(raw.join(F.broadcast(keys), F.col(key).eqNullSafe(F.col("_head"))))
     copies = copies.groupBy("_to").agg(F.min(row).alias("_row")).select(F.col("_to").alias("_part"), "_row", F.lit(1).alias("_copy"))
     order = Window.partitionBy("_part").orderBy("_copy", "_row")
-    led = ranged.withColumn("_copy", F.lit(0)).unionByName(copies).withColumn("next", F.lead("_row").over(order)).where("_copy = 0")
+    led = ranged.withColumn("_copy", F.lit(0)).unionByName(copies).repartition(-(-parts // TASK_RANGES), "_part").withColumn("next", F.lead("_row").over(order)).where("_copy = 0")
     return led.select(F.col("_row._key").alias(key), *[F.col(f"_row.{c}").alias(c) for c in columns], "next")
 
 

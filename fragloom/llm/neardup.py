@@ -39,6 +39,8 @@ LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
 #: that is only in one with probability 2e-7. Where 12 of 32 are frequent and common to both, sets at 0.8 still have 0.68 of
 #: the others in common, and miss each other less often.
 SHORT, SHARE = 100, 1 << 20
+#: Counters of the crowd's shingles (4 MB). Shingles that share one are taken for as frequent as all of them, which costs longer lists but no link.
+COUNTERS = 1 << 20
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
 MARGIN = 5
 #: Parity bits of a sketch, as four numbers.
@@ -127,24 +129,48 @@ def _listed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return listed, listed.where("_crowd").select("node", "n", *PARTS)
 
 
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """Shingles of all sets by counter, summed in each task first; at most COUNTERS numbers come to the driver."""
+
+    def run(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy() & (COUNTERS - 1), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["counter", "n"])
+
+    found = sets.select("set").mapInArrow(run, "counter int, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int32)
+    out[found["counter"].to_numpy()] = np.minimum(found["n"].to_numpy(), np.iinfo(np.int32).max)
+    return out
+
+
+def _prefix_maker(counts: np.ndarray, share: tuple[int, int]):
+    """The first shingles of a set in the order of their counters, as many as any other set at the threshold must share one of; those that are in no other set are left out."""
+
+    def make(sets: pa.Array) -> pa.Array:
+        values, n = sets.flatten().to_numpy(), sets.value_lengths().to_numpy()
+        at = np.concatenate(([0], np.cumsum(n)))
+        often = counts[values & (COUNTERS - 1)]
+        order = np.lexsort((values, often, np.repeat(np.arange(len(n)), n)))
+        place, prefix = np.arange(at[-1]) - np.repeat(at[:-1], n), n - -(-n.astype(np.int64) * share[0] // share[1]) + 1
+        held = (place < np.repeat(prefix, n)) & (often[order] > 1)
+        to = np.concatenate(([0], np.cumsum(held)))[at]
+        return pa.StructArray.from_arrays([lists(values[order][held], to, pa.int64()), lists(place[held], to, pa.int64())], ["v", "at"])
+
+    return F.arrow_udf(make, "struct<v:array<bigint>,at:array<bigint>>").asNondeterministic()
+
+
 def _crowded(crowd: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """v, node, n, parity bits, at: lists of the rarest shingles of the crowd's full sets, with the place of v in its set's order.
 
-    Shingles of one set only come first in every order and make no list, so they
-    are counted, not moved. No task gets all rows of a frequent shingle.
+    Any order that is the same for all sets is exact, so counters of a fixed
+    number decide it, and only the prefixes leave their tasks. Shingles whose
+    counter is 1 are in one set only: they come first and make no list.
     """
-    shingles = sets.join(crowd.select("node"), "node").select("node", F.explode("set").alias("v"))
-    counts = materialize(shingles.groupBy("v").agg(F.count("*").alias("_c")).where("_c > 1"), "counts")
-    limit = spread_limit(counts.agg(F.sum("_c")).first()[0] or 0)
-    heavy, others = F.broadcast(counts.where(F.col("_c") > limit)), counts.where(F.col("_c") <= limit)  # at most SPREAD heavy ones
-    rated = shingles.join(heavy, "v").unionByName(shingles.join(heavy, "v", "left_anti").join(others, "v"))
-    ordered = rated.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("_c", "v"))).alias("_o")).join(crowd, "node")
-    n = F.col("n")
-    alone, prefix = n - F.size("_o"), n - F.ceil(n * share[0] / share[1] - 1e-9) + 1
-    placed = ordered.select("node", "n", *PARTS, alone.alias("_alone"), F.posexplode(F.slice("_o", 1, F.greatest(F.lit(0), F.least(F.size("_o"), prefix - alone)).cast("int"))).alias("_i", "_e"))
-    out = materialize(placed.select((-1 - F.col("_e.v")).alias("v"), "node", "n", *PARTS, (F.col("_alone") + F.col("_i")).alias("at")), "crowded")
-    discard(counts)
-    return out
+    counts = _shingle_counts(sets)
+    placed = sets.select("node", _prefix_maker(counts, share)("set").alias("_p")).select("node", F.explode(F.arrays_zip("_p.v", "_p.at")).alias("_e"))
+    return materialize(placed.join(crowd, "node").select((-1 - F.col("_e.v")).alias("v"), "node", "n", *PARTS, F.col("_e.at").alias("at")), "crowded")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:

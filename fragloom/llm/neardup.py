@@ -6,11 +6,13 @@ pairs with a value in common; 256 parity bits of the sketches drop
 those whose sketches differ far more than allowed, the Jaccard similarity that
 the sketch of the union shows drops most others; the full sets decide the rest.
 
-Values that very many classes retain get no list. Classes that have few others,
-the crowd (families of copies, texts of common phrases only), are met among each
-other through their full sets instead: two sets at the threshold share one of
-their rarest shingles, and the place of the first such shingle bounds what they
-can have in common, so short lists and few pairs remain.
+Values that very many classes retain get no list. Classes that have few others
+(texts of common phrases) add lists of runs of two neighbouring values. Where
+most of these are kept by very many classes, too, the classes are of the crowd
+(families of copies, small sets) and met through their full sets instead: two
+sets at the threshold share one of their rarest shingles, and the place of the
+first such shingle bounds what they can have in common, so short lists and few
+pairs remain.
 
 A list's pairs are not all formed: first each member is compared with the list's
 leader, and then only pairs of different components are, of which one is not in
@@ -31,7 +33,7 @@ from fragloom.llm.vectext import lists, mix, shingle_sets
 #: Hashes that a sketch keeps.
 SKETCH = 64
 #: Of the smallest LISTED, up to USED that are not frequent have inverted lists; a class with fewer than ENOUGH of these
-#: is of the crowd, as is one of whose smallest LISTED less than RARE are not frequent.
+#: needs runs, as does one of whose smallest LISTED less than RARE are not frequent.
 LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
 #: A value is frequent if more classes keep it among their smallest than SHORT (a list of that length is no work at any size)
 #: and than a 1/SHARE of all values kept, so that frequent values are SHARE at most and lists stay the main way as data grow.
@@ -39,6 +41,9 @@ LISTED, USED, ENOUGH, RARE = 32, 16, 14, 20 / 32
 #: that is only in one with probability 2e-7. Where 12 of 32 are frequent and common to both, sets at 0.8 still have 0.68 of
 #: the others in common, and miss each other less often.
 SHORT, SHARE = 100, 1 << 20
+#: Of the SKETCH - 1 runs of two values, sets at 0.8 share COMMON or fewer with probability 8e-8 (both ends common, 64 draws
+#: of 0.8), so a class with at most COMMON frequent runs meets any other by one that is not frequent.
+COMMON = 13
 #: Counters of the crowd's shingles (4 MB). Shingles that share one are taken for as frequent as all of them, which costs longer lists but no link.
 COUNTERS = 1 << 20
 #: Standard deviations of the estimate below the threshold that still lead to the exact test.
@@ -115,17 +120,34 @@ def _odd_bits(threshold: float) -> int:
     return round(PARITY / 2 * (1 - keep**d) + 4.5 * spread)
 
 
+def _frequent(values: DataFrame, limit: int) -> DataFrame:
+    """v, _often: values (v) that more than SHORT and more than limit classes keep."""
+    counts = values.groupBy("v").agg(F.count("*").alias("_c")).where((F.col("_c") > SHORT) & (F.col("_c") > limit))
+    return counts.select("v", F.lit(True).alias("_often"))
+
+
 def _listed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """node, n, parity bits, _rare (up to USED of the values that are not frequent) of all classes; and the nodes of the crowd."""
+    """Of all classes, node, n, parity bits, _rare (values whose lists they are in); and the nodes of the crowd.
+
+    _rare are up to USED of the values that are not frequent. A class that has
+    too few of these adds the runs of two of its whole sketch that are not frequent,
+    and is of the crowd if too few runs are left, too.
+    """
     values = classes.select("node", F.explode(F.slice("sketch", 1, LISTED)).alias("v"))
-    counts = values.groupBy("v").agg(F.count("*").alias("_c")).where(F.col("_c") > SHORT)
     limit = (classes.agg(F.sum(F.least("n", F.lit(LISTED)))).first()[0] or 0) // SHARE
-    frequent = counts.where(F.col("_c") > limit).select("v", F.lit(True).alias("_often"))
     seldom = F.array_sort(F.collect_list(F.when(F.col("_often").isNull(), F.col("v"))))
-    kept = values.join(frequent, "v", "left").groupBy("node").agg(seldom.alias("_all"))
+    kept = values.join(_frequent(values, limit), "v", "left").groupBy("node").agg(seldom.alias("_all"))
     few = (F.size("_all") < ENOUGH) | (F.size("_all") < RARE * F.least("n", F.lit(LISTED)))
-    listed = kept.join(classes.select("node", "n", *PARTS), "node").select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_crowd"))
-    listed = materialize(listed, "listed")
+    singles = kept.join(classes.select("node", "n", *PARTS, "sketch"), "node")
+    singles = materialize(singles.select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_few"), F.when(few, F.col("sketch")).alias("_sketch")), "singles")
+    runs = F.zip_with(F.slice("_sketch", 1, F.size("_sketch") - 1), F.slice("_sketch", 2, SKETCH), lambda x, y: F.xxhash64(x, y))
+    runs = materialize(singles.where("_few").select("node", F.explode(runs).alias("v")), "runs")
+    kept = runs.join(_frequent(runs, limit), "v", "left").groupBy("node").agg(F.collect_list(F.when(F.col("_often").isNull(), F.col("v"))).alias("_runs"))
+    none = F.array().cast("array<bigint>")
+    both = singles.join(kept, "node", "left").withColumn("_runs", F.coalesce("_runs", none))
+    crowd = F.col("_few") & (F.size("_runs") < SKETCH - 1 - COMMON)
+    listed = materialize(both.select("node", "n", *PARTS, F.concat("_rare", "_runs").alias("_rare"), crowd.alias("_crowd")), "listed")
+    discard(singles, runs)
     return listed, listed.where("_crowd").select("node", "n", *PARTS)
 
 

@@ -639,6 +639,21 @@ def test_near_duplicates_of_families_match_exact_prefixes(spark, monkeypatch):
     assert [(r["n_shingles"], r["component_id"]) for r in sorted(out, key=lambda r: r["doc_id"])] == prefix_components(texts, 2)
 
 
+def test_near_duplicates_of_common_phrases(spark, monkeypatch):
+    """Texts over 60 words only: pairs of words are frequent, runs of two sketch values are not, and few classes are of the crowd."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
+    rng, texts, crowds = np.random.RandomState(6), [], []
+    for _ in range(400):
+        base = [f"w{i}" for i in rng.randint(0, 60, rng.randint(130, 250))]
+        near = [w if rng.rand() > rng.choice([0.01, 0.04, 0.07]) else f"w{rng.randint(60)}" for w in base]
+        texts += [" ".join(base), " ".join(near)]
+    prefixes = neardup._crowded
+    monkeypatch.setattr(neardup, "_crowded", lambda crowd, *more: crowds.append(crowd.count()) or prefixes(crowd, *more))
+    out = rows_of(neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), words=2))
+    assert [(r["n_shingles"], r["component_id"]) for r in sorted(out, key=lambda r: r["doc_id"])] == prefix_components(texts, 2)
+    assert sum(r["doc_id"] != r["component_id"] for r in out) > 100 and crowds[0] < 80
+
+
 def test_near_duplicates_of_the_tables(spark):
     """All documents of the largest test table: no link is lost (recall 1 there; the docstring has what is expected elsewhere)."""
     folder = "/root/testdata/sf0.1"

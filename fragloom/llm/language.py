@@ -154,12 +154,17 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages
         zs = z[at]
         return np.where(np.abs(zs) <= L1, 0.0, -(zs - np.sign(zs) * L1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
 
-    prepared = [(np.append(k, size), np.append(SCALE * s * idf[k], 1.0)) for k, s in rows]
+    def prepared(i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Made anew for each use, as all of them together are many times the size of the rows."""
+        k, s = rows[i]
+        return np.append(k, size), np.append(SCALE * s.astype(float) * idf[k], 1.0)
+
     spare = {i for i in range(len(rows)) if i % 5 == 4} if len(rows) >= 20 else set()
     for _ in range(EPOCHS):
-        for i, (at, x) in enumerate(prepared):
+        for i in range(len(rows)):
             if i in spare:
                 continue
+            at, x = prepared(i)
             w = weights(at)
             p = _softmax(x @ w)
             p[labels[i]] -= 1.0
@@ -170,7 +175,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languages
     w = weights(np.arange(size + 1))
     table = np.vstack([w[:-1] * idf[:, None], np.zeros((1, width))]).astype(np.float32)
     held = sorted(spare) or range(len(rows))
-    logits = np.array([prepared[i][1] @ w[prepared[i][0]] for i in held])
+    logits = np.array([x @ w[at] for at, x in map(prepared, held)])
     truth = labels[list(held)]
     # smoothed targets, as else texts that are all right would ask for a temperature of 0
     sure = (len(truth) + 1) / (len(truth) + 2)
@@ -203,10 +208,12 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
         return None
     keys, shares = (table[c].combine_chunks() for c in ("keys", "shares"))
     at = np.concatenate(([0], np.cumsum(keys.value_lengths().to_numpy())))
-    k, s = keys.flatten().to_numpy(), shares.flatten().to_numpy().astype(float)
+    k, s, named = keys.flatten().to_numpy(), shares.flatten().to_numpy(), table["_lang"].to_pylist()
+    del table
+    pa.default_memory_pool().release_unused()
     parts = [(k[a:b], s[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
     place = {x: i for i, x in enumerate(languages)}
-    return fit(parts, np.array([place[x] for x in table["_lang"].to_pylist()]), languages, document_counts(known), sum(counts.values()))
+    return fit(parts, np.array([place[x] for x in named]), languages, document_counts(known), sum(counts.values()))
 
 
 def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:

@@ -11,13 +11,14 @@ Values that very many classes retain get no list. Classes that have few others
 most of these are kept by very many classes, too, the classes are of the crowd
 (families of copies, small sets) and met through their full sets instead: two
 sets at the threshold share one of their rarest shingles, and the place of the
-first such shingle bounds what they can have in common, so short lists and few
-pairs remain.
+first such shingle bounds what they can have in common. Parity bits of the full
+sets bound from below how many shingles are in one of two sets only, so members
+of a family that are less alike than the threshold are told apart without loss.
 
 A list's pairs are not all formed: first each member is compared with the list's
-leader, and then only pairs of different components are, of which one is not in
-the list's largest component. Long lists and other heavy keys are spread over
-several tasks.
+leader, and all of these pairs are decided; then only pairs of different
+components are formed, of which one is not in the list's largest component. Long
+lists and other heavy keys are spread over several tasks.
 """
 
 from __future__ import annotations
@@ -51,6 +52,9 @@ MARGIN = 5
 #: Parity bits of a sketch, as four numbers.
 PARITY = 256
 PARTS = ["p0", "p1", "p2", "p3"]
+#: Parity bits of a full set of the crowd. They are odd for at most the shingles that are in one of two sets only, so that
+#: they rule out for sure; beyond some 1,150 shingles, two sets at 0.8 may differ in more than unlike ones leave odd, and only the bits of the sketch tell.
+FULL = 512
 
 _SKETCH_TYPE = "struct<n:bigint,lo:bigint,hi:bigint,p0:bigint,p1:bigint,p2:bigint,p3:bigint,sketch:array<bigint>>"
 
@@ -168,7 +172,7 @@ def _shingle_counts(sets: DataFrame) -> np.ndarray:
 
 
 def _prefix_maker(counts: np.ndarray, share: tuple[int, int]):
-    """The first shingles of a set in the order of their counters, as many as any other set at the threshold must share one of; those that are in no other set are left out."""
+    """The first shingles of a set in the order of their counters, as many as any other set at the threshold must share one of; those that are in no other set are left out. And the parity bits of the whole set."""
 
     def make(sets: pa.Array) -> pa.Array:
         values, n = sets.flatten().to_numpy(), sets.value_lengths().to_numpy()
@@ -178,21 +182,24 @@ def _prefix_maker(counts: np.ndarray, share: tuple[int, int]):
         place, prefix = np.arange(at[-1]) - np.repeat(at[:-1], n), n - -(-n.astype(np.int64) * share[0] // share[1]) + 1
         held = (place < np.repeat(prefix, n)) & (often[order] > 1)
         to = np.concatenate(([0], np.cumsum(held)))[at]
-        return pa.StructArray.from_arrays([lists(values[order][held], to, pa.int64()), lists(place[held], to, pa.int64())], ["v", "at"])
+        bit = np.repeat(np.arange(len(n)) * FULL, n) + (values & (FULL - 1))
+        parity = np.packbits(np.bincount(bit, minlength=len(n) * FULL) & 1).view(np.int64)
+        full = lists(parity, np.arange(len(n) + 1) * (FULL // 64), pa.int64())
+        return pa.StructArray.from_arrays([lists(values[order][held], to, pa.int64()), lists(place[held], to, pa.int64()), full], ["v", "at", "full"])
 
-    return F.arrow_udf(make, "struct<v:array<bigint>,at:array<bigint>>").asNondeterministic()
+    return F.arrow_udf(make, "struct<v:array<bigint>,at:array<bigint>,full:array<bigint>>").asNondeterministic()
 
 
 def _crowded(crowd: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """v, node, n, parity bits, at: lists of the rarest shingles of the crowd's full sets, with the place of v in its set's order.
+    """v, node, n, parity bits, at, full: lists of the rarest shingles of the crowd's full sets, with the place of v in its set's order.
 
     Any order that is the same for all sets is exact, so counters of a fixed
     number decide it, and only the prefixes leave their tasks. Shingles whose
     counter is 1 are in one set only: they come first and make no list.
     """
     counts = _shingle_counts(sets)
-    placed = sets.select("node", _prefix_maker(counts, share)("set").alias("_p")).select("node", F.explode(F.arrays_zip("_p.v", "_p.at")).alias("_e"))
-    return materialize(placed.join(crowd, "node").select((-1 - F.col("_e.v")).alias("v"), "node", "n", *PARTS, F.col("_e.at").alias("at")), "crowded")
+    placed = sets.select("node", _prefix_maker(counts, share)("set").alias("_p")).select("node", F.col("_p.full").alias("full"), F.explode(F.arrays_zip("_p.v", "_p.at")).alias("_e"))
+    return materialize(placed.join(crowd, "node").select((-1 - F.col("_e.v")).alias("v"), "node", "n", *PARTS, F.col("_e.at").alias("at"), "full"), "crowded")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, threshold: float, size: int) -> DataFrame:
@@ -261,32 +268,34 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     classes = materialize(classes, "classes")
     sets = _Sets(classes, docs, words)
     listed, crowd = _listed(classes)
-    rare = listed.select("node", "n", *PARTS, F.lit(None).cast("bigint").alias("at"), F.explode("_rare").alias("v"))
+    rare = listed.select("node", "n", *PARTS, F.col("_crowd").alias("crowd"), F.lit(None).cast("bigint").alias("at"), F.lit(None).cast("array<bigint>").alias("full"), F.explode("_rare").alias("v"))
     crowded = _crowded(crowd, sets.of(crowd.select("node")), share)
-    lists_of = materialize(rare.unionByName(crowded), "lists")
+    lists_of = materialize(rare.unionByName(crowded.withColumn("crowd", F.lit(True))), "lists")
     discard(listed, crowded)
     most = _odd_bits(threshold)
 
     def alike(x, y) -> Column:
-        """Sizes and, in lists of the crowd, places allow the threshold, and so do the parity bits; sketches of small sets are the sets, so that their bits decide for sure."""
+        """Sizes and, in lists of the crowd, places and bits of the full sets allow the threshold, and so do the sketches' parity bits; sketches of small sets are the sets, so that their bits decide for sure."""
         larger = F.greatest(x("n"), y("n"))
         bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in PARTS[1:]), F.bit_count(x(PARTS[0]).bitwiseXOR(y(PARTS[0]))))
         small = F.when(larger <= SKETCH, F.floor((1 / threshold - 1) * larger + 1e-9)).otherwise(most)
         common = F.least(x("n") - F.coalesce(x("at"), F.lit(0)), y("n") - F.coalesce(y("at"), F.lit(0)))
-        return (common * share[1] >= (x("n") + y("n") - common) * share[0]) & (bits <= small)
+        apart = sum(F.bit_count(F.get(x("full"), F.lit(i)).bitwiseXOR(F.get(y("full"), F.lit(i)))) for i in range(FULL // 64))
+        differ = F.coalesce(apart, F.lit(0)) * (share[1] + share[0]) <= (x("n") + y("n")) * (share[1] - share[0])
+        elsewhere = x("crowd") & y("crowd") & x("at").isNull()  # two of the crowd meet through their full sets, where more is known of them
+        return ~elsewhere & (common * share[1] >= (x("n") + y("n") - common) * share[0]) & (bits <= small) & differ
 
     # a list of the crowd is led by the member with the fewest rarer shingles: the nearest to an original among its copies
-    leaders = lists_of.groupBy("v").agg(F.min(F.struct("at", "node", "n", *PARTS)).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
+    leaders = lists_of.groupBy("v").agg(F.min(F.struct("at", "node", "n", *PARTS, "full", "crowd")).alias("_l"), F.count("*").alias("_c")).where("_c > 1")
     near = alike(F.col, lambda c: F.col(f"_l.{c}"))
     often = heavy_keys(lists_of, "v")
     led = join_spread(lists_of, leaders, "v", often, ["node"]).where((F.col("node") != F.col("_l.node")) & near)
     led = materialize(led.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).distinct(), "led")
     estimated = _estimated(led, classes, threshold, SKETCH)
-    best = materialize(estimated.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a")).select("a", "b"), "best")
-    first = sets.linked(best, share)
+    first = sets.linked(estimated.select("a", "b"), share)
     labels = connected(first)
     one = materialize(classes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("c")), "components")
-    discard(led, estimated, best, first, labels)
+    discard(led, estimated, first, labels)
 
     placed = lists_of.join(one, "node")
     parts = placed.groupBy("v", "c").agg(F.count("*").alias("_n"))
@@ -296,7 +305,7 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
     discard(mixed, lists_of)
     # members of a long list are dealt to blocks, and each member that is not of the main component meets all of them
     blocks = F.floor(F.col("_all") / spread_limit(placed.count()))
-    side = lambda x: [*[F.col(c).alias(f"_{x}{c}") for c in ("node", "n", *PARTS, "at", "c")]]
+    side = lambda x: [*[F.col(c).alias(f"_{x}{c}") for c in ("node", "n", *PARTS, "at", "full", "crowd", "c")]]
     x = placed.where("c <> _main").select("v", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)).alias("_block"), *side("x"))
     y = placed.select("v", F.pmod(F.xxhash64("node"), blocks + 1).alias("_block"), *side("y"), "_main")
     near = alike(lambda c: F.col(f"_x{c}"), lambda c: F.col(f"_y{c}"))

@@ -654,6 +654,29 @@ def test_near_duplicates_of_common_phrases(spark, monkeypatch):
     assert sum(r["doc_id"] != r["component_id"] for r in out) > 100 and crowds[0] < 80
 
 
+def test_near_duplicates_of_a_family_form_few_pairs(spark, monkeypatch):
+    """Copies of one text that share their edits, and 60 a little less like it than the threshold: pairs beyond the leaders are far fewer than 60 times the copies."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
+    rng, texts, crossed = np.random.RandomState(8), [], []
+    for i in range(860):
+        words = [f"b{j}" for j in range(150)]
+        for at in rng.choice(75, rng.randint(9, 13) if i < 60 else rng.randint(1, 8), replace=False):
+            words[2 * at] = f"v{i % 16}x{at}"
+        texts.append(" ".join(words))
+    written = neardup.materialize
+
+    def materialize(df, name):
+        out = written(df, name)
+        crossed.extend([out.count()] if name == "crossed" else [])
+        return out
+
+    monkeypatch.setattr(neardup, "materialize", materialize)
+    out = rows_of(neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), words=2))
+    expected = prefix_components(texts, 2)
+    assert [(r["n_shingles"], r["component_id"]) for r in sorted(out, key=lambda r: r["doc_id"])] == expected
+    assert collections.Counter(c for _, c in expected).most_common(1)[0][1] >= 800 and crossed[0] < 3 * len(texts)
+
+
 def test_near_duplicates_of_the_tables(spark):
     """All documents of the largest test table: no link is lost (recall 1 there; the docstring has what is expected elsewhere)."""
     folder = "/root/testdata/sf0.1"

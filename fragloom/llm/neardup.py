@@ -130,6 +130,38 @@ def _frequent(values: DataFrame, limit: int) -> DataFrame:
     return counts.select("v", F.lit(True).alias("_often"))
 
 
+def _runs(sketches: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of two neighbouring values of each sketch (null: none), and their n + 1 offsets."""
+    values, n = sketches.flatten().to_numpy().view(np.uint64), sketches.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+    inner = np.ones(len(values), bool)
+    inner[np.cumsum(n)[n > 0] - 1] = False
+    runs = mix(mix(values[:-1], 301) + values[1:], 302)[inner[:-1]]
+    return runs.view(np.int64), np.concatenate(([0], np.cumsum(np.maximum(n - 1, 0))))
+
+
+def _frequent_runs(sketches: DataFrame, limit: int) -> np.ndarray:
+    """Runs that more than SHORT and more than limit of these sketches have, in order; at most 2 SHARE (16 MB) come to the driver. Each batch is counted before its runs leave the task."""
+
+    def count(batches):
+        for batch in batches:
+            runs, n = np.unique(_runs(batch.column(0))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(n)], ["v", "n"])
+
+    counts = sketches.mapInArrow(count, "v bigint, n bigint").groupBy("v").agg(F.sum("n").alias("_c"))
+    return np.sort(counts.where((F.col("_c") > SHORT) & (F.col("_c") > limit)).select("v").toArrow()["v"].to_numpy())
+
+
+def _seldom_runs(often: np.ndarray):
+    """The runs of a sketch that are not among these; none of a null sketch."""
+
+    def seldom(sketches: pa.Array) -> pa.Array:
+        runs, at = _runs(sketches)
+        held = np.searchsorted(often, runs, "right") == np.searchsorted(often, runs)
+        return lists(runs[held], np.concatenate(([0], np.cumsum(held)))[at], pa.int64())
+
+    return F.arrow_udf(seldom, "array<bigint>").asNondeterministic()
+
+
 def _listed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of all classes, node, n, parity bits, _rare (values whose lists they are in); and the nodes of the crowd.
 
@@ -144,14 +176,11 @@ def _listed(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = (F.size("_all") < ENOUGH) | (F.size("_all") < RARE * F.least("n", F.lit(LISTED)))
     singles = kept.join(classes.select("node", "n", *PARTS, "sketch"), "node")
     singles = materialize(singles.select("node", "n", *PARTS, F.slice("_all", 1, USED).alias("_rare"), few.alias("_few"), F.when(few, F.col("sketch")).alias("_sketch")), "singles")
-    runs = F.zip_with(F.slice("_sketch", 1, F.size("_sketch") - 1), F.slice("_sketch", 2, SKETCH), lambda x, y: F.xxhash64(x, y))
-    runs = materialize(singles.where("_few").select("node", F.explode(runs).alias("v")), "runs")
-    kept = runs.join(_frequent(runs, limit), "v", "left").groupBy("node").agg(F.collect_list(F.when(F.col("_often").isNull(), F.col("v"))).alias("_runs"))
-    none = F.array().cast("array<bigint>")
-    both = singles.join(kept, "node", "left").withColumn("_runs", F.coalesce("_runs", none))
+    often = _frequent_runs(singles.where("_few").select("_sketch"), limit)
+    both = singles.withColumn("_runs", _seldom_runs(often)("_sketch"))
     crowd = F.col("_few") & (F.size("_runs") < SKETCH - 1 - COMMON)
     listed = materialize(both.select("node", "n", *PARTS, F.concat("_rare", "_runs").alias("_rare"), crowd.alias("_crowd")), "listed")
-    discard(singles, runs)
+    discard(singles)
     return listed, listed.where("_crowd").select("node", "n", *PARTS)
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import os
 import re
@@ -677,6 +678,33 @@ def test_near_duplicates_of_a_family_form_few_pairs(spark, monkeypatch):
     assert collections.Counter(c for _, c in expected).most_common(1)[0][1] >= 800 and crossed[0] < 3 * len(texts)
 
 
+def test_near_duplicates_count_runs_without_a_row_each(spark, monkeypatch):
+    """Lists of a family are chosen with one row a class; runs of two values are those of a plain count."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
+    rng, written, rows = np.random.RandomState(9), neardup.materialize, []
+    base = np.sort(rng.randint(1, 2**62, 64))
+    sketches = [np.sort(np.where(rng.rand(64) < rng.choice([0, 0.1, 0.5]), rng.randint(1, 2**62, 64), base))[: rng.choice([1, 2, 40, 64])].tolist() for _ in range(300)]
+    classes = spark.createDataFrame([(i, len(x), 0, 0, 0, 0, x) for i, x in enumerate(sketches)], "node long, n long, p0 long, p1 long, p2 long, p3 long, sketch array<bigint>").repartition(3)
+
+    def materialize(df, name):
+        out = written(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "materialize", materialize)
+    listed = {r["node"]: r for r in neardup._listed(classes)[0].collect()}
+    assert max(rows) <= len(sketches)
+    often = collections.Counter(v for x in sketches for v in x[:32])
+    few = {i: x for i, x in enumerate(sketches) if (n := sum(often[v] <= 10 for v in x[:32])) < 14 or n < 20 / 32 * min(len(x), 32)}
+    runs = collections.Counter(pair for x in few.values() for pair in itertools.pairwise(x))
+    for i, x in enumerate(sketches):
+        single = [v for v in x[:32] if often[v] <= 10][:16]
+        seldom = [pair for pair in itertools.pairwise(x) if runs[pair] <= 10] if i in few else []
+        assert listed[i]["_rare"][: len(single)] == single and len(listed[i]["_rare"]) == len(single) + len(seldom)
+        assert listed[i]["_crowd"] == (i in few and len(seldom) < 50)
+    assert 20 < sum(r["_crowd"] for r in listed.values()) < len(few) < len(sketches)
+
+
 def test_near_duplicates_of_the_tables(spark):
     """All documents of the largest test table: no link is lost (recall 1 there; the docstring has what is expected elsewhere)."""
     folder = "/root/testdata/sf0.1"

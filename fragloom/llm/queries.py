@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fragloom.llm import chat, decontam, fingerprint, language, mixing, neardup, sharding, tokens, toxicity, urls
+from fragloom.llm import chat, collocation, decontam, fingerprint, language, mixing, neardup, sharding, tokens, toxicity, trie, urls, warc
 
 
 def queries():
@@ -17,6 +17,9 @@ def queries():
         "op8_urls": urls.query,
         "op9_neardup": neardup.query,
         "op10_decontamination": decontam.query,
+        "op11_prefix_trie": trie.query,
+        "op12_collocations": collocation.query,
+        "op13_warc": warc.query,
     }
 
 
@@ -38,4 +41,4 @@ FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS te
 
 
 def oracle_sql():
-    return {"op2_chat": _CHAT}
+    return {"op2_chat": _CHAT, "op11_prefix_trie": trie.SQL, "op12_collocations": collocation.SQL, "op13_warc": warc.SQL}

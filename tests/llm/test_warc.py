@@ -1,0 +1,162 @@
+"""WARC archives: round trips, revisits, and what is salvaged from damaged files."""
+
+import gzip
+import hashlib
+import io
+import random
+from pathlib import Path
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from fragloom.llm import warc
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def _records(n, seed=4):
+    rnd = random.Random(seed)
+    for k in range(n):
+        payload = bytes(rnd.randrange(256) for _ in range(rnd.randrange(0, 900)))
+        yield {"record_id": f"urn:page:{k}", "warc_type": "response", "target_uri": f"http://x/{k}\r\nX: y", "date": None, "refers_to": None, "payload": payload, "payload_bytes": len(payload), "payload_digest": None}
+
+
+def _read(data):
+    return list(warc.salvage(pa.PythonFile(io.BytesIO(data), mode="r"), len(data)))
+
+
+def _ids(found):
+    return [r.headers["warc-record-id"].removeprefix("<urn:page:").rstrip(">") for _, _, r in found if isinstance(r, warc.Record)]
+
+
+def _conserved(found, size):
+    """Records and gaps follow each other without a hole or an overlap."""
+    at = 0
+    for begin, length, _ in found:
+        assert begin == at and length > 0
+        at += length
+    assert at == size
+
+
+@pytest.fixture(params=["gzip", "plain"])
+def parts(request):
+    whole = [warc.record_bytes(r) for r in _records(30)]
+    return [warc._member(p) for p in whole] if request.param == "gzip" else whole
+
+
+def test_whole_files(parts):
+    found = _read(b"".join(parts))
+    assert _ids(found) == [str(k) for k in range(30)]
+    assert [r.payload for _, _, r in found] == [r["payload"] for r in _records(30)]
+    assert [r.headers["warc-target-uri"] for _, _, r in found][:1] == ["http://x/0%0D%0AX: y"]
+    assert _read(b"") == []
+
+
+@pytest.mark.parametrize("how", ["flip", "cut out", "insert", "cut off", "begin", "zeros", "digest"])
+def test_records_after_damage_are_recovered(parts, how):
+    """Only what was damaged is lost, and the gaps say where it was."""
+    k, data = 11, list(parts)
+    bad = bytearray(data[k])
+    if how == "flip":
+        bad[len(bad) // 2] ^= 0xFF
+        bad[12] ^= 0xFF
+    elif how == "digest":  # well-formed, but of other content
+        plain = data[0][:4] == b"WARC"
+        text = bytes(bad) if plain else gzip.decompress(bytes(bad))
+        text = text.replace(b"sha1:", b"sha1:f", 2)
+        bad = text if plain else warc._member(text)
+    elif how == "cut out":
+        del bad[len(bad) // 3 : len(bad) // 2]
+    elif how == "insert":
+        bad[20:20] = b"WARC/1.1\r\n\x1f\x8b\x08 junk " * 9
+    elif how == "zeros":
+        bad = bytearray(len(bad))
+    elif how == "begin":
+        k, bad = 0, bytearray(b"\0junk") + data[0][3:]
+    if how == "cut off":
+        k, bad = 29, data[29][: len(data[29]) // 2]
+    data[k] = bytes(bad)
+    whole = b"".join(data)
+    found = _read(whole)
+    assert _ids(found) == [str(i) for i in range(30) if i != k]
+    gaps = [(a, n) for a, n, r in found if isinstance(r, str)]
+    start = sum(map(len, data[:k]))
+    assert gaps[0][0] == start and sum(n for _, n in gaps) == len(data[k])
+    _conserved(found, len(whole))
+
+
+def test_wrong_length_is_no_reason_to_skip_records():
+    parts = [warc.record_bytes(r) for r in _records(5)]
+    parts[1] = parts[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
+    found = _read(b"".join(parts))
+    assert _ids(found) == ["0", "2", "3", "4"]
+
+
+def test_several_records_in_one_member_and_other_digests():
+    import base64
+
+    parts = [warc.record_bytes(r) for r in _records(4)]
+    hexed = hashlib.sha1(next(_records(1))["payload"]).hexdigest()
+    parts[0] = parts[0].replace(b"sha1:" + hexed.encode(), b"SHA1:" + base64.b32encode(bytes.fromhex(hexed)))
+    found = _read(warc._member(b"".join(parts)) + warc._member(parts[0].replace(b"Payload-Digest: SHA1", b"Payload-Digest: md5")))
+    assert _ids(found) == ["0", "1", "2", "3", "0"]
+
+
+def _plain_pages(rows, least=1000):
+    last = {}
+    for i, _, h in rows:
+        if len((h or "").encode()) >= least and i is not None:
+            last[h] = max(i, last.get(h, i))
+    for i, _, h in rows:
+        b = (h or "").encode()
+        to = last.get(h) if h and len(b) >= least else None
+        yield i, len(b), hashlib.sha1(b).hexdigest(), "response" if to is None or to == i else "revisit", None if to is None or to == i else to
+
+
+def test_pages_round_trip(spark, tmp_path):
+    """Nulls in every column, empty and long pages, equal pages above and below the least size, repeated rows, clashing names, several files."""
+    long = "é" * 700
+    rows = [(1, "http://a", long), (5, "http://b", long), (3, None, long), (None, "http://n", long), (7, "u", "short"), (8, "u", "short"), (9, "u", None), (10, None, ""), (11, "u", "x" * 999), (12, "u", "x" * 999), (13, "u", "x" * 1000), (14, "u", "x" * 1000), (14, "u", "x" * 1000)]
+    rows += [(20 + k, "u", f"WARC/1.1\r\n\r\n\r\n{'y' * (k % 3) * 2000}") for k in range(20)] + [(50, "u", "z" * 3_000_000), (51, "u", "z" * 3_000_000)]
+    pages = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit("own") for n in ("sum", "bytes", "payload", "_key", "refers_to")}).repartition(3)
+    warc.register(spark)
+    for compression in ("gzip", "none"):
+        path = f"file://{tmp_path}/{compression}"
+        warc.page_records(pages).write.format("warc").mode("append").option("compression", compression).option("roll", "20000").save(path)
+        assert not list(Path(f"{tmp_path}/{compression}").glob("_writing*")) and len(list(Path(f"{tmp_path}/{compression}").glob("*.warc*"))) >= 3
+        back = spark.read.format("warc").load(path)
+        assert back.where("kind = 'gap'").count() == 0
+        found = warc.resolved(back.where("warc_type in ('response', 'revisit')")).drop("headers").collect()
+        urn = lambda x: None if x is None else int(x.removeprefix("urn:page:") or -1)
+        got = sorted((urn(r["record_id"]), r["payload_bytes"], r["payload_digest"], r["warc_type"], urn(r["refers_to"])) for r in found)
+        want = sorted((-1 if i is None else i, *rest) for i, *rest in _plain_pages(rows))
+        assert [tuple(map(str, x)) for x in got] == [tuple(map(str, x)) for x in want]
+        assert all(r["resolved"] for r in found)
+        assert all(hashlib.sha1(r["payload"]).hexdigest() == r["payload_digest"] for r in found if r["warc_type"] == "response")
+        with pytest.raises(Exception, match="exists"):
+            warc.page_records(pages).write.format("warc").mode("append").save(path)
+
+
+def test_empty_table_and_failed_write(spark, tmp_path):
+    """No pages: an archive folder without records. A failed task leaves nothing behind."""
+    warc.register(spark)
+    path = f"file://{tmp_path}/none"
+    empty = spark.createDataFrame([], SCHEMA)
+    warc.page_records(empty).write.format("warc").mode("append").save(path)
+    assert spark.read.format("warc").load(path).where("kind = 'record' and warc_type != 'warcinfo'").count() == 0
+    bad = warc.page_records(spark.createDataFrame([(k, "u", "x") for k in range(50)], SCHEMA).repartition(4)).withColumn("date", F.when(F.col("record_id") == "urn:page:33", F.raise_error(F.lit("boom")).cast("string")))
+    with pytest.raises(Exception, match="boom"):
+        bad.write.format("warc").mode("append").save(f"file://{tmp_path}/failed")
+    assert not list(tmp_path.glob("failed/**/*.warc*"))
+
+
+def test_damaged_files_are_read_by_spark(spark, tmp_path):
+    warc.register(spark)
+    parts = [warc._member(warc.record_bytes(r)) for r in _records(40)]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(parts[:20]))
+    broken = b"".join(parts[20:30]) + b"\0" * 77 + b"".join(parts[30:])
+    (tmp_path / "b.warc.gz").write_bytes(broken)
+    rows = spark.read.format("warc").load(f"file://{tmp_path}").collect()
+    assert sum(r["kind"] == "record" for r in rows) == 40
+    assert [(r["file"], r["offset"], r["length"]) for r in rows if r["kind"] == "gap"] == [("b.warc.gz", len(b"".join(parts[20:30])), 77)]

@@ -23,21 +23,70 @@ def first_by(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return best.select(*key, "_r.*")
 
 
+#: A time cell of an as-of join is so many times as wide as its reach; rows of the right side near its ends are in two cells.
+CELL = 4
+#: Rows of the left side beyond which a cell of one key is dealt to several tasks.
+CELL_ROWS = 200_000
+
+
 def nearest(left: DataFrame, right: DataFrame, key: list[str], left_time: str, right_time: str, order: list[str], within: float | None = WITHIN, prefix: str = "near_") -> DataFrame:
     """left with the nearest row of right by key (its columns prefixed), the distance, and how many rows lie within.
 
-    Rows without any keep nulls and a count of 0. left must have `row_id`, unique.
-    Ties go by the order of right's columns. One equi-join, one aggregate: no
-    rows of right but the best are kept in memory.
+    Rows without any keep nulls and a count of 0, as do rows of left without
+    key or time. Ties go by the order of right's columns. Rows of left may repeat.
+
+    Both sides are sorted once by key and time: the last row of right before
+    and the first one after are carried along, and the count rises and falls
+    where a row of right comes into reach and leaves it, so the work is
+    proportional to the rows, however many of them share a key. With `within`,
+    keys are cut into time cells, and cells with very many rows of left are
+    dealt out, with the cell's rows of right repeated.
     """
-    names = [c for c in right.columns if c not in key]
-    r = right.select(*key, F.struct(*names).alias("_r"))
-    pairs = left.select(*key, "row_id", F.col(left_time).alias("_t")).join(r, key)
-    pairs = pairs.withColumn("_d", time_distance(F.col("_t"), F.col(f"_r.{right_time}")))
-    pairs = pairs.where(F.col("_d") <= within) if within is not None else pairs.where(F.col("_d") < float("inf"))
-    best = pairs.groupBy("row_id").agg(F.min_by(F.struct("_r", "_d"), F.struct("_d", *[F.col(f"_r.{o}") for o in order])).alias("_b"), F.count("*").alias("candidates"))
-    out = left.join(best, "row_id", "left")
-    return out.select(left["*"], *[F.col(f"_b._r.{n}").alias(prefix + n) for n in names], F.col("_b._d").alias("distance"), F.coalesce("candidates", F.lit(0)).cast("long").alias("candidates"))
+    names, own, cell_key = [c for c in right.columns if c not in key], left.columns, [*key, "_cell", "_salt"]
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    reach = None if within is None else int(within * 1_000_000)
+    known = F.lit(True)
+    for c in key:
+        known &= F.col(c).isNotNull()
+    # rows of right of one key and time are one: the first of them answers for all
+    r = right.select(*key, micros(right_time).alias("_t"), F.struct(*names).alias("_r")).where(known & F.col("_t").isNotNull())
+    r = r.groupBy(*key, "_t").agg(F.min_by("_r", F.struct(*[F.col(f"_r.{o}") for o in order])).alias("_r"), F.count("*").alias("_n"))
+    at = left.select(*key, micros(left_time).alias("_t"), F.struct(*own).alias("_l"))
+    lost = at.where(~known | F.col("_t").isNull()).select("_l", F.lit(None).cast(r.schema["_r"].dataType).alias("_r"), F.lit(None).cast("double").alias("distance"), F.lit(0).cast("long").alias("candidates"))
+    at = at.where(known & F.col("_t").isNotNull())
+    if reach is None:
+        at, r = (x.withColumns({"_cell": F.lit(0).cast("long"), "_salt": F.lit(0).cast("long")}) for x in (at, r))
+    else:
+        width = max(1, CELL * reach)
+        cell = lambda t: F.floor(t / F.lit(width))
+        at = at.withColumn("_cell", cell(F.col("_t")))
+        r = r.withColumn("_cell", F.explode(F.sequence(cell(F.col("_t") - reach), cell(F.col("_t") + reach))))
+        heavy = at.groupBy(*key, "_cell").agg(F.floor(F.count("*") / CELL_ROWS).alias("_parts")).where("_parts > 0")
+        parts = F.coalesce("_parts", F.lit(0).cast("long"))
+        plain = [F.col(f"_l.{c}") for c, kind in left.dtypes if "map<" not in kind and "variant" not in kind]
+        at = at.join(heavy, [*key, "_cell"], "left").withColumn("_salt", F.pmod(F.xxhash64(*plain), parts + 1)).drop("_parts")
+        r = r.join(heavy, [*key, "_cell"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), parts))).drop("_parts")
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    asked = at.select(*cell_key, "_t", F.lit(1).alias("_rank"), "_l", none(r, "_r"), F.lit(0).cast("long").alias("_n"))
+    given = lambda t, rank, value, n: r.select(*cell_key, t.alias("_t"), F.lit(rank).alias("_rank"), none(at, "_l"), value, n.cast("long").alias("_n"))
+    t = F.col("_t")
+    if reach is None:
+        events = asked.unionByName(given(t, 0, F.col("_r"), F.col("_n")))
+    else:
+        nothing = none(r, "_r")
+        events = asked.unionByName(given(t, 0, F.col("_r"), F.lit(0))).unionByName(given(t - reach, 0, nothing, F.col("_n"))).unionByName(given(t + reach, 2, nothing, -F.col("_n")))
+    value = F.when(F.col("_r").isNotNull(), F.struct("_t", "_r"))
+    up = Window.partitionBy(*cell_key).orderBy("_t", "_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*cell_key).orderBy(F.desc("_t"), "_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    count = F.sum("_n").over(up) if reach is not None else F.sum("_n").over(Window.partitionBy(*cell_key))
+    met = events.select("_l", "_t", count.alias("candidates"), F.last(value, ignorenulls=True).over(up).alias("_before"), F.last(value, ignorenulls=True).over(down).alias("_after")).where("_l is not null")
+    choice = lambda v: F.when(F.col(v).isNotNull(), F.struct(F.abs(F.col("_t") - F.col(f"{v}._t")).alias("d"), F.struct(*[F.col(f"{v}._r.{o}").alias(f"o{i}") for i, o in enumerate(order)]).alias("o"), F.col(f"{v}._r").alias("r")))
+    near = lambda v: choice(v) if reach is None else F.when(F.abs(F.col("_t") - F.col(f"{v}._t")) <= reach, choice(v))
+    later = F.col("_b").isNull() | (F.col("_a").isNotNull() & (F.struct("_a.d", "_a.o") < F.struct("_b.d", "_b.o")))
+    first = F.when(later, F.col("_a")).otherwise(F.col("_b"))
+    met = met.select("_l", "candidates", near("_before").alias("_b"), near("_after").alias("_a")).withColumn("_best", first)
+    out = met.select("_l", F.col("_best.r").alias("_r"), (F.col("_best.d") / 1e6).alias("distance"), "candidates").unionByName(lost)
+    return out.select(*[F.col(f"_l.{c}").alias(c) for c in own], *[F.col(f"_r.{n}").alias(prefix + n) for n in names], "distance", "candidates")
 
 
 def restricted(rows: DataFrame, targets: DataFrame, key: list[str]) -> DataFrame:

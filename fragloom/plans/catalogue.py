@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragloom.functions import identity, metadata, text, urls
-from fragloom.operators import assemble, audit, classify, enrich, export, publish
+from fragloom.operators import assemble, audit, classify, enrich, export, overlap, publish
 from fragloom.plans import fixtures as X
 from fragloom.settings import Settings
 from fragloom.sources import metadata as sources
@@ -139,6 +139,36 @@ def type2_outcomes(spark, sf_dir):
     return audit.outcome_histogram(_articles2(spark, sf_dir))
 
 
+# --- overlaps of fragments as joins
+
+_WORDS_SQL = f"SELECT url, min(line_no) AS line_no, pos, text, string_split(text, ' ') AS w FROM (SELECT url, line_no, pos, concat_ws(' ', nullif(pre, ''), ngram, nullif(post, '')) AS text FROM ({X.RECORDS_SQL})) GROUP BY url, pos, text"
+_PAIRS_SQL = f"""SELECT url, line_no, next_line, overlap FROM (WITH f AS MATERIALIZED ({_WORDS_SQL}), r AS (SELECT url, pos, line_no, w, unnest(range(1, len(w) + 1)) AS k FROM f),
+  a AS MATERIALIZED (SELECT url, line_no, pos * 10000000::BIGINT + line_no AS head, k, array_to_string(w[len(w) - k + 1:len(w)], ' ') AS run FROM r), b AS MATERIALIZED (SELECT url, line_no, pos * 10000000::BIGINT + line_no AS head, k, array_to_string(w[1:k], ' ') AS run FROM r)
+  SELECT a.url, a.line_no, b.line_no AS next_line, a.k AS overlap FROM a ASOF JOIN b ON a.url = b.url AND a.k = b.k AND a.run = b.run AND a.head < b.head) QUALIFY row_number() OVER (PARTITION BY url, line_no ORDER BY overlap DESC) = 1"""
+
+
+@_query(_PAIRS_SQL)
+def overlap_pairs(spark, sf_dir):
+    found = overlap.overlap_pairs(X.fragments(X.records(spark, sf_dir)))
+    return found.select("url", "line_no", "next_line", F.col("overlap").cast("long").alias("overlap"))
+
+
+def _chains_sql() -> str:
+    """Links, then as many doublings as 2^17 fragments in a chain need, then the texts."""
+    steps = ["s0 AS MATERIALIZED (SELECT f.url, f.line_no, coalesce(p.line_no, f.line_no) AS head, CASE WHEN p.line_no IS NULL THEN 0 ELSE 1 END AS place, coalesce(p.overlap, 0) AS overlap FROM f LEFT JOIN l p ON p.url = f.url AND p.next_line = f.line_no)"]
+    steps += [f"s{i + 1} AS MATERIALIZED (SELECT a.url, a.line_no, b.head, a.place + b.place AS place, a.overlap FROM s{i} a JOIN s{i} b ON a.url = b.url AND a.head = b.line_no)" for i in range(17)]
+    return f"""WITH f AS MATERIALIZED ({_WORDS_SQL}), p AS MATERIALIZED ({_PAIRS_SQL}),
+  l AS MATERIALIZED (SELECT p.* FROM p JOIN f USING (url, line_no) QUALIFY row_number() OVER (PARTITION BY url, next_line ORDER BY overlap DESC, pos DESC, line_no DESC) = 1), {", ".join(steps)}
+  SELECT url, head AS chain, count(*) AS fragments, sum(len(w) - overlap)::BIGINT AS words, sha256(string_agg(array_to_string(w[overlap + 1:len(w)], ' '), ' ' ORDER BY place) FILTER (WHERE overlap < len(w))) AS text_sha256
+  FROM s17 JOIN f USING (url, line_no) GROUP BY url, head"""
+
+
+@_query(_chains_sql())
+def overlap_chains(spark, sf_dir):
+    found = overlap.chain_texts(overlap.overlap_chains(X.fragments(X.records(spark, sf_dir))))
+    return found.select("url", F.col("chain_line").alias("chain"), "fragments", "words", F.sha2("text", 256).alias("text_sha256"))
+
+
 # --- classification
 
 

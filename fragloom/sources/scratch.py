@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="fragloom-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/fragloom/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back: this cuts the lineage, and a lost executor costs no more than its own tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the scratch files of materialized frames that nothing reads any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/fragloom/" in f}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

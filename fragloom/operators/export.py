@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fragloom.functions.shipping import ship
 from fragloom.operators.assemble import assemble_body_column
-from fragloom.sources.scratch import scratch_path
+from fragloom.sources.scratch import discard, materialize
 
 COLUMNS = ["id", "type_id", "type", "lang", "url", "observed_at", "fragments", "primary_fragments", "assembly", "position_joins", "bounded_fallback", "search", "text"]
 
@@ -16,11 +16,11 @@ def _require(condition: Column, message: str) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
 
 
-def observations(articles: DataFrame, source: list[str] | None = None) -> DataFrame:
-    """One observation an article, numbered per source file in order of url, date, lang, type, and per type.
+def bodies(articles: DataFrame, source: list[str] | None = None) -> DataFrame:
+    """One row an article with its text, and what its counters need (left_over, ambiguous, best_effort); written, so that the kernels run once whatever reads it.
 
     Fragment accounting and the containment of all evidence are checked; kind 2
-    needs the best-effort text.
+    needs the best-effort text. _row tells the rows apart.
     """
     ship(articles.sparkSession)
     ok = _require((F.col("inputs") > 0) & (F.col("inputs") - F.col("merged") == F.size("unmerged")) & (F.col("completeness") == "not_verified"), "fragment accounting mismatch")
@@ -36,36 +36,47 @@ def observations(articles: DataFrame, source: list[str] | None = None) -> DataFr
         F.when(joined, "estimated").otherwise("connected").alias("assembly"), F.when(one, F.col("_body.joins")).otherwise(best["position_only_joins"]).cast("long").alias("position_joins"),
         F.when(one, F.col("_body.bounded")).otherwise(best["comparison_budget_exhausted"]).alias("bounded_fallback"),
         F.when(one, "not_applicable").otherwise(F.col("diagnostics.search_status")).alias("search"), F.when(one, F.col("_body.text")).otherwise(best["text"]).alias("text"),
-    )
-    return numbered(out, source or [])
+        F.size("unmerged").cast("long").alias("left_over"), F.coalesce(F.col("diagnostics.stop_reason") == "ambiguous_continuation", F.lit(False)).alias("ambiguous"), best.isNotNull().alias("best_effort"),
+    )
+    return _with_rows(out)
+
+
+def observations(articles: DataFrame, source: list[str] | None = None) -> DataFrame:
+    """One observation an article, numbered per source file in order of url, date, lang, type, and per type."""
+    return numbered(bodies(articles, source), source or [])
+
+
+def _with_rows(rows: DataFrame) -> DataFrame:
+    return materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def _ranged(rows: DataFrame, order: list[str]) -> DataFrame:
     """rows in ranges of the order, with the number of the range as _part; written, as ranges are cut by samples that differ from run to run."""
-    path = scratch_path(rows.sparkSession, "ranged")
-    rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    return materialize(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
 
 
 def _placed(ranged: DataFrame, order: list[str], name: str, by: list[str]) -> DataFrame:
-    """ranged with the place, from 0, of each row in the order among rows of equal `by`: ranges are sorted apart, and only their counts are summed in one task."""
+    """ranged with the place, from 0, of each row in the order among rows of equal `by`: ranges are sorted apart, and only their counts are summed, one row a range and `by`."""
     counts = ranged.groupBy("_part", *by).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_part", *by, F.coalesce(before, F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order)) - 1
-    return ranged.withColumn("_place", place).join(F.broadcast(starts), ["_part", *by]).withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_before", "_place")
+    return ranged.withColumn("_place", place).join(starts, ["_part", *by]).withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_before", "_place")
 
 
 def numbered(rows: DataFrame, source: list[str]) -> DataFrame:
-    """rows with id and type_id from 1, per source and per source and type, in order of the key."""
-    order = ["url", "observed_at", "lang", "type"]
-    if source:
-        number = lambda *by: F.row_number().over(Window.partitionBy(*source, *by).orderBy(*order)).cast("long")
-        out = rows.withColumn("id", number()).withColumn("type_id", number("type"))
-    else:
-        out = _placed(_placed(_ranged(rows.drop("id", "type_id"), order), order, "id", []), order, "type_id", ["type"])
-        out = out.withColumns({"id": F.col("id") + 1, "type_id": F.col("type_id") + 1})
-    return out.select(*source, *COLUMNS)
+    """rows with id and type_id from 1, per source and per source and type, in order of the key.
+
+    Keys alone are dealt to ranges and numbered, without the texts, so a source
+    with most of the rows is many ranges; the numbers are joined by row.
+    """
+    order = ["url", "observed_at", "lang", "type", "_row"]
+    kept = rows if "_row" in rows.columns else _with_rows(rows)
+    ranged = _ranged(kept.select(*source, *order), [*source, *order])
+    placed = _placed(_placed(ranged, order, "id", source), order, "type_id", [*source, "type"])
+    numbers = materialize(placed.select("_row", (F.col("id") + 1).alias("id"), (F.col("type_id") + 1).alias("type_id")), "numbers")
+    discard(ranged)
+    return kept.drop("id", "type_id").join(numbers, "_row").select(*source, *COLUMNS)
 
 
 def dictionary(rows: DataFrame, order: str = "id") -> DataFrame:
@@ -75,8 +86,9 @@ def dictionary(rows: DataFrame, order: str = "id") -> DataFrame:
 
 
 def packed(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """rows with text_id in place of text."""
-    return rows.join(texts, "text").drop("text")
+    """rows with text_id in place of text, found by its SHA-256, so that texts are not compared or sorted."""
+    digest = F.sha2("text", 256).alias("_digest")
+    return rows.select("*", digest).join(texts.select("text_id", digest), "_digest").drop("text", "_digest")
 
 
 def unpacked(rows: DataFrame, texts: DataFrame) -> DataFrame:

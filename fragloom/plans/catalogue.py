@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragloom.functions import identity, metadata, text, urls
-from fragloom.operators import assemble, audit, classify, enrich, export, overlap, publish
+from fragloom.operators import assemble, audit, classify, counters, enrich, export, overlap, publish
 from fragloom.plans import fixtures as X
 from fragloom.settings import Settings
 from fragloom.sources import metadata as sources
@@ -205,6 +205,30 @@ def file_counts(spark, sf_dir):
     return classify.file_counts(_classified(spark, sf_dir)).select("file", *names)
 
 
+def _manifests(spark, sf_dir):
+    rows = _classified(spark, sf_dir).withColumn("bytes", F.octet_length(F.concat("pre", "ngram", "post")) + 1)
+    found = assemble.articles(classify.fragments(rows.where("status = 'selected'").drop("status", "reasons"), QUARANTINE), QUARANTINE, source=["file"])
+    return counters.file_manifest(rows, export.bodies(found, ["file"]))
+
+
+_COUNTED = """count(*) AS lines, count_if(type = 1) AS type1, count_if(type = 2) AS type2, count_if(status = 'type1_skipped') AS type1_skipped, count_if(status = 'type2_skipped') AS type2_skipped,
+  count_if(status = 'other_type') AS other_type_skipped, count_if(status = 'language_filtered') AS filtered, count_if(status = 'selected') AS selected_fragments, count_if(status = 'quarantined') AS quarantined_metadata_records,
+  count(DISTINCT (url, date, lang)) FILTER (WHERE status = 'selected') AS articles, count(DISTINCT (url, date, lang)) FILTER (WHERE status = 'selected') AS type1_articles"""
+_BYTES = "sum(strlen(pre || ngram || post) + 1)::BIGINT AS expanded_bytes, 0::BIGINT AS type2_articles, 0::BIGINT AS ambiguous_articles, 0::BIGINT AS best_effort_articles, 0::BIGINT AS position_only_joins"
+_FILES = f"(SELECT c.*, d.lang || '.json' AS file, doc_id FROM ({_CLASSIFIED}) c JOIN (SELECT 'https://' || source || '.example.com/doc/' || doc_id AS origin, lang, doc_id FROM documents) d USING (origin))"
+
+
+@_query(f"SELECT file, {_COUNTED}, {_BYTES} FROM {_FILES} GROUP BY file")
+def file_manifests(spark, sf_dir):
+    """All counters of each file but the two on fragments that were not merged, which only the kernel can tell."""
+    return _manifests(spark, sf_dir).drop("articles_with_unmerged", "unmerged_fragments")
+
+
+@_query(f"SELECT count(DISTINCT file) AS completed, 0::BIGINT AS missing, 0::BIGINT AS failed, {_COUNTED}, {_BYTES} FROM {_FILES}")
+def run_summary(spark, sf_dir):
+    return counters.run_summary(_manifests(spark, sf_dir)).drop("articles_with_unmerged", "unmerged_fragments")
+
+
 @_query(f"""SELECT url, line_no, CASE WHEN pos < 20 THEN 'menu ' || ngram ELSE 'menu / ' || ngram END AS text FROM ({X.RECORDS_SQL}) WHERE length(ngram) > 8""")
 def artifact_strip(spark, sf_dir):
     rows = X.records(spark, sf_dir).where(F.char_length("ngram") > 8)
@@ -616,3 +640,23 @@ def stream_minutes(spark, sf_dir):
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
     stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/data").groupBy("minute").agg(F.sum("n").alias("n"))
+
+
+@_query(f"""SELECT '2025031600' || lpad((doc_id % 40)::VARCHAR, 2, '0') || '00' AS minute, {_COUNTED}, count_if(status = 'quarantined') AS refused,
+  count(DISTINCT (url, date, lang)) FILTER (WHERE status = 'selected') AS published FROM {_FILES} GROUP BY 1""")
+def stream_articles(spark, sf_dir):
+    """Records of all documents as 40 minute files, streamed through the job's sink; counters as committed, and what published rows and quarantine hold."""
+    from fragloom.streaming import job
+
+    source, out = scratch_path(spark, "minutes"), scratch_path(spark, "job")
+    rows = X.records(spark, sf_dir)
+    minute = F.concat(F.lit("2025031600"), F.lpad((F.regexp_extract("url", r"(\d+)$", 1).cast("long") % 40).cast("string"), 2, "0"), F.lit("00"))
+    rows = X.damaged(rows.withColumn("minute", minute)).drop("line_no")
+    rows.repartition("minute").write.partitionBy("minute").json(source)
+    job.run(spark, source, out, QUARANTINE).awaitTermination()
+    log = job.CommitLog(spark, out)
+    published = log.committed().groupBy(F.col("metadata.source_minute").alias("minute")).agg(F.count("*").alias("published"))
+    refused = log.quarantined().groupBy(minutes.source_minute(F.col("file")).alias("minute")).agg(F.count("*").alias("refused"))
+    found = log.manifests().withColumnRenamed("source_minute", "minute").join(published, "minute", "left").join(refused, "minute", "left")
+    names = [c for c in counters.OF_RECORDS if c != "expanded_bytes"] + ["articles", "type1_articles"]
+    return found.select("minute", *names, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("refused", "published")])

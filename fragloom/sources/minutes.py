@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,8 +29,9 @@ def read_minutes(spark: SparkSession, *path: str, number: bool = True) -> DataFr
 
 
 def source_minute(file: Column) -> Column:
-    """The 14 digits that begin a minute file's name."""
-    return F.regexp_extract(file, r"(\d{14})[^/]*$", 1)
+    """The 14 digits of a minute file's name; without them, those of its folder, where that is named minute=..."""
+    own = F.nullif(F.regexp_extract(file, r"(\d{14})[^/]*$", 1), F.lit(""))
+    return F.coalesce(own, F.regexp_extract(file, r"/minute=(\d{14})/[^/]*$", 1))
 
 
 def blank(value: Column) -> Column:
@@ -96,11 +98,22 @@ def missing_minutes(calendar: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def files_between(spark: SparkSession, folder: str, start: str, end: str) -> dict[str, str]:
-    """Minute and path of the minute files of a range, by name only; their number is bounded by the range."""
+    """Minute and path of the minute files of a range, by name only: in the folder itself and in its day folders YYYY/MM/DD.
+
+    Of the day folders only those of the range are listed, so the listing is
+    bounded by the range and not by all that was ever collected.
+    """
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    names = [s.getPath() for s in path.getFileSystem(hadoop).listStatus(path)]
-    found = {m[1]: str(p.toString()) for p in names if (m := re.match(r"(\d{14})[^/]*\.json", p.getName()))}
+    first, last = (datetime.strptime(x[:8], "%Y%m%d") for x in (start, end))
+    days = [f"{folder.rstrip('/')}/{first + timedelta(days=k):%Y/%m/%d}" for k in range((last - first).days + 1)]
+    found = {}
+    for place in [folder, *days]:
+        path = jvm.org.apache.hadoop.fs.Path(place)
+        files = path.getFileSystem(hadoop)
+        if place == folder or files.exists(path):
+            for p in (s.getPath() for s in files.listStatus(path) if s.isFile()):
+                if m := re.match(r"(\d{14})[^/]*\.json(\.gz)?$", p.getName()):
+                    found.setdefault(m[1], str(p.toString()))
     return {m: p for m, p in found.items() if start <= m <= end}
 
 

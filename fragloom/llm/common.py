@@ -53,6 +53,14 @@ def discard(*frames: DataFrame) -> None:
 BROADCAST_ROWS = 300_000
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sent_if_few(df: DataFrame) -> DataFrame:
     """df, to be sent to all tasks if its rows, counted, are at most BROADCAST_ROWS; df must be materialized and narrow."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -107,12 +107,15 @@ def with_next(raw: DataFrame, key: str, derive: Callable[[DataFrame], DataFrame]
     first. Keys are cut into ranges of about RANGE_BYTES of text by approximate
     quantiles; each range also gets a copy of the first row of the next range
     that has any, so one shuffle of the rows suffices, and ranges are worked on
-    apart. A column of derive(raw) named next is left out; those named _to, _head,
+    apart. The key is a whole number; other types, whose quantiles would not
+    follow their order, are refused. A column of derive(raw) named next is left out; those named _to, _head,
     _part, _row or _copy are refused.
     """
     spark, rows = raw.sparkSession, derive(raw)
     if taken := {"_to", "_head", "_part", "_row", "_copy"} & set(rows.columns):
         raise ValueError(f"columns are named {sorted(taken)}")
+    if (kind := dict(raw.dtypes)[key]) not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"{key} is {kind}, not a whole number")
     columns = [c for c in rows.columns if c not in (key, "next")]
     texts = [F.octet_length(c).cast("long") for c, kind in raw.dtypes if kind == "string"]
     total = raw.agg(F.sum(sum(texts, F.lit(8)))).first()[0] or 0

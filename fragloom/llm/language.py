@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import discard, held_out, materialize, read, ready_for_python
+from fragloom.llm.common import discard, fresh, held_out, materialize, read, ready_for_python
 from fragloom.llm.vectext import buffers, lists
 
 BITS = 16
@@ -27,7 +27,12 @@ ALPHA, BETA, L1, L2, EPOCHS = 0.4, 1.0, 0.02, 0.001, 3
 #: Table entries that are gathered at once.
 WINDOW = 1 << 22
 UNDETERMINED = "und"
-_letter = re.compile(r"[^\W\d_]").search
+_LETTERLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter; numerals such as ½ or Ⅷ, which word patterns take for letters too, are none."""
+    return any(m[0].isalpha() for m in _LETTERLIKE.finditer(text or ""))
 
 
 def characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +230,7 @@ def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
     ready_for_python(docs.sparkSession)
 
     def run(texts: pa.Array) -> pa.Array:
-        lettered = np.array([bool(x and _letter(x)) for x in texts.to_pylist()], bool)
+        lettered = np.array([has_letter(x) for x in texts.to_pylist()], bool)
         if model is None or not len(lettered):
             return pa.StructArray.from_arrays([pa.array([UNDETERMINED] * len(lettered), pa.string()), pa.array(np.zeros(len(lettered)))], ["lang", "score"])
         p = _softmax(model.logits(texts))
@@ -233,8 +238,9 @@ def identify(docs: DataFrame, model: Model | None, *, text: str = "text") -> Dat
         best = np.where(lettered, p.argmax(1), len(model.languages))
         return pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(np.where(lettered, p.max(1), 0.0))], ["lang", "score"])
 
-    out = docs.drop("lang_pred", "score").withColumn("_l", F.arrow_udf(run, "struct<lang:string,score:double>").asNondeterministic()(text))
-    return out.select("*", F.col("_l.lang").alias("lang_pred"), "_l.score").drop("_l")
+    out, held = docs.drop("lang_pred", "score"), fresh(docs, "_l")
+    out = out.withColumn(held, F.arrow_udf(run, "struct<lang:string,score:double>").asNondeterministic()(text))
+    return out.select("*", F.col(f"{held}.lang").alias("lang_pred"), f"{held}.score").drop(held)
 
 
 def query(spark, sf_dir):

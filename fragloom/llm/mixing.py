@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import materialize, words
+from fragloom.llm.common import fresh, materialize, words
 
 SEED = 20240611
 #: A document is repeated at most this many times.
@@ -68,12 +68,13 @@ def assign_copies(docs: DataFrame, *, text: str = "text", source: str = "source"
     source is split by adaptive execution.
     """
     base = docs.drop("size", "source_size", "target", "copies").withColumn("size", words(F.col(text)))
+    named = fresh(docs, "_source")
     sizes = base.groupBy(F.col(source).alias("_source")).agg(F.sum("size").alias("source_size"))
     ranked = materialize(ranked_sources(sizes, "_source"), "mix-ranked")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights)).cast("int") + 1)
     targets = fill_targets(ranked.withColumn("_weight", weight), "source_size", "_weight", max_rate)
-    targets = targets.select("_source", "source_size", "target")
-    joined = base.join(targets, F.col(source).eqNullSafe(F.col("_source"))).drop("_source")
+    targets = targets.select(F.col("_source").alias(named), "source_size", "target")
+    joined = base.join(targets, F.col(source).eqNullSafe(F.col(named))).drop(named)
     rate = F.least(F.lit(max_rate), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     draw = _unit(F.col(doc_id), F.col(text), seed=seed) < rate - F.floor(rate)
     return joined.withColumn("copies", F.floor(rate) + draw.cast("long"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import discard, held_out, materialize, read, ready_for_python
+from fragloom.llm.common import discard, fresh, held_out, materialize, read, ready_for_python
 from fragloom.llm.vectext import PLAIN, buffers, lists, prefixes, tokens
 
 #: Labelled texts that are fitted on, at most; those with the smallest hashes of id and text.
@@ -237,8 +237,9 @@ def score_column(text, model: Model | None):
 def score_toxicity(docs: DataFrame, model, *, text: str = "text") -> DataFrame:
     """docs with score, predicted and offending, which replace columns of these names. Null texts and texts without words score 0; no shuffle."""
     ready_for_python(docs.sparkSession)
-    out = docs.drop("score", "predicted", "offending").withColumn("_t", score_column(F.col(text), model))
-    return out.select("*", "_t.score", (F.col("_t.score") >= 0.5).cast("int").alias("predicted"), "_t.offending").drop("_t")
+    out, held_ = docs.drop("score", "predicted", "offending"), fresh(docs, "_t")
+    out = out.withColumn(held_, score_column(F.col(text), model))
+    return out.select("*", f"{held_}.score", (F.col(f"{held_}.score") >= 0.5).cast("int").alias("predicted"), f"{held_}.offending").drop(held_)
 
 
 def query(spark, sf_dir):

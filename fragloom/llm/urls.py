@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fragloom.llm.common import read, ready_for_python
+from fragloom.llm.common import fresh, read, ready_for_python
 from fragloom.llm.vectext import buffers
 
 #: The symbols; beside them there are the beginning, 0, and any other character, 1.
@@ -156,11 +156,12 @@ def filter_urls(pages: DataFrame, *, url: str = "url", rules: list[tuple[str, st
     """
     ready_for_python(pages.sparkSession)
     parts = pages.drop("host", "path", "rule", "score", "verdict").withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    parts = parts.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    model = train(parts.where("_rule is not null").select(F.col(url).alias("url"), F.col("_rule.verdict").alias("verdict")))
+    own = fresh(pages, "_rule")
+    parts = parts.withColumn(own, rule_of(F.col("host"), F.col("path"), rules))
+    model = train(parts.where(F.col(own).isNotNull()).select(F.col(url).alias("url"), F.col(f"{own}.verdict").alias("verdict")))
     judged = parts.withColumn("score", score_column(F.col(url), model.table))
-    verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= model.threshold, "allow").otherwise("block"))
-    return judged.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", verdict).drop("_rule")
+    verdict = F.coalesce(F.col(f"{own}.verdict"), F.when(F.col("score") >= model.threshold, "allow").otherwise("block"))
+    return judged.withColumn("rule", F.col(f"{own}.rule")).withColumn("verdict", verdict).drop(own)
 
 
 def query(spark, sf_dir):

@@ -1,0 +1,86 @@
+"""Committed windows become shards of a size, with all rows, through one swap; retries outlive a process."""
+
+import json
+import time
+from datetime import UTC, datetime
+
+import pytest
+
+from fragloom.settings import Settings
+from fragloom.streaming import job, shards
+from fragloom.streaming import planner as P
+
+GOOD = {"date": "2025-03-16T00:01:00Z", "url": "", "lang": "en", "type": 1, "pos": 0, "pre": "a", "ngram": "b", "post": "c d"}
+SETTINGS = Settings(types=(1,), quarantine_invalid_metadata=True)
+
+
+def _stream(spark, tmp_path, n, per_batch):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir(exist_ok=True)
+    for k in range(n):
+        rows = [{**GOOD, "url": f"https://x.org/{k}"}] + ([GOOD] if k % 3 == 0 else [])
+        (source / f"2025031600{k:02d}00.json").write_text("\n".join(map(json.dumps, rows)) + "\n")
+    job.run(spark, str(source), root, SETTINGS, per_batch=per_batch).awaitTermination()
+    return root, job.CommitLog(spark, root)
+
+
+def _rows(log):
+    return sorted((r["observation_id"], r["source_url"]) for r in log.committed().collect()), sorted((r["file"], r["source_line"]) for r in log.quarantined().collect()), log.summary().first().asDict()
+
+
+def test_windows_are_packed_in_order():
+    w = [shards.Window(k, f"2025031600{k:02d}00", f"2025031600{k:02d}00", 10, f"d{k}") for k in (3, 0, 1, 2, 4)]
+    entries = lambda s: [[x.entry for x in p] for p in s]
+    assert entries(shards.packed(w, 20)) == [[0, 1], [2, 3]]
+    assert entries(shards.packed(w, 1)) == [[0], [1], [2], [3], [4]]
+    assert entries(shards.packed(w, 1000)) == [] and entries(shards.packed([], 1)) == []
+    assert entries(shards.packed(w, 1000, last="20250316000400")) == [[0, 1, 2, 3, 4]]
+    assert entries(shards.packed(w, 1000, free=5, reserve=6)) == [[0], [1], [2], [3], [4]]
+
+
+def test_small_windows_end_in_shards(spark, tmp_path, monkeypatch):
+    root, log = _stream(spark, tmp_path, 12, 3)
+    before, sizes = _rows(log), sorted((w.start, w.bytes) for w in shards.windows(log))
+    assert len(sizes) == 4
+    with pytest.raises(shards.StorageFull):
+        shards.seal(spark, root, 1, maximum_gb=1e-6)
+    with monkeypatch.context() as m:  # a crash between the data and the swap: readers see what they saw
+        m.setattr(job.CommitLog, "seal", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError, match="crash"):
+            shards.seal(spark, root, sizes[0][1] + 1)
+    assert _rows(log) == before and log.current().count() == 4
+    assert shards.seal(spark, root, sizes[0][1] + 1) == [1, 2]
+    assert _rows(log) == before
+    assert [(r["entry"], r["replaces"]) for r in log.current().orderBy("entry").collect()] == [(1, [0, 1]), (2, [2, 3])]
+    assert shards.seal(spark, root, 1) == [] and log.verify() == []
+    assert shards.vacuum(spark, root, time.time() - 3600) == []
+    assert shards.vacuum(spark, root, time.time() + 1) == [f"data/batch={k:09d}" for k in range(4)]
+    assert _rows(log) == before
+    root, log = _stream(spark, tmp_path, 14, 3)  # the stream goes on after its batches were sealed
+    assert log.committed().count() == 14 and [w.entry for w in shards.windows(log)] == [4]
+
+
+def test_a_damaged_shard_gives_its_windows_back(spark, tmp_path):
+    root, log = _stream(spark, tmp_path, 4, 2)
+    before = _rows(log)
+    assert shards.seal(spark, root, 1 << 40, last="20250316000300") == [1]
+    part = next((tmp_path / "out" / "shards" / "seal=000000001" / "files").glob("*.parquet"))
+    part.write_bytes(part.read_bytes() + b"x")
+    (part.parent / f".{part.name}.crc").unlink()
+    assert log.verify() == [1] and _rows(log) == before and len(shards.windows(log)) == 2
+
+
+def test_retries_outlive_a_process(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "20250316000100.json").write_text(json.dumps({**GOOD, "url": "https://x.org/1"}) + "\n")
+    now = datetime(2025, 3, 16, 0, 3, 5, tzinfo=UTC).timestamp()
+    lanes = job.Lanes(spark, str(tmp_path / "in"), str(tmp_path / "out"), "20250316000000", SETTINGS)
+    assert lanes.step(now).lane == "live"
+    assert lanes.step(now + 31).lane == "repair" and lanes.step(now + 32).lane == "repair"
+    later = job.Lanes(spark, str(tmp_path / "in"), str(tmp_path / "out"), "20250316000000", SETTINGS)
+    assert (later.checks, later.attempts) == (lanes.checks, lanes.attempts) and set(later.attempts.values()) == {2}
+    assert later.step(now + 33) is None  # both wait for their longer delay
+    much = now + 25 * 3600
+    later._remember(much)
+    assert later.checks == {} and job.CommitLog(spark, str(tmp_path / "out")).remembered("retries") == {"checks": {}, "attempts": {}}
+    assert P.repair_delay(2) == 60

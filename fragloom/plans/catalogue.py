@@ -13,7 +13,7 @@ from fragloom.operators import assemble, audit, classify, counters, enrich, expo
 from fragloom.plans import fixtures as X
 from fragloom.settings import Settings
 from fragloom.sources import metadata as sources
-from fragloom.sources import minutes
+from fragloom.sources import exports, minutes
 from fragloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,6 +391,16 @@ def packed_roundtrip(spark, sf_dir):
     return export.unpacked(export.packed(docs, texts), texts).select("doc_id", "source", "lang", F.sha2("text", 256).alias("sha256"))
 
 
+@_query(f"""SELECT url, row_number() OVER (ORDER BY url, observed_at, lang, type) AS id, observed_at, lang, fragments, assembly, position_joins, bounded_fallback, search, length(text)::INT AS chars, sha256(text) AS text_sha256 FROM ({X.OBSERVATIONS_SQL})""")
+def observation_files(spark, sf_dir):
+    """Observations written as an export of JSON lines in order of their id, checked against its report, and read again."""
+    path = scratch_path(spark, "export")
+    rows = export.numbered(X.observations(spark, sf_dir), [])
+    exports.write_observations(rows, path, {"schema": "observations", "completeness": "not_verified"})
+    _, back = exports.read_observations(spark, path)
+    return back.select("url", "id", "observed_at", "lang", "fragments", "assembly", "position_joins", "bounded_fallback", "search", F.length("text").alias("chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @_query(f"""SELECT source, count(*) AS observations, count_if(type = 1) AS type1, count_if(type = 2) AS type2, count(DISTINCT text) AS unique_texts, count_if(assembly = 'estimated') AS estimated,
   sum(position_joins)::BIGINT AS joins, count_if(bounded_fallback) AS bounded FROM ({X.OBSERVATIONS_SQL}) GROUP BY source""")
 def export_report(spark, sf_dir):

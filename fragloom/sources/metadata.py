@@ -21,7 +21,7 @@ FIELDS = 27
 MAX_EXPANDED, MAX_LINE = 512 << 20, 8 << 20
 
 
-def with_header(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def with_header(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """Lines of files whose first line is a header object: the headers and the rows."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), "value")
     lines = lines.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("_b", "_i")))

@@ -123,3 +123,27 @@ def test_chains_place_every_fragment_once(spark):
         w = r["text"].split(" ")
         assert texts[(r["url"], r["chain_pos"], r["chain_line"])][r["start"] : r["start"] + len(w)] == w
     assert sorted(" ".join(t) for (u, *_), t in texts.items() if u == "u1") == ["q y z", "x y"]
+
+
+def test_uncontained_like_searching_every_body(spark):
+    """Runs of words, fragments that begin within a word or cross a paragraph, repeated ones, graphemes, groups without body, nulls."""
+    from fragloom.operators import audit
+
+    rnd, bodies, rows = random.Random(5), [], []
+    for g in range(6):
+        paragraphs = [" ".join(rnd.choice(["aa", "ab", "b", "caa", "é"]) for _ in range(rnd.randrange(1, 30))) for _ in range(3)]
+        kind = 1 if g % 3 else 2
+        bodies.append((f"u{g}", "d", "en", kind, "\n\n".join(paragraphs)))
+        whole = bodies[-1][4]
+        for i in range(60):
+            at = rnd.randrange(len(whole))
+            text = whole[at : at + rnd.randrange(1, 25)] if i % 2 else " ".join(rnd.choice(["aa", "ab", "b", "caa", "é"]) for _ in range(rnd.randrange(1, 4)))
+            rows += [(f"u{g}", "d", "en", kind, i, text)] * rnd.choice([1, 1, 3])
+    rows += [("none", "d", "en", 1, 0, "aa"), (None, "d", "en", 1, 0, "aa"), ("u1", "d", "en", 1, 99, None), ("u1", "d", "en", 1, 98, "")]
+    fragments = spark.createDataFrame(rows, "url string, date string, lang string, type smallint, line_no long, text string").repartition(3)
+    observations = spark.createDataFrame(bodies, "url string, observed_at string, lang string, type smallint, text string")
+    body = {(u, k): t for u, _, _, k, t in bodies}
+    want = sorted([r for r in rows if r[5] is None or (r[0], r[3]) not in body or r[5] not in body[(r[0], r[3])]], key=repr)
+    got = audit.uncontained(fragments, observations)
+    assert got.columns == fragments.columns and sorted([tuple(r) for r in got.collect()], key=repr) == want and 20 < len(want) < len(rows)
+    assert audit.uncontained(fragments, observations.limit(0)).count() == len(rows) and audit.uncontained(fragments.limit(0), observations).count() == 0

@@ -103,9 +103,10 @@ def graph_records(lines: DataFrame, iso: Column) -> DataFrame:
 
 
 def dataset_stats(lines: DataFrame, matched: DataFrame) -> DataFrame:
-    """rows, malformed, utf8_replacement by source, with the matched ones."""
-    size = F.size(F.split("value", "\t", -1))
-    base = lines.groupBy("source").agg(F.count("*").alias("rows"), F.count_if(size != FIELDS).alias("malformed_rows"), F.count_if("replaced").alias("utf8_replacement_rows"))
+    """rows, malformed (another number of fields, or a web record without a time), utf8_replacement by source, with the matched ones."""
+    f = F.split("value", "\t", -1)
+    malformed = (F.size(f) != FIELDS) | ((F.get(f, F.lit(2)) == "1") & timestamp(F.get(f, F.lit(1))).isNull())
+    base = lines.groupBy("source").agg(F.count("*").alias("rows"), F.count_if(malformed).alias("malformed_rows"), F.count_if("replaced").alias("utf8_replacement_rows"))
     hits = matched.groupBy("source").agg(F.count("*").alias("matched_rows"))
     return base.join(hits, "source", "left").fillna(0, ["matched_rows"])
 

@@ -289,6 +289,13 @@ def canonical_urls(spark, sf_dir):
     return X.table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("url"))
 
 
+@_query("""SELECT page_id, 'https://x.org/?' || CASE page_id % 3 WHEN 0 THEN 'A=~a&b=1' WHEN 1 THEN 'A=%C3%A9+x&q=' ELSE 'a=%25zz&a=%2A' END AS url FROM pages""")
+def decoded_urls(spark, sf_dir):
+    """Parameters that are escaped without need, or not where they should be, in another order for each page."""
+    query = F.when(F.col("page_id") % 3 == 0, "b=1&%41=%7Ea&utm_source=x").when(F.col("page_id") % 3 == 1, "q&%41=é%20x").otherwise("a=*&a=%zz")
+    return X.table(spark, sf_dir, "pages").select("page_id", urls.canonical_url(F.concat(F.lit("https://X.org?"), query)).alias("url"))
+
+
 @_query(f"SELECT page_id, CASE WHEN h LIKE '%.example.com' THEN regexp_extract(h, '[^.]+\\.example\\.com$') ELSE regexp_extract(h, '[^.]+\\.[^.]+$') END AS registrable FROM (SELECT page_id, {_HOST} AS h FROM pages)")
 def registrable_domains(spark, sf_dir):
     X.ship(spark)
@@ -522,6 +529,12 @@ def language_names(spark, sf_dir):
     return X.table(spark, sf_dir, "documents").select("doc_id", metadata.normalize_language(F.col("lang")).alias("language"))
 
 
+@_query("SELECT doc_id, CASE lang WHEN 'en' THEN 'Haitian-Creole' WHEN 'fr' THEN 'O''Neil X' WHEN 'de' THEN 'Old Norse 2Nd' ELSE 'Unknown' END AS language FROM documents")
+def titled_languages(spark, sf_dir):
+    code = F.when(F.col("lang") == "en", "haitian-creole").when(F.col("lang") == "fr", "o'NEIL_x").when(F.col("lang") == "de", "old norse 2nd").otherwise("und")
+    return X.table(spark, sf_dir, "documents").select("doc_id", metadata.normalize_language(code).alias("language"))
+
+
 @_query("SELECT event_id, value AS number, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM events")
 def numbers_and_times(spark, sf_dir):
     rows = X.table(spark, sf_dir, "events").withColumn("_s", F.date_format("ts", "yyyyMMddHHmmss"))
@@ -550,6 +563,21 @@ def graph_records(spark, sf_dir):
                     F.element_at("measures", "wc").alias("wc"), F.array_join(F.transform("amounts", lambda a: a["object"]), "|").alias("object"), "title")
 
 
+@_query("""SELECT doc_id::VARCHAR AS record_id, 'café x ' || source || '|a&amp|b' AS counts, 'Ö & ' || source AS names, 'say' || chr(233) AS verb, '<' || source || '>' AS said, 'big "dogs"' AS object FROM documents WHERE lang = 'en'""")
+def graph_entities(spark, sf_dir):
+    """Entities of every kind in the items of lists; records whose time is none are left out."""
+    X.ship(spark)
+    fields = [F.lit("")] * 27
+    fields[0], fields[1], fields[2], fields[4] = F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", "20250316001500").otherwise("soon"), F.lit("1"), X._url()
+    fields[6] = F.concat(F.lit("caf&eacute &nbsp  x "), F.col("source"), F.lit(";a&ampamp;b"))
+    fields[22], fields[23] = F.concat(F.lit("1|2|say&eacute;|&lt;"), F.col("source"), F.lit("&gt;")), F.concat(F.lit("&Ouml &amp "), F.col("source"), F.lit(",5"))
+    fields[24] = F.lit("3,big &quotdogs&quot,12")
+    lines = X.table(spark, sf_dir, "documents").select(F.lit("s").alias("source"), F.concat_ws("\t", *fields).alias("value"), F.lit(False).alias("replaced"))
+    g = sources.graph_records(lines, _map(ISO))
+    first = lambda c, n: F.element_at(c, 1)[n]
+    return g.select("record_id", F.array_join("counts", "|").alias("counts"), F.array_join("all_names", "|").alias("names"), first("quotations", "verb").alias("verb"), first("quotations", "text").alias("said"), first("amounts", "object").alias("object"))
+
+
 @_query("SELECT source, count(*) AS rows, 0::BIGINT AS malformed_rows, 0::BIGINT AS utf8_replacement_rows, count_if(lang <> 'es') AS matched_rows FROM documents GROUP BY source")
 def dataset_stats(spark, sf_dir):
     X.ship(spark)

@@ -6,12 +6,13 @@ import io
 import zipfile
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fragloom.functions.metadata import parse_graph, parse_page, parse_tags, timestamp
 from fragloom.functions.shipping import ship
 from fragloom.functions.urls import idna_host
+from fragloom.sources.minutes import numbered_lines, scanned
 
 PAGE = "url string, title string, desc string, outletName string, domain string, author string, lang string, date string"
 TAGS = "url string, title string, lang string, date string, metatags array<struct<key:string,value:string>>"
@@ -23,8 +24,7 @@ MAX_EXPANDED, MAX_LINE = 512 << 20, 8 << 20
 
 def with_header(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """Lines of files whose first line is a header object: the headers and the rows."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), "value")
-    lines = lines.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("_b", "_i")))
+    lines = numbered_lines(scanned(spark.read.text(path)))
     head = lines.where("line_no = 1").select("file", F.get_json_object("value", "$.meta").alias("meta"))
     rows = lines.where("line_no > 1").select("file", "line_no", F.from_json("value", schema).alias("r")).select("file", "line_no", "r.*")
     return head, rows
@@ -32,8 +32,7 @@ def with_header(spark: SparkSession, path: str | list[str], schema: str) -> tupl
 
 def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """file, line_no, r (null where the line can't be parsed) of JSON lines; malformed lines are counted, not fatal."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), "value")
-    lines = lines.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("_b", "_i")).cast("long"))
+    lines = numbered_lines(scanned(spark.read.text(path)))
     parsed = F.when(F.expr("try_parse_json(value)").isNotNull() & (F.octet_length("value") <= MAX_LINE), F.from_json("value", schema))
     return lines.select("file", "line_no", parsed.alias("r"))
 

@@ -12,20 +12,37 @@ STRINGS, BYTES = ("date", "url", "lang", "pre", "ngram", "post"), ("type", "pos"
 FIRST_MINUTE = "20200101000000"
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """lines with line_no, from 1, in each file. lines: file, _block (where the split begins), _id (monotonically_increasing_id over the scan), and more.
+
+    Rows of a split follow each other in a task, so a line's number is its id
+    less the split's first one, plus the lines of the splits before: one row a
+    split is aggregated, and no line is sorted or sent to another task.
+    """
+    blocks = lines.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    shift = blocks.select("file", "_block", (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return lines.join(shift, ["file", "_block"]).withColumn("line_no", F.col("_id") + F.col("_shift")).drop("_block", "_id", "_shift")
+
+
+def scanned(lines: DataFrame) -> DataFrame:
+    """file, _block, _id, value of a text scan, as numbered_lines takes them."""
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
+
+
 def read_minutes(spark: SparkSession, *path: str, number: bool = True) -> DataFrame:
     """file, line_no (from 1, blank lines too), value of every line of .json and .json.gz files: those named, or all right in a folder.
 
     Multi-member gzip files are read whole; a truncated one fails the job. An
     empty folder is an error. number=False leaves line_no out, and with it the
-    one shuffle by file.
+    second scan that counts the lines of splits.
     """
     lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.json*").text(list(path))
     if not lines.inputFiles():
         raise FileNotFoundError(f"no .json or .json.gz file in {', '.join(path)}")
-    base = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
     if not number:
-        return base.select("file", "value")
-    return base.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("_block", "_id")).cast("long")).select("file", "line_no", "value")
+        return lines.select(F.col("_metadata.file_path").alias("file"), "value")
+    return numbered_lines(scanned(lines)).select("file", "line_no", "value")
 
 
 def source_minute(file: Column) -> Column:

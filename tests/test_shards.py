@@ -1,6 +1,7 @@
 """Committed windows become shards of a size, with all rows, through one swap; retries outlive a process."""
 
 import json
+import os
 import time
 from datetime import UTC, datetime
 
@@ -19,7 +20,9 @@ def _stream(spark, tmp_path, n, per_batch):
     source.mkdir(exist_ok=True)
     for k in range(n):
         rows = [{**GOOD, "url": f"https://x.org/{k}"}] + ([GOOD] if k % 3 == 0 else [])
-        (source / f"2025031600{k:02d}00.json").write_text("\n".join(map(json.dumps, rows)) + "\n")
+        file = source / f"2025031600{k:02d}00.json"
+        file.write_text("\n".join(map(json.dumps, rows)) + "\n")
+        os.utime(file, (1_750_000_000 + k, 1_750_000_000 + k))  # streams take files by age
     job.run(spark, str(source), root, SETTINGS, per_batch=per_batch).awaitTermination()
     return root, job.CommitLog(spark, root)
 

@@ -486,8 +486,7 @@ def medians(spark, sf_dir):
 
 @_query("SELECT event_id, value FROM events ORDER BY value DESC, event_id DESC LIMIT 10")
 def slowest(spark, sf_dir):
-    rows = X.table(spark, sf_dir, "events").select("event_id", "value")
-    return rows.orderBy(F.desc("value"), F.desc("event_id")).limit(10)
+    return audit.slowest(X.table(spark, sf_dir, "events").select("event_id", "value"), 10, "value", ["event_id"])
 
 
 # --- metadata
@@ -541,6 +540,48 @@ def numbers_and_times(spark, sf_dir):
     return rows.select("event_id", metadata.number(F.col("value").cast("string")).alias("number"), minutes.stamp(metadata.timestamp(F.col("_s"))).alias("stamp"))
 
 
+def _json_lines(spark, sf_dir, name, *columns):
+    """Lines of a metadata set, written: objects of the columns, but for Spanish documents, whose lines break off."""
+    path = scratch_path(spark, name)
+    docs = X.table(spark, sf_dir, "documents").select("doc_id", "source", "lang", X._url().alias("_url"))
+    whole = F.to_json(F.struct(*columns))
+    docs.select(F.when(F.col("lang") == "es", F.left(whole, F.lit(40))).otherwise(whole).alias("value")).write.text(path)
+    return path
+
+
+_SET = "SELECT 'https://' || source || '.example.com/doc/' || doc_id AS url, * FROM documents WHERE lang <> 'es'"
+_TAG = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
+
+
+@_query(f"SELECT url, 'A & ' || source AS title, source AS outlet, CASE lang WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' ELSE 'English' END AS language FROM ({_SET})")
+def page_metadata(spark, sf_dir):
+    c = F.concat
+    path = _json_lines(spark, sf_dir, "pages", F.col("_url").alias("url"), c(F.lit(" A  &amp; "), "source").alias("title"), F.lit("").alias("desc"), F.col("source").alias("domain"), F.col("lang").alias("lang"), F.lit("2025").alias("date"))
+    return sources.page_records(spark, path).select("url", "title", "outlet", "language")
+
+
+@_query(f"SELECT url, source AS title, 'said' AS description, 'og' AS field FROM ({_SET})")
+def tag_metadata(spark, sf_dir):
+    tags = F.array(_TAG("OG:Title", F.col("source")), _TAG("description", F.lit("said")), _TAG("date", F.lit("no time")), _TAG("article:published_time", F.lit("2025-03-16T00:00:00Z")))
+    path = _json_lines(spark, sf_dir, "tags", F.col("_url").alias("url"), F.lit("").alias("title"), F.col("lang").alias("lang"), F.lit("20250316001500").alias("date"), tags.alias("metatags"))
+    found = sources.tag_records(spark, path)
+    return found.select("url", "title", "description", F.when(F.col("published.field") == "article:published_time", "og").alias("field"))
+
+
+@_query(f"SELECT url, source || '.example.com' AS host, CASE lang WHEN 'fr' THEN 'FR' WHEN 'de' THEN 'GM' END AS domain_code, 'FR' AS place_code FROM ({_SET})")
+def place_metadata(spark, sf_dir):
+    X.ship(spark)
+    code = F.when(F.col("lang") == "fr", "fr").when(F.col("lang") == "de", "GM").otherwise("XX")
+    path = _json_lines(spark, sf_dir, "places", F.col("_url").alias("URL"), F.lit("20250316001500").alias("DateTime"), code.alias("DomainCountryCode"), F.lit("FR").alias("CountryCode"))
+    return sources.place_records(spark, path, _map(ISO)).select("url", "host", "domain_code", "place_code")
+
+
+@_query("SELECT count(*) AS rows, count_if(lang = 'es') AS malformed_rows FROM documents")
+def json_set_stats(spark, sf_dir):
+    path = _json_lines(spark, sf_dir, "pages", F.col("_url").alias("url"), F.col("source").alias("title"))
+    return sources.json_stats(sources.json_rows(spark, path, sources.PAGE)).agg(F.sum("rows").alias("rows"), F.sum("malformed_rows").alias("malformed_rows"))
+
+
 def _graph_lines(spark, sf_dir):
     docs = X.table(spark, sf_dir, "documents")
     fields = [F.lit("")] * 27

@@ -37,20 +37,28 @@ def json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.select("file", "line_no", parsed.alias("r"))
 
 
+def json_stats(rows: DataFrame) -> DataFrame:
+    """rows and malformed_rows of JSON lines as json_rows gives them, by file."""
+    return rows.groupBy("file").agg(F.count("*").alias("rows"), F.count_if(F.col("r").isNull()).alias("malformed_rows"))
+
+
 def page_records(spark: SparkSession, path: str) -> DataFrame:
     """url, line_no and the fields of page records."""
+    ship(spark)
     rows = json_rows(spark, path, PAGE).where(F.col("r.url").isNotNull())
     return rows.select(F.col("r.url").alias("url"), "file", "line_no", parse_page(F.col("r")).alias("p")).select("url", "file", "line_no", "p.*")
 
 
 def tag_records(spark: SparkSession, path: str) -> DataFrame:
     """url, line_no and the fields of tag records."""
+    ship(spark)
     rows = json_rows(spark, path, TAGS).where(F.col("r.url").isNotNull())
     return rows.select(F.col("r.url").alias("url"), "file", "line_no", parse_tags(F.col("r")).alias("p")).select("url", "file", "line_no", "p.*")
 
 
 def place_records(spark: SparkSession, path: str, iso: Column) -> DataFrame:
     """url, host, seen_at, domain_code (only codes that have an ISO counterpart), place_code."""
+    ship(spark)
     r = json_rows(spark, path, PLACES).where(F.col("r.URL").isNotNull())
     code = F.upper("r.DomainCountryCode")
     return r.select(
@@ -96,6 +104,7 @@ def graph_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def graph_records(lines: DataFrame, iso: Column) -> DataFrame:
     """source, replaced and the fields of records with exactly 27 fields of the web kind."""
+    ship(lines.sparkSession)
     fields = lines.select("source", "replaced", F.split("value", "\t", -1).alias("f")).where(F.size("f") == FIELDS)
     parsed = fields.select("source", "replaced", parse_graph(F.col("f"), iso).alias("g"))
     return parsed.where("g is not null").select("source", "replaced", "g.*")

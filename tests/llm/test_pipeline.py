@@ -39,7 +39,7 @@ def test_stages_take_effect(spark):
 def test_run_and_names(spark):
     assert set(corpus_pipeline.run(spark, SF).columns) == {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"}
     names = list(queries.queries())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 14))
 
 
 def test_chat_matches_its_sql(spark):
@@ -52,6 +52,19 @@ def test_chat_matches_its_sql(spark):
     assert got == sorted(c.sql(f"SELECT {', '.join(names)} FROM ({queries.oracle_sql()['op2_chat']})").fetchall())
 
 
+@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_collocations", "op13_warc"])
+def test_new_operators_match_their_sql(spark, name):
+    import duckdb
+
+    c, sf = duckdb.connect(), SF.replace("0.001", "0.01")
+    for t in ("conversations", "documents", "pages"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    found = queries.queries()[name](spark, sf)
+    want = c.sql(queries.oracle_sql()[name])
+    assert sorted(found.columns) == sorted(want.columns)
+    assert sorted(map(repr, (tuple(r) for r in found.select(*want.columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
 def test_first_document_follows_the_last(spark):
     rows = queries.queries()["op5_fingerprint"](spark, SF).agg(F.count("*").alias("n"), F.count_if(F.col("near_edited") > F.col("near_next")).alias("nearer")).first()
     assert rows["n"] == 200 and rows["nearer"] > 190

@@ -9,32 +9,40 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fragloom.llm import decontam, language, mixing, neardup, sharding
-from fragloom.llm.common import materialize, read, sent_if_few
+from fragloom.llm.common import fresh, materialize, read, sent_if_few
+
+
+def _set_aside(docs, *names):
+    """docs with its own columns of these names, which an operator would replace, renamed; and the columns that give docs back."""
+    taken = {c: fresh(docs, f"_own_{c}") for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(taken), {c: F.col(taken.get(c, c)).alias(c) for c in docs.columns}
 
 
 def language_stage(spark, docs, sf_dir):
     """Documents go that are in no language: null texts and texts without a letter. lang takes the prediction."""
-    found = language.identify(docs, language.train(docs))
-    kept = found.where(F.col("lang_pred") != language.UNDETERMINED)
-    return kept.select(*[F.col("lang_pred").alias("lang") if c == "lang" else c for c in docs.columns])
+    rows, back = _set_aside(docs, "lang_pred", "score")
+    kept = language.identify(rows, language.train(rows)).where(F.col("lang_pred") != language.UNDETERMINED)
+    return kept.select(*(back | {"lang": F.col("lang_pred").alias("lang")}).values())
 
 
 def neardup_stage(spark, docs, sf_dir):
     """One document of each group of near duplicates stays (five words, 0.8), the one with the smallest id; rows of equal id stay or go together."""
-    found = neardup.near_duplicates(docs)
-    rest = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_id")
-    return docs.join(sent_if_few(materialize(rest, "near-copies")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select(docs.columns)
+    found, own = neardup.near_duplicates(docs.select("doc_id", "text")), fresh(docs, "_id")
+    rest = found.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("_kept")).where("not _kept").select(own)
+    return docs.join(sent_if_few(materialize(rest, "near-copies")), F.col("doc_id").eqNullSafe(F.col(own)), "left_anti").select(docs.columns)
 
 
 def decontam_stage(spark, docs, sf_dir):
     """Documents go that hold a benchmark item."""
-    found = decontam.contaminated(docs, read(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hits") == 0).select(docs.columns)
+    rows, back = _set_aside(docs, "hits")
+    found = decontam.contaminated(rows, read(spark, sf_dir, "benchmark"))
+    return found.where(F.size("hits") == 0).select(*back.values())
 
 
 def mixing_stage(spark, docs, sf_dir):
     """Documents are repeated or dropped so that sources come near their targets."""
-    return mixing.mix(docs).select(docs.columns)
+    rows, back = _set_aside(docs, "size", "source_size", "target", "copies", "copy")
+    return mixing.mix(rows).select(*back.values())
 
 
 def sharding_stage(spark, docs, sf_dir):

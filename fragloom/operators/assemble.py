@@ -1,16 +1,19 @@
-"""Groups of fragments to articles: one shuffle by group, then the kernels on collected arrays."""
+"""Groups of fragments to articles: one shuffle of packed runs by group, then the kernels, one group at a time."""
 
 from __future__ import annotations
 
 import contextlib
 import gc
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructType
 
 from fragloom import schema as S
 from fragloom.functions.shipping import ship
@@ -34,59 +37,117 @@ def _no_collection() -> Iterator[None]:
             gc.enable()
 
 
-def _groups(column: pa.ListArray) -> list[list[tuple[int, str]]]:
-    """(pos, text) lists of an array of structs; its children are read once, as whole columns."""
-    flat = column.flatten()
-    pos, text = flat.field("pos").to_pylist(), flat.field("text").to_pylist()
-    base, pairs = column.offsets[0].as_py(), list(zip(pos, text, strict=True))
-    at = [x - base for x in column.offsets.to_pylist()]
-    return [pairs[a:b] for a, b in zip(at, at[1:], strict=False)]
+def _groups(column: pa.ListArray) -> Iterator[list[tuple[int, str]]]:
+    """(pos, text) lists of an array of structs, one at a time."""
+    for at in range(len(column)):
+        flat = column.slice(at, 1).flatten()
+        yield list(zip(flat.field("pos").to_pylist(), flat.field("text").to_pylist(), strict=True))
+
+
+def _packed(pos: list[int], lines: list[int], texts: list[str]) -> bytes:
+    """Fragments as bytes: neighbouring windows repeat each other, so that they take a small part of their size."""
+    plain = pickle.dumps((pos, lines, texts), pickle.HIGHEST_PROTOCOL)
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
+
+
+def _unpacked(runs: Iterable[bytes]) -> list[tuple[int, int, str]]:
+    """(pos, line_no, text) of the packed runs of a group, in order."""
+    out = []
+    for run in runs:
+        out += zip(*pickle.loads(pa.decompress(run[8:], int.from_bytes(run[:8], "little"), "zstd", asbytes=True)), strict=True)
+    out.sort(key=lambda f: (f[0], -1 if f[1] is None else f[1], f[2]))
+    return out
+
+
+def _pack(key: list[str], kind: pa.Schema, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for the fragments that a batch has of a group."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        new[0] = True
+        for c in key:
+            own = batch.column(c)
+            new[1:] |= pc.fill_null(pc.not_equal(own.slice(1), own.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new)
+        keys = batch.select(key).take(pa.array(starts))
+        pos, lines, texts = (batch.column(c).to_pylist() for c in ("pos", "line_no", "text"))
+        runs: dict[tuple, list[int]] = {}
+        for k, named in enumerate(zip(*[c.to_pylist() for c in keys.columns], strict=True)):
+            runs.setdefault(named, []).append(k)
+        ends, sizes, blobs = [*starts[1:].tolist(), n], [], []
+        starts = starts.tolist()
+        for at in runs.values():
+            own = [[x for k in at for x in column[starts[k] : ends[k]]] for column in (pos, lines, texts)] if len(at) > 1 else [column[starts[at[0]] : ends[at[0]]] for column in (pos, lines, texts)]
+            sizes.append(len(own[0]))
+            blobs.append(_packed(*own))
+        keys = keys.take(pa.array([at[0] for at in runs.values()]))
+        yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], schema=kind)
+
+
+def packed_groups(fragments: DataFrame, key: list[str], limit: int) -> DataFrame:
+    """key, inputs, runs (the group's fragments, packed). A group beyond the limit fails the job before any kernel runs."""
+    ship(fragments.sparkSession)
+    rows = fragments.select(*key, F.col("pos").cast("smallint").alias("pos"), F.col("line_no").cast("long").alias("line_no"), "text")
+    schema = StructType([rows.schema[c] for c in key]).add("_n", "long").add("_run", "binary")
+    kind = to_arrow_schema(schema)
+    parts = rows.mapInArrow(lambda batches: _pack(key, kind, batches), schema)
+    out = parts.groupBy(*key).agg(F.sum("_n").alias("inputs"), F.collect_list("_run").alias("runs"))
+    return out.where(F.when(F.col("inputs") <= limit, True).otherwise(F.raise_error(F.lit("a group has too many fragments")).cast("boolean")))
+
+
+#: Rows of a batch that a kernel gives back, unless their groups have this many fragments before.
+_ROWS, _FRAGMENTS = 64, 100_000
+
+
+def per_group(groups: DataFrame, schema: StructType, run) -> DataFrame:
+    """groups (with inputs, runs), each through run(row without runs, fragments), which gives a row of the schema; rows are handed on by few, so that memory is that of a group."""
+    kind = to_arrow_schema(schema)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for batch in batches:
+            for at in range(batch.num_rows):
+                (row,) = batch.slice(at, 1).to_pylist()
+                out.append(run(row, _unpacked(row.pop("runs"))))
+                held += row["inputs"]
+                if len(out) == _ROWS or held >= _FRAGMENTS:
+                    yield pa.RecordBatch.from_pylist(out, kind)
+                    out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_pylist(out, kind)
+
+    return groups.mapInArrow(work, schema)
 
 
-def _pieces(rows: list[list[tuple[int, str]]]) -> pa.Array:
-    return pa.array([[{"pos": p, "text": t} for p, t in r] for r in rows], _PIECES)
+def _pieces(rows: list[tuple[int, str]]) -> list[dict]:
+    return [{"pos": p, "text": t} for p, t in rows]
 
 
-def _words(groups: pa.Array) -> pa.Array:
+def _words(fragments: list[tuple[int, str]]) -> dict:
     with _no_collection():
-        found = [assemble_words(g) for g in _groups(groups)]
-    return pa.StructArray.from_arrays(
-        [pa.array([r.text for r in found], pa.string()), pa.array([r.merged for r in found], pa.int64()), _pieces([r.unmerged for r in found])], ["text", "merged", "unmerged"]
-    )
-
-
-def assemble_words_column(fragments: Column) -> Column:
-    """struct<text, merged, unmerged> of an array<struct<pos, ..., text>> of word fragments, in order of ties."""
-    return F.arrow_udf(_words, S.RECOVERY1)(fragments)
-
-
-def assemble_clusters_column(fragments: Column, options: Options = Options()) -> Column:
-    """struct<text, merged, unmerged, diagnostics> of an array of grapheme fragments."""
-
-    kind = to_arrow_type(DataType.fromDDL(S.RECOVERY2))
-
-    def run(groups: pa.Array) -> pa.Array:
-        rows = []
-        for g in _groups(groups):
-            with _no_collection():
-                r = assemble_clusters(g, options)
-            best = r.best_effort and {
-                "text": r.best_effort.text, "minimum_overlap": r.best_effort.minimum_overlap, "ordering": r.best_effort.ordering,
-                "joins": [{"section": s, "method": m, "overlap": k} for s, m, k in r.best_effort.joins],
-                "position_only_joins": r.best_effort.position_only, "comparison_budget_exhausted": r.best_effort.exhausted,
-            }
-            rows.append({
-                "text": r.text, "merged": r.merged, "unmerged": [{"pos": p, "text": t} for p, t in r.unmerged],
-                "diagnostics": {
-                    "minimum_overlap_used": r.minimum_overlap_used, "stop_reason": r.stop_reason, "search_status": r.search_status, "conflicts": r.conflicts,
-                    "search_steps": r.search_steps, "primary_members": r.primary,
-                    "segments": [{"text": s.text, "min_pos": s.min_pos, "max_pos": s.max_pos, "members": s.members, "stop_reason": s.stop_reason} for s in r.sections],
-                    "best_effort": best,
-                },
-            })
-        return pa.array(rows, kind)
-
-    return F.arrow_udf(run, S.RECOVERY2)(fragments)
+        r = assemble_words(fragments)
+    return {"text": r.text, "merged": r.merged, "unmerged": _pieces(r.unmerged)}
+
+
+def _clusters(fragments: list[tuple[int, str]], options: Options) -> dict:
+    with _no_collection():
+        r = assemble_clusters(fragments, options)
+    best = r.best_effort and {
+        "text": r.best_effort.text, "minimum_overlap": r.best_effort.minimum_overlap, "ordering": r.best_effort.ordering,
+        "joins": [{"section": s, "method": m, "overlap": k} for s, m, k in r.best_effort.joins],
+        "position_only_joins": r.best_effort.position_only, "comparison_budget_exhausted": r.best_effort.exhausted,
+    }
+    return {
+        "text": r.text, "merged": r.merged, "unmerged": _pieces(r.unmerged),
+        "diagnostics": {
+            "minimum_overlap_used": r.minimum_overlap_used, "stop_reason": r.stop_reason, "search_status": r.search_status, "conflicts": r.conflicts,
+            "search_steps": r.search_steps, "primary_members": r.primary,
+            "segments": [{"text": s.text, "min_pos": s.min_pos, "max_pos": s.max_pos, "members": s.members, "stop_reason": s.stop_reason} for s in r.sections],
+            "best_effort": best,
+        },
+    }
 
 
 def assemble_body_column(text: Column, unmerged: Column) -> Column:
@@ -104,30 +165,34 @@ def assemble_body_column(text: Column, unmerged: Column) -> Column:
 
 def grouped(fragments: DataFrame, key: list[str], limit: int = Settings().max_article_fragments) -> DataFrame:
     """key, fragments (array of pos, line_no, text in order of pos, then line), inputs. A group beyond the limit fails the job before any kernel runs."""
-    item = F.struct(F.col("pos").cast("smallint").alias("pos"), F.col("line_no").cast("long").alias("line_no"), "text")
-    out = fragments.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("fragments"), F.count("*").alias("inputs"))
-    return out.where(F.when(F.col("inputs") <= limit, True).otherwise(F.raise_error(F.lit("a group has too many fragments")).cast("boolean")))
+    groups = packed_groups(fragments, key, limit)
+    schema = StructType([groups.schema[c] for c in key]).add("fragments", DataType.fromDDL(f"array<{S.FRAGMENT}>")).add("inputs", "long")
+    return per_group(groups, schema, lambda row, own: row | {"fragments": _listed(own)})
+
+
+def _listed(fragments: list[tuple[int, int, str]]) -> list[dict]:
+    return [{"pos": p, "line_no": n, "text": t} for p, n, t in fragments]
 
 
 def articles(fragments: DataFrame, settings: Settings = Settings(), source: list[str] | None = None, keep_fragments: bool = False) -> DataFrame:
     """One article a group (per source file, if `source` names its columns), with its fragments if asked for.
 
-    Both kinds take one shuffle together. Arrow batches of 64 groups keep memory
-    at the limit of a group, not of a batch.
+    Both kinds take one shuffle together. A group is unpacked as its kernel
+    begins, so memory is that of a group, not of a batch.
     """
-    ship(fragments.sparkSession)
     key = [*(source or []), *KEY]
-    groups = grouped(fragments, key, settings.max_article_fragments)
+    groups = packed_groups(fragments, key, settings.max_article_fragments)
     options = Options(settings.type2_min_overlap, settings.type2_max_position_gap, settings.type2_search_budget, settings.type2_best_effort, settings.type2_best_effort_min_overlap)
-    none = F.array().cast("array<" + S.FRAGMENT + ">")
-    parts = groups.withColumn("_one", assemble_words_column(F.when(F.col("type") == 1, F.col("fragments")).otherwise(none)))
-    if 2 in settings.types:
-        parts = parts.withColumn("_two", assemble_clusters_column(F.when(F.col("type") == 2, F.col("fragments")).otherwise(none), options))
-    else:
-        parts = parts.withColumn("_two", F.lit(None).cast(S.RECOVERY2))
-    pick = lambda name: F.when(F.col("type") == 1, F.col(f"_one.{name}")).otherwise(F.col(f"_two.{name}")).alias(name)
-    algorithm = F.when(F.col("type") == 1, ALGORITHMS[1]).otherwise(ALGORITHMS[2])
-    return parts.select(
-        *key, algorithm.alias("algorithm"), F.lit("not_verified").alias("completeness"), "inputs", pick("text"), pick("merged"), pick("unmerged"),
-        F.when(F.col("type") == 2, F.col("_two.diagnostics")).alias("diagnostics"), *(["fragments"] if keep_fragments else []),
-    )
+    types = settings.types
+    schema = StructType([groups.schema[c] for c in key]).add("algorithm", "string").add("completeness", "string").add("inputs", "long").add("text", "string").add("merged", "long")
+    schema = schema.add("unmerged", DataType.fromDDL(S.PIECES)).add("diagnostics", DataType.fromDDL(S.DIAGNOSTICS))
+    if keep_fragments:
+        schema = schema.add("fragments", DataType.fromDDL(f"array<{S.FRAGMENT}>"))
+    empty = {"text": None, "merged": None, "unmerged": None}
+
+    def run(row: dict, own: list[tuple[int, int, str]]) -> dict:
+        pairs = [(p, t) for p, _, t in own]
+        found = _words(pairs) if row["type"] == 1 else _clusters(pairs, options) if row["type"] == 2 and 2 in types else empty
+        return row | found | {"algorithm": ALGORITHMS[1 if row["type"] == 1 else 2], "completeness": "not_verified"} | ({"fragments": _listed(own)} if keep_fragments else {})
+
+    return per_group(groups, schema, run)

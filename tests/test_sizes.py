@@ -28,3 +28,32 @@ def test_kernels_take_one_group_at_a_time(spark):
     sizes = assemble.articles(seen, Settings(types=(1,))).mapInArrow(lambda bs: (b.select(["merged"]) for b in bs), "merged long")
     assert sizes.agg(F.sum("merged")).first()[0] == 600
     assert assemble.grouped(seen, assemble.KEY).where("size(fragments) = 3 AND fragments[0].line_no = 0").count() == 200
+
+
+def test_words_are_split_at_white_space_of_unicode_only():
+    from fragloom.kernels import graphs
+
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000)]):
+        assert graphs.words(f"a{c}b") == [w for w in graphs._SPACE.split(f"a{c}b") if w]
+
+
+def test_word_assembly_builds_few_runs(monkeypatch):
+    """Runs are indexed when they are asked for: a few for each fragment, not one for each of its lengths at either end."""
+    from fragloom.kernels import wordwise
+
+    made, add = [], wordwise.RunIndex._add
+    monkeypatch.setattr(wordwise.RunIndex, "_add", lambda self, out, side, k, of: (made.append(len(of or ())), add(self, out, side, k, of))[1])
+    rows = [(r[4], r[6]) for r in _windows("u", [f"w{i}" for i in range(3000)])]
+    found = wordwise.assemble_words(rows)
+    assert found.merged == 3000 and sum(made) < 8 * 3000
+
+
+def test_an_anchor_is_told_apart_once(monkeypatch):
+    """Many runs that share their first words ask for their chain once, not each."""
+    from fragloom.kernels import wordwise
+
+    made, add = [], wordwise.RunIndex._add
+    monkeypatch.setattr(wordwise.RunIndex, "_add", lambda self, out, side, k, of: (made.append(len(of or ())), add(self, out, side, k, of))[1])
+    words = [w for k in range(300) for w in ["a", "b", "c", "d", "e", "f", "g", "h", f"x{k}", f"y{k}", f"z{k}"]]
+    assert wordwise.assemble_words([(r[4], r[6]) for r in _windows("u", words)]).merged == len(words)
+    assert sum(made) < 30 * len(words)

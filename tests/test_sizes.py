@@ -18,7 +18,7 @@ def test_packed_runs_hold_all_fragments_in_little_room(spark):
     groups = assemble.packed_groups(spark.createDataFrame(rows, ROWS).coalesce(1), assemble.KEY, 400).collect()
     assert {g["url"]: g["inputs"] for g in groups} == {"a": 400, None: 400}
     for g in groups:
-        assert sorted(f[1:] for f in assemble._unpacked(g["runs"])) == sorted(r[5:] for r in rows if r[0] == g["url"])
+        assert sorted(f[1:] for f in assemble.unpacked(g["runs"])) == sorted(r[5:] for r in rows if r[0] == g["url"])
         assert sum(map(len, g["runs"])) * 4 < sum(len(r[6]) for r in rows if r[0] == g["url"])
 
 
@@ -57,3 +57,23 @@ def test_an_anchor_is_told_apart_once(monkeypatch):
     words = [w for k in range(300) for w in ["a", "b", "c", "d", "e", "f", "g", "h", f"x{k}", f"y{k}", f"z{k}"]]
     assert wordwise.assemble_words([(r[4], r[6]) for r in _windows("u", words)]).merged == len(words)
     assert sum(made) < 30 * len(words)
+
+
+def test_overlaps_in_tasks_are_those_of_joins(spark):
+    """Both ways on the same groups, of which one is larger than a task; groups in tasks make no rows for their runs of words."""
+    import random
+
+    from fragloom.operators import overlap
+
+    rnd, rows = random.Random(4), []
+    for g in range(5):
+        rows += _windows(f"u{g}", [rnd.choice(["a", "b", "c", "", f"w{rnd.randrange(40)}"]) for _ in range(30 * g + 1)], n=rnd.choice([1, 3, 7]))
+    frame = spark.createDataFrame(rows + rows[::3] + [("u1", "d", "en", 1, 90, 999, None), (None, "d", "en", 1, 0, 0, "x y"), (None, "d", "en", 1, 0, 1, "y")], ROWS)
+    for find in (overlap.overlap_pairs, overlap.overlap_chains):
+        for least in (1, 3):
+            told = [sorted(map(repr, map(tuple, find(frame, least=least, in_task=n).collect()))) for n in (10**6, 80)]
+            assert told[0] == told[1]
+            if least == 1:
+                assert len(told[0]) > 250
+    plan = overlap.overlap_pairs(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan

@@ -79,6 +79,21 @@ def test_overlaps_in_tasks_are_those_of_joins(spark):
     assert "Generate" not in plan and "Exchange" not in plan
 
 
+def test_a_minute_is_written_by_many_tasks(spark, tmp_path):
+    """Rows of one source minute, which one task wrote before."""
+    from fragloom.operators import publish
+
+    rows = spark.range(4000).select(F.lit("d").alias("date"), F.sha2(F.col("id").cast("string"), 256).alias("observation_id"), F.struct(F.lit("20250316000100").alias("source_minute")).alias("metadata"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        publish.write_compact(rows, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    files = spark.read.parquet(str(tmp_path / "out")).groupBy(F.input_file_name()).count().collect()
+    assert len(files) > 4 and max(r["count"] for r in files) < 2000 and sum(r["count"] for r in files) == 4000
+
+
 def test_rows_of_windows_carry_few_words(spark, tmp_path):
     """Windows at and around the cuts are those of the whole document, and no row carries more of it than its part."""
     from fragloom.plans import fixtures

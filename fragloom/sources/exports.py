@@ -79,11 +79,12 @@ class _Writer(DataSourceArrowWriter):
             out = gzip.GzipFile(fileobj=seen, mode="wb", compresslevel=6, mtime=0, filename="") if self.zipped else seen
             out.write(f'{{"meta":{self.meta}}}\n'.encode())
             for batch in iterator:
-                lines = batch.column(0).cast(pa.binary()).to_pylist()
-                if any(x is None or b"\n" in x for x in lines):
-                    raise ValueError("a row is no single line")
-                rows += len(lines)
-                out.write(b"".join(x + b"\n" for x in lines))
+                rows += batch.num_rows
+                for line in batch.column(0).cast(pa.binary()):  # one at a time, as a batch can be large
+                    x = line.as_py()
+                    if x is None or b"\n" in x:
+                        raise ValueError("a row is no single line")
+                    out.write(x + b"\n")
             if self.zipped:
                 out.close()
         return Part(place, name, seen.size, rows, seen.digest.hexdigest())

@@ -105,3 +105,48 @@ def test_rows_of_windows_carry_few_words(spark, tmp_path):
     assert got == {("1", i): (" ".join(words[max(0, i - 7) : i]), w, " ".join(words[i + 1 : i + 8])) for i, w in enumerate(words)} | {("3", 0): ("", "one", "")}
     wide = fixtures._windows(docs.select(F.lit("u").alias("url"), "lang", F.split("text", " ").alias("w")), "w", 7, 1)
     assert wide.agg(F.max(F.size("w"))).first()[0] <= fixtures.CHUNK + 14
+
+
+def test_cluster_steps_that_are_plain_need_no_search(monkeypatch):
+    """Windows of a text, in which one fragment follows another, are not looked up one by one."""
+    from fragloom.kernels import clusterwise
+
+    looked, found = [], clusterwise._Assembler._found
+    monkeypatch.setattr(clusterwise._Assembler, "_found", lambda self, s, side: (looked.append(side), found(self, s, side))[1])
+    text = "".join(chr(0x4E00 + k) if k % 3 else f"{k}" for k in range(3000))
+    r = clusterwise.assemble_clusters([(i * 10 // len(text) * 10, text[max(0, i - 6) : i + 7]) for i in range(len(text))])
+    assert r.text == text and r.merged == len(text) and len(looked) < 100
+
+
+def test_plain_steps_are_those_of_the_search(monkeypatch):
+    import random
+
+    from fragloom.kernels import clusterwise
+
+    rnd, cases = random.Random(7), []
+    for _ in range(300):
+        text = "".join(rnd.choice(rnd.choice(["ab", "abc ", "abcdefgh "])) for _ in range(rnd.randrange(1, 60))) * rnd.choice([1, 1, 3])
+        rows = [(i * 10 // len(text) * 10, text[max(0, i - 3) : i + 4]) for i in range(len(text)) if rnd.random() > 0.1]
+        options = clusterwise.Options(rnd.choice([1, 2, 4, 6]), rnd.choice([0, 10, 20]), rnd.choice([0, 20, 500]), True)
+        cases.append((rows + rows[: rnd.choice([0, len(rows) // 2])], options))
+    plain = [clusterwise.assemble_clusters(*c) for c in cases]
+    monkeypatch.setattr(clusterwise._Assembler, "glide", lambda self, s, most=None: 0)
+    assert plain == [clusterwise.assemble_clusters(*c) for c in cases]
+
+
+def test_grapheme_windows(spark, tmp_path):
+    """Cut at and around parts, with clusters of more than one character, and from no text."""
+    from fragloom.kernels.graphs import graphemes
+    from fragloom.plans import fixtures
+
+    texts = ["", None, "x", "e\u0301a\r\nb" * 5, "abcdefghij" * (fixtures.PART // 10) + "end"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")}).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(int(r["url"].rsplit("/", 1)[1]), r["line_no"]): (r["pos"], r["text"]) for r in fixtures.cluster_fragments(spark, str(tmp_path)).collect()}
+    units = {k: graphemes(t or "") for k, t in enumerate(texts)}
+    assert got == {(k, i): (i * 10 // len(g) * 10, "".join(g[max(0, i - 6) : i + 7])) for k, g in units.items() for i in range(len(g))}
+
+
+def test_evidence_that_is_out_of_order_is_found():
+    from fragloom.kernels.evidence import held
+
+    assert held(["bc", "yz", "ab", "", "z"], "abc" + "-" * 500 + "yz") and not held(["bc", "cb"], "abc")

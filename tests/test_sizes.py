@@ -150,3 +150,32 @@ def test_evidence_that_is_out_of_order_is_found():
     from fragloom.kernels.evidence import held
 
     assert held(["bc", "yz", "ab", "", "z"], "abc" + "-" * 500 + "yz") and not held(["bc", "cb"], "abc")
+
+
+def test_beginning_is_looked_at_once(monkeypatch):
+    """While a text grows at its end, what stands before its beginning is not looked for again."""
+    from fragloom.kernels import wordwise
+
+    asked, chains = [0, 0], wordwise.RunIndex.chains
+
+    def counted(self, side, k, run):
+        asked[side] += 1
+        return chains(self, side, k, run)
+
+    monkeypatch.setattr(wordwise.RunIndex, "chains", counted)
+    assert wordwise.assemble_words([(r[4], r[6]) for r in _windows("u", [f"w{i}" for i in range(3000)])]).merged == 3000
+    assert asked[1] < 200 < asked[0]
+
+
+def test_bodies_are_made_where_the_kernel_runs(spark):
+    """The same bodies as from articles that carry what did not join, which stays in its task."""
+    from fragloom.operators import export
+
+    words = [f"w{i}" for i in range(200)]
+    rows = [r for k in range(20) for r in _windows(f"u{k}", words) if k % 2 == 0 or r[5] % 40 > 25]
+    frame = spark.createDataFrame(rows + [("t", "d", "en", 2, 0, 0, "abcdef")], ROWS)
+    both = Settings(type2_best_effort=True)
+    carried, own = assemble.articles(frame, both), assemble.articles(frame, both, bodies=True)
+    assert own.where("type = 1 AND (unmerged IS NOT NULL OR body IS NULL)").count() == 0
+    told = [sorted(map(repr, export.bodies(a).drop("_row").collect())) for a in (carried, own)]
+    assert told[0] == told[1] and len(told[0]) == 21 and export.bodies(own).where("left_over > 0").count() == 10

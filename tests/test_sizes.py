@@ -179,3 +179,19 @@ def test_bodies_are_made_where_the_kernel_runs(spark):
     assert own.where("type = 1 AND (unmerged IS NOT NULL OR body IS NULL)").count() == 0
     told = [sorted(map(repr, export.bodies(a).drop("_row").collect())) for a in (carried, own)]
     assert told[0] == told[1] and len(told[0]) == 21 and export.bodies(own).where("left_over > 0").count() == 10
+
+
+def test_objects_are_walked_once(spark):
+    """Of a line, one lookup that names a path, whatever its fields; odd lines are refused as before."""
+    import json
+
+    from fragloom.sources import minutes
+
+    good = {"date": "d", "url": "u", "lang": "en", "type": 1, "pos": 0, "pre": "", "ngram": "b", "post": "c"}
+    odd = [{**good, "lang": None}, {**good, "type": 1.5}, {**good, "pos": 2**70}, {**good, "pre": ["a"]}, {**good, "ngram": {"x": 1}}, {k: v for k, v in good.items() if k != "post"}, {**good, "pos": True}]
+    lines = [json.dumps(x) for x in ([good], 7, None, *odd)] + ["", "[", "{}", f"{json.dumps(good)},", f"{json.dumps(good)},7", f"{json.dumps(good)}]", f"{json.dumps(good)}] {{}}", f'{json.dumps(good)},{{"pos":1}}] x', f"{json.dumps(good)},{json.dumps(good)}"]
+    frame = spark.createDataFrame([(x,) for x in [json.dumps({**good, "more": [1, {"date": 2}]}), *lines, None]], "value string")
+    parsed = minutes.parse_records(frame)
+    assert [r["record"] is not None for r in parsed.collect()] == [True] + [False] * (len(lines) + 1)
+    assert parsed.where("record IS NOT NULL").select("record.*").first().asDict() == good
+    assert "$[0]" not in parsed._jdf.queryExecution().executedPlan().toString()

@@ -195,3 +195,17 @@ def test_objects_are_walked_once(spark):
     assert [r["record"] is not None for r in parsed.collect()] == [True] + [False] * (len(lines) + 1)
     assert parsed.where("record IS NOT NULL").select("record.*").first().asDict() == good
     assert "$[0]" not in parsed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_is_parsed_once(spark):
+    """Filters on what was parsed repeat neither the parser nor the cutting of a fragment's words."""
+    from fragloom.operators import classify
+    from fragloom.streaming import batch
+
+    kept = Settings(types=(1,), quarantine_invalid_metadata=True)
+    lines = spark.createDataFrame([("f", 1, '{"date":"d","url":"u","lang":"en","type":1,"pos":0,"pre":"menu / a","ngram":"b","post":"c"}'), ("f", 2, " ")], "file string, line_no long, value string").repartition(2)
+    rows = batch.classified(lines, kept)
+    fragments = classify.fragments(rows.where("status = 'selected'"), kept)
+    plan = fragments._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("split(") == 2
+    assert [r["text"] for r in fragments.collect()] == ["a b c"] and sorted(r["status"] for r in rows.collect()) == ["blank", "selected"]

@@ -147,3 +147,24 @@ def test_uncontained_like_searching_every_body(spark):
     got = audit.uncontained(fragments, observations)
     assert got.columns == fragments.columns and sorted([tuple(r) for r in got.collect()], key=repr) == want and 20 < len(want) < len(rows)
     assert audit.uncontained(fragments, observations.limit(0)).count() == len(rows) and audit.uncontained(fragments.limit(0), observations).count() == 0
+
+
+def test_fragments_meet_bodies_packed(spark):
+    """Whatever is searched in tasks and what meets by runs: the same fragments are lost, also where two files have a body of one key, and no table of runs of words is made where the search is enough."""
+    from fragloom.operators import audit
+
+    rnd, rows, bodies = random.Random(8), [], []
+    for g in range(5):
+        words = [rnd.choice(["aa", "ab", "b", "caa", f"w{k}"]) for k in range(300)]
+        rows += [(f"u{g}", "d", "en", 1, 0, i, " ".join(words[max(0, i - 7) : i + 8])) for i in range(300)] + [(f"u{g}", "d", "en", 1, 0, 999, f"no such {g}")] * g
+        half = [" ".join(words[:160]), " ".join(words[145:])]
+        bodies += [(f"u{g}", "d", "en", 1, t) for t in (half if g % 2 else ["\n\n".join(half[::-1])])]
+    rows.append((None, "d", "en", 1, 0, 0, "aa"))
+    fragments = spark.createDataFrame(rows, "url string, date string, lang string, type smallint, pos smallint, line_no long, text string").repartition(4)
+    observations = spark.createDataFrame(bodies, "url string, observed_at string, lang string, type smallint, text string")
+    want = sorted([r for r in rows if not any(r[0] == b[0] and r[6] in b[4] for b in bodies)], key=repr)
+    for budget in (10**9, 2_500, 0):
+        got = audit.uncontained(fragments, observations, budget)
+        assert sorted([tuple(r) for r in got.collect()], key=repr) == want and len(want) == 11
+    known = fragments.where("url = 'u0'")
+    assert audit.uncontained(known, observations)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
